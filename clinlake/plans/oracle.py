@@ -74,4 +74,335 @@ def oracle_sql() -> dict[str, str]:
                    round(sum(list_sum(list_transform(embedding, lambda x: CAST(CAST(x AS VARCHAR) AS DOUBLE)))), 4)
                      AS total
             FROM embeddings GROUP BY label""",
+        **_more_sql(),
+    }
+
+
+# ---------------------------------------------------------------- stroke recipe
+
+STROKE_SRC = """
+  u AS (SELECT o_custkey AS c_custkey,
+               count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_urgent
+        FROM orders GROUP BY o_custkey),
+  s AS (SELECT c.c_custkey AS id,
+          CASE WHEN c.c_nationkey % 10 = 9 THEN 'Other' WHEN c.c_custkey % 2 = 0 THEN 'Female'
+               ELSE 'Male' END AS gender,
+          CAST(c.c_custkey % 80 + 1 AS DOUBLE) AS age,
+          CASE WHEN c.c_custkey % 5 = 0 THEN 1 ELSE 0 END AS hypertension,
+          CASE WHEN c.c_nationkey % 4 = 0 THEN 1 ELSE 0 END AS heart_disease,
+          CASE WHEN c.c_custkey % 3 = 0 THEN 'No' ELSE 'Yes' END AS ever_married,
+          c.c_mktsegment AS work_type,
+          CASE WHEN c.c_nationkey % 2 = 0 THEN 'Urban' ELSE 'Rural' END AS Residence_type,
+          CAST(55 AS DOUBLE) + CAST((c.c_custkey * 53) % 2000 AS DOUBLE) / CAST(10 AS DOUBLE)
+            AS avg_glucose_level,
+          CASE WHEN c.c_custkey % 13 = 0 THEN 'N/A'
+               ELSE CAST(15 + ((c.c_custkey * 37) % 300) // 10 AS VARCHAR) || '.'
+                    || CAST(((c.c_custkey * 37) % 300) % 10 AS VARCHAR) END AS bmi,
+          CASE WHEN c.c_custkey % 7 <= 2 THEN 'never smoked' WHEN c.c_custkey % 7 <= 4 THEN 'Unknown'
+               WHEN c.c_custkey % 7 = 5 THEN 'formerly smoked' ELSE 'smokes' END AS smoking_status,
+          CASE WHEN coalesce(u.n_urgent, 0) >= 3 THEN 1 ELSE 0 END AS stroke
+        FROM customer c LEFT JOIN u ON c.c_custkey = u.c_custkey)"""
+
+STROKE_CLEAN = STROKE_SRC + """,
+  sc AS (SELECT id, gender, CAST(trunc(age) AS INTEGER) AS age, hypertension, heart_disease,
+                ever_married, work_type, Residence_type,
+                CAST(trunc(avg_glucose_level) AS INTEGER) AS avg_glucose_level,
+                coalesce(CAST(trunc(TRY_CAST(bmi AS DOUBLE)) AS INTEGER), 28) AS bmi,
+                smoking_status, stroke FROM s)"""
+
+AGE_BAND = ("CASE WHEN age < 30 THEN 'Adult' WHEN age > 30 AND age < 40 THEN 'MiddleAge' "
+            "ELSE 'OldAge' END")
+STROKE_CATEGORICAL = ["age", "gender", "ever_married", "work_type", "smoking_status", "Residence_type"]
+STROKE_FEATURES = ["gender_label", "age_label", "hypertension", "heart_disease", "ever_married_label",
+                   "work_type_label", "Residence_type_label", "avg_glucose_level", "bmi",
+                   "smoking_status_label"]
+
+
+def _frequency_codes(src: str, cols: list[str]) -> str:
+    """CTEs ``k_<c>(v, code)``: most frequent value -> 0, ties in value order."""
+    return ",\n".join(
+        f"  k_{c} AS (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS INTEGER)"
+        f" AS code FROM {src} GROUP BY {c})" for c in cols)
+
+
+def _stroke_indexed() -> str:
+    joins = " ".join(f"JOIN k_{c} ON sa.{c} = k_{c}.v" for c in STROKE_CATEGORICAL)
+    codes = ", ".join(f"k_{c}.code AS {c}_label" for c in STROKE_CATEGORICAL)
+    return (STROKE_CLEAN + f""",
+  sa AS (SELECT * REPLACE ({AGE_BAND} AS age) FROM sc),
+{_frequency_codes('sa', STROKE_CATEGORICAL)},
+  si AS (SELECT sa.*, {codes} FROM sa {joins})""")
+
+
+def _hash_bucket(key: str, seed: int = 42) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 10000)"
+
+
+def _double_list(cols: list[str]) -> str:
+    return "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in cols) + "]"
+
+
+# ------------------------------------------------------------------- ICU recipe
+
+ICU_NUMERIC = ["Age", "Gender", "ICUType", "Height", "Weight", "HR"]
+
+
+def _nullify(c: str) -> str:
+    return (f"CASE WHEN isnan({c}) OR {c} IN (-1.0::DOUBLE, 'inf'::DOUBLE, '-inf'::DOUBLE) "
+            f"THEN NULL ELSE {c} END AS {c}")
+
+
+ICU_CLEAN = """
+  src AS (SELECT o.o_orderkey AS RecordID,
+            CASE WHEN o.o_orderkey % 17 = 0 THEN -1.0::DOUBLE WHEN o.o_orderkey % 53 = 0 THEN 'inf'::DOUBLE
+                 ELSE CAST(16 + c.c_custkey % 75 AS DOUBLE) END AS Age,
+            CAST(c.c_nationkey % 2 AS DOUBLE) AS Gender,
+            CAST(1 + c.c_nationkey % 4 AS DOUBLE) AS ICUType,
+            CASE WHEN o.o_orderkey % 11 = 0 THEN NULL WHEN o.o_orderkey % 97 = 0 THEN 0.0::DOUBLE
+                 ELSE CAST(150 + o.o_custkey % 50 AS DOUBLE) END AS Height,
+            CASE WHEN o.o_orderkey % 11 = 1 THEN -1.0::DOUBLE
+                 ELSE CAST(40 + o.o_orderkey % 80 AS DOUBLE) END AS Weight,
+            CASE WHEN o.o_orderkey % 7 = 3 THEN NULL
+                 ELSE 60.0::DOUBLE + CAST(o.o_orderkey % 600 AS DOUBLE) / 10.0::DOUBLE END AS HR,
+            CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS in_hospital_death
+          FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+  clean AS (SELECT RecordID, """ + ", ".join(_nullify(c) for c in ICU_NUMERIC) + """, in_hospital_death
+            FROM src)"""
+
+ICU_AGE_LABELS = "['<20', '20s', '30s', '40s', '50s', '60s', '70s', '80s', '90s']"
+
+ICU_BINNED = ICU_CLEAN + f""",
+  ab AS (SELECT clean.*,
+           CASE WHEN Age IS NULL THEN NULL WHEN hi = lo THEN 4
+                ELSE LEAST(GREATEST(CAST(ceil((Age - lo) * 9 / (hi - lo)) AS INTEGER) - 1, 0), 8) END AS age_bin
+         FROM clean, (SELECT min(Age) AS lo, max(Age) AS hi FROM clean) st),
+  ag AS (SELECT ab.*, {ICU_AGE_LABELS}[age_bin + 1] AS age_group FROM ab)"""
+
+ICU_MEDIAN = """,
+  med AS (SELECT median(Height) AS mh, median(Weight) AS mw FROM clean)"""
+
+BMI = ("CASE WHEN Height * Height = 0 THEN NULL "
+       "ELSE CAST(round_even(Weight / (Height * Height) * 10000.0::DOUBLE, 2) AS DOUBLE) END")
+
+BMI_GROUP = """CASE WHEN lo >= 18.5::DOUBLE OR hi <= 29.9::DOUBLE THEN error('bin edges must increase')
+            WHEN bmi IS NULL OR bmi <= lo THEN NULL
+            WHEN bmi <= 18.5::DOUBLE THEN 'Underweight' WHEN bmi <= 24.9::DOUBLE THEN 'Healthy'
+            WHEN bmi <= 29.9::DOUBLE THEN 'Overweight' WHEN bmi <= hi THEN 'Obesity' END"""
+
+ICU_PREPARED = ICU_BINNED + ICU_MEDIAN + f""",
+  mf AS (SELECT RecordID, Age, Gender, ICUType, coalesce(Height, mh) AS Height, coalesce(Weight, mw) AS Weight,
+                HR, in_hospital_death, age_group FROM ag, med),
+  bm AS (SELECT mf.*, {BMI} AS bmi FROM mf),
+  prep AS (SELECT RecordID, Age, Gender, ICUType, Height, Weight, HR, in_hospital_death, age_group,
+                  {BMI_GROUP} AS bmi_group
+           FROM bm, (SELECT min(bmi) AS lo, max(bmi) AS hi FROM bm) st)"""
+
+
+def _class_mean_fill(src: str, cols: list[str], label: str = "in_hospital_death") -> tuple[str, str]:
+    stats = ", ".join(f"avg({c}) FILTER (WHERE {label} = {k}) AS m_{c}_{k}" for c in cols for k in (0, 1))
+    fills = {c: f"coalesce({c}, CASE {label} WHEN 0 THEN m_{c}_0 WHEN 1 THEN m_{c}_1 END)" for c in cols}
+    return f"  means AS (SELECT {stats} FROM {src})", fills
+
+
+def _class_mode_ctes(src: str, cols: list[str], label: str = "in_hospital_death") -> tuple[str, dict]:
+    ctes = []
+    fills = {}
+    for c in cols:
+        ctes.append(
+            f"  mode_{c} AS (SELECT lab, v FROM (SELECT {label} AS lab, {c} AS v, row_number() OVER "
+            f"(PARTITION BY {label} ORDER BY count(*) DESC, {c}) AS rn FROM {src} "
+            f"WHERE {c} IS NOT NULL AND {label} IN (0, 1) GROUP BY {label}, {c}) WHERE rn = 1)")
+        fills[c] = (f"coalesce({c}, (SELECT v FROM mode_{c} WHERE mode_{c}.lab = {src}.{label}))")
+    return ",\n".join(ctes), fills
+
+
+ICU_COLS = ["RecordID", "Age", "Gender", "ICUType", "Height", "Weight", "HR", "in_hospital_death",
+            "age_group", "bmi_group"]
+
+
+def _icu_imputed() -> str:
+    means_cte, mean_fills = _class_mean_fill("prep", ["Age", "Height", "Weight", "HR"])
+    sel1 = ", ".join(f"{mean_fills[c]} AS {c}" if c in mean_fills else c for c in ICU_COLS)
+    mode_ctes, mode_fills = _class_mode_ctes("mi", ["Gender", "ICUType", "age_group", "bmi_group"])
+    sel2 = ", ".join(f"{mode_fills[c]} AS {c}" if c in mode_fills else c for c in ICU_COLS)
+    return (ICU_PREPARED + ",\n" + means_cte + f""",
+  mi AS (SELECT {sel1} FROM prep, means WHERE in_hospital_death IN (0, 1)),
+{mode_ctes},
+  imp AS (SELECT {sel2} FROM mi WHERE in_hospital_death IN (0, 1)),
+{_frequency_codes('imp', ['age_group', 'bmi_group'])},
+  fi AS (SELECT imp.*, k_age_group.code AS age_group_label, k_bmi_group.code AS bmi_group_label
+         FROM imp JOIN k_age_group ON imp.age_group = k_age_group.v
+                  JOIN k_bmi_group ON imp.bmi_group = k_bmi_group.v)""")
+
+
+# ------------------------------------------------------------ rule predictions
+
+PREDS = """
+  p AS (SELECT o_orderkey,
+          CASE WHEN o_orderpriority <= '2-HIGH' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
+          CASE WHEN o_totalprice > 250000 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+          o_totalprice AS score,
+          [1.0::DOUBLE - least(o_totalprice / 500000.0::DOUBLE, 1.0::DOUBLE),
+           least(o_totalprice / 500000.0::DOUBLE, 1.0::DOUBLE)] AS probability
+        FROM orders)"""
+
+CLASS_STATS = PREDS + """,
+  cm AS (SELECT label, prediction, count(*) AS n FROM p GROUP BY label, prediction),
+  bl AS (SELECT label AS class, CAST(sum(n) AS BIGINT) AS support,
+                CAST(sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS BIGINT) AS tp FROM cm GROUP BY label),
+  bp AS (SELECT prediction AS class, CAST(sum(n) AS BIGINT) AS predicted FROM cm GROUP BY prediction),
+  s0 AS (SELECT coalesce(bl.class, bp.class) AS class, coalesce(support, 0) AS support,
+                coalesce(tp, 0) AS tp, coalesce(predicted, 0) AS predicted
+         FROM bl FULL JOIN bp ON bl.class = bp.class),
+  s1 AS (SELECT *, CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0::DOUBLE END AS precision,
+                   CASE WHEN support > 0 THEN CAST(tp AS DOUBLE) / support ELSE 0.0::DOUBLE END AS recall
+         FROM s0),
+  st AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                        ELSE 0.0::DOUBLE END AS f1 FROM s1)"""
+
+AUC = PREDS + """,
+  g AS (SELECT score AS s, count(*) FILTER (WHERE label = 1.0) AS pos, count(*) FILTER (WHERE label <> 1.0) AS neg
+        FROM p WHERE score IS NOT NULL AND label IS NOT NULL GROUP BY score),
+  r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                  AS below FROM g),
+  auc AS (SELECT sum(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + CAST(neg AS DOUBLE) / 2))
+                 / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc FROM r)"""
+
+
+# ------------------------------------------------------------------ profiling
+
+_TABLE_COLS = {
+    "customer": [("c_custkey", 8), ("c_name", None), ("c_nationkey", 4), ("c_acctbal", 8),
+                 ("c_mktsegment", None)],
+    "orders": [("o_orderkey", 8), ("o_custkey", 8), ("o_orderstatus", None), ("o_totalprice", 8),
+               ("o_orderdate", 8), ("o_orderpriority", None)],
+    "part": [("p_partkey", 8), ("p_name", None), ("p_brand", None), ("p_type", None), ("p_size", 4),
+             ("p_retailprice", 8)],
+    "lineitem": [("l_orderkey", 8), ("l_partkey", 8), ("l_suppkey", 8), ("l_linenumber", 4),
+                 ("l_quantity", 8), ("l_extendedprice", 8), ("l_discount", 8), ("l_tax", 8),
+                 ("l_returnflag", None), ("l_linestatus", None), ("l_shipdate", 8)],
+}
+
+
+def _width(cols) -> str:
+    return " + ".join(f"coalesce(strlen({c}), 0)" if w is None else f"CASE WHEN {c} IS NULL THEN 0 ELSE {w} END"
+                      for c, w in cols)
+
+
+def _nulls(cols) -> str:
+    return " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c, _ in cols)
+
+
+def _profile_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, {len(cols)} AS n_columns, "
+        f"CAST(coalesce(sum({_width(cols)}), 0) AS BIGINT) AS n_bytes, "
+        f"CAST(coalesce(sum({_nulls(cols)}), 0) AS BIGINT) AS n_nulls FROM {t}"
+        for t, cols in _TABLE_COLS.items())
+
+
+def _more_sql() -> dict[str, str]:
+    feats = _double_list(STROKE_FEATURES)
+    icu_feats = ["Age", "Gender", "ICUType", "Height", "Weight", "HR", "age_group_label", "bmi_group_label"]
+    return {
+        "table_size": f"""
+            SELECT CAST(count(*) AS BIGINT) AS n_rows,
+                   CAST(coalesce(sum({_width(_TABLE_COLS['orders'])}), 0) AS BIGINT) AS n_bytes FROM orders""",
+        "profile_tables": _profile_sql(),
+        # stroke
+        "tolerant_int_cast": f"""WITH {STROKE_SRC}
+            SELECT id, bmi, CAST(trunc(TRY_CAST(bmi AS DOUBLE)) AS INTEGER) AS bmi_int,
+                   CAST(trunc(age) AS INTEGER) AS age_int,
+                   CAST(trunc(avg_glucose_level) AS INTEGER) AS glucose_int FROM s""",
+        "constant_fill": f"WITH {STROKE_CLEAN} SELECT id, bmi FROM sc",
+        "interaction_features": f"""WITH {STROKE_CLEAN}
+            SELECT id, CAST(hypertension AS BIGINT) * CAST(heart_disease AS BIGINT) AS blood_heart,
+                   CAST(bmi AS DOUBLE) * CAST(avg_glucose_level AS DOUBLE) / 1000.0::DOUBLE AS obesity FROM sc""",
+        "case_bucket": f"WITH {STROKE_CLEAN} SELECT id, age, {AGE_BAND} AS age_group FROM sc",
+        "index_categories": f"""WITH {_stroke_indexed()}
+            SELECT id, {', '.join(c + '_label' for c in STROKE_CATEGORICAL)} FROM si""",
+        "assemble_features": f"""WITH {STROKE_SRC}
+            SELECT id, {_double_list(['age', 'hypertension', 'heart_disease', 'avg_glucose_level'])} AS features
+            FROM s""",
+        "feature_table_case": f"""WITH {_stroke_indexed()}
+            SELECT id, {', '.join(STROKE_FEATURES)}, stroke, {feats} AS features FROM si""",
+        "split_80_20": f"""
+            SELECT c_custkey AS id,
+                   CASE WHEN {_hash_bucket('c_custkey')} < 8000 THEN 'train' ELSE 'test' END AS part
+            FROM customer""",
+        # ICU
+        "sentinel_to_null": f"WITH {ICU_CLEAN} SELECT * FROM clean",
+        "equal_width_bin": f"WITH {ICU_BINNED} SELECT RecordID, Age, age_bin, age_group FROM ag",
+        "impute_median": f"""WITH {ICU_CLEAN}{ICU_MEDIAN}
+            SELECT RecordID, round(coalesce(Height, mh), 6) AS Height, round(coalesce(Weight, mw), 6) AS Weight
+            FROM clean, med""",
+        "ratio_round": f"""WITH {ICU_CLEAN}{ICU_MEDIAN},
+              mf AS (SELECT RecordID, coalesce(Height, mh) AS Height, coalesce(Weight, mw) AS Weight
+                     FROM clean, med)
+            SELECT RecordID, {BMI} AS bmi FROM mf""",
+        "edge_bin": f"""WITH {ICU_CLEAN}{ICU_MEDIAN},
+              mf AS (SELECT RecordID, coalesce(Height, mh) AS Height, coalesce(Weight, mw) AS Weight
+                     FROM clean, med),
+              bm AS (SELECT RecordID, {BMI} AS bmi FROM mf)
+            SELECT RecordID, bmi, {BMI_GROUP} AS bmi_group
+            FROM bm, (SELECT min(bmi) AS lo, max(bmi) AS hi FROM bm) st""",
+        "impute_group_mean": (lambda m: f"""WITH {ICU_CLEAN},
+            {m[0]}
+            SELECT RecordID, in_hospital_death, {', '.join(f'round({m[1][c]}, 6) AS {c}' for c in
+                                                           ['Age', 'Height', 'Weight', 'HR'])}
+            FROM clean, means WHERE in_hospital_death IN (0, 1)""")(
+            _class_mean_fill("clean", ["Age", "Height", "Weight", "HR"])),
+        "impute_group_mode": (lambda m: f"""WITH {ICU_PREPARED},
+            {m[0]}
+            SELECT RecordID, in_hospital_death, {', '.join(f'{m[1][c]} AS {c}' for c in
+                                                           ['Gender', 'ICUType', 'age_group', 'bmi_group'])}
+            FROM prep WHERE in_hospital_death IN (0, 1)""")(
+            _class_mode_ctes("prep", ["Gender", "ICUType", "age_group", "bmi_group"])),
+        "union_by_name": f"WITH {ICU_CLEAN} SELECT * FROM clean WHERE in_hospital_death IN (0, 1)",
+        "seeded_shuffle_rank": """
+            SELECT o.o_orderkey AS RecordID,
+                   CAST(row_number() OVER (ORDER BY ('0x' || substr(md5('42:' || CAST(o.o_orderkey AS VARCHAR)),
+                                                                    1, 15))::BIGINT, o.o_orderkey) AS BIGINT)
+                     AS shuffle_rank
+            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
+        "feature_table_impute": f"""WITH {_icu_imputed()}
+            SELECT RecordID, in_hospital_death,
+                   list_transform({_double_list(icu_feats)}, lambda x: round(x, 6)) AS features FROM fi""",
+        # waveform
+        "vector_index_cardinality": """
+            SELECT CAST(dim AS INTEGER) AS dim, count(DISTINCT v) AS n_distinct,
+                   count(DISTINCT v) <= 100 AS is_categorical
+            FROM (SELECT unnest(embedding) AS v, unnest(range(len(embedding))) AS dim FROM embeddings)
+            GROUP BY dim""",
+        "split_70_30": f"""
+            SELECT vec_id, CASE WHEN {_hash_bucket('vec_id')} < 7000 THEN 'train' ELSE 'test' END AS part
+            FROM embeddings""",
+        # metrics
+        "confusion_matrix": f"WITH {PREDS} SELECT label, prediction, count(*) AS n FROM p GROUP BY label, prediction",
+        "classification_metrics": f"""WITH {CLASS_STATS}
+            SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), 6) AS accuracy,
+                   round(sum(precision * support) / sum(support), 6) AS weighted_precision,
+                   round(sum(recall * support) / sum(support), 6) AS weighted_recall,
+                   round(sum(f1 * support) / sum(support), 6) AS weighted_f1 FROM st""",
+        "classification_report": f"""WITH {CLASS_STATS}
+            SELECT ['routine', 'priority'][CAST(class AS INTEGER) + 1] AS row_name, round(precision, 6) AS precision,
+                   round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM st
+            UNION ALL SELECT 'accuracy', NULL, NULL, round(CAST(sum(tp) AS DOUBLE) / sum(support), 6),
+                   CAST(sum(support) AS BIGINT) FROM st
+            UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+                   CAST(sum(support) AS BIGINT) FROM st
+            UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+                   round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+                   CAST(sum(support) AS BIGINT) FROM st""",
+        "auc_roc": f"WITH {AUC} SELECT round(auc, 6) AS auc FROM auc",
+        "binary_scorecard": f"""WITH {CLASS_STATS},
+            {AUC.replace(PREDS + ',', '')}
+            SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), 4) AS accuracy,
+                   round(sum(precision * support) / sum(support), 4) AS precision,
+                   round(min(auc.auc), 4) AS roc_auc FROM st, auc""",
+        "misclassified_rows": f"""WITH {PREDS}
+            SELECT o_orderkey, prediction, label, probability FROM p WHERE prediction <> label""",
+        "argmax_array": """
+            SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax
+            FROM embeddings""",
     }

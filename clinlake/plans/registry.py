@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinlake.plans import cohort, scans
+from clinlake.plans import cohort, evaluation, icu, profile, scans, stroke, waveform
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,4 +28,38 @@ def queries() -> dict[str, Query]:
         "csv_scan_typed": scans.q_csv_scan_typed,
         "csv_scan_inferred": scans.q_csv_scan_inferred,
         "label_matrix_scan": scans.q_label_matrix_scan,
+        # size profiling
+        "table_size": profile.q_table_size,
+        "profile_tables": profile.q_profile_tables,
+        # stroke recipe
+        "tolerant_int_cast": stroke.q_tolerant_int_cast,
+        "constant_fill": stroke.q_constant_fill,
+        "interaction_features": stroke.q_interaction_features,
+        "case_bucket": stroke.q_case_bucket,
+        "index_categories": stroke.q_index_categories,
+        "assemble_features": stroke.q_assemble_features,
+        "feature_table_case": stroke.q_feature_table_case,
+        "split_80_20": stroke.q_split_80_20,
+        # ICU recipe
+        "sentinel_to_null": icu.q_sentinel_to_null,
+        "equal_width_bin": icu.q_equal_width_bin,
+        "impute_median": icu.q_impute_median,
+        "ratio_round": icu.q_ratio_round,
+        "edge_bin": icu.q_edge_bin,
+        "impute_group_mean": icu.q_impute_group_mean,
+        "impute_group_mode": icu.q_impute_group_mode,
+        "union_by_name": icu.q_union_by_name,
+        "seeded_shuffle_rank": icu.q_seeded_shuffle_rank,
+        "feature_table_impute": icu.q_feature_table_impute,
+        # waveform
+        "vector_index_cardinality": waveform.q_vector_index_cardinality,
+        "split_70_30": waveform.q_split_70_30,
+        # metrics
+        "confusion_matrix": evaluation.q_confusion_matrix,
+        "classification_metrics": evaluation.q_classification_metrics,
+        "classification_report": evaluation.q_classification_report,
+        "auc_roc": evaluation.q_auc_roc,
+        "binary_scorecard": evaluation.q_binary_scorecard,
+        "misclassified_rows": evaluation.q_misclassified_rows,
+        "argmax_array": evaluation.q_argmax_array,
     }

@@ -49,3 +49,15 @@ def shared_dir(spark: SparkSession) -> str:
 def derived_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     return f"{shared_dir(spark)}/clinlake/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder.
+
+    Used at stage boundaries of multi-statistic recipes, where every later
+    statistic would otherwise re-run the whole upstream plan.  The files live
+    in ``spark.checkpoint.dir`` (shared storage), so losing an executor does
+    not lose the stage.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
