@@ -25,7 +25,7 @@ def _default_buckets(df: DataFrame) -> int:
 def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequence[str],
                   partition_cols: Sequence[str] = (), n_buckets: int | None = None,
                   accuracy: int = 10000, prefix: str = "cum_",
-                  broadcast_offsets: bool = True) -> DataFrame:
+                  broadcast_offsets: bool = True, total_prefix: str | None = None) -> DataFrame:
     """Append ``<prefix><w>``: the sum of ``w`` over all rows up to and including
     this one, ordered by ``order_cols`` (ascending, NULLs first) within
     ``partition_cols``.
@@ -34,6 +34,8 @@ def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequenc
     order columns only break ties, and rows equal on all of them are ordered
     arbitrarily.  ``broadcast_offsets`` is safe when the number of partition
     groups is bounded (the offsets table has groups x buckets rows).
+    ``total_prefix`` also appends ``<total_prefix><w>``, the group's grand
+    total, taken from the same small per-bucket table.
     """
     order_cols, weight_cols, partition_cols = list(order_cols), list(weight_cols), list(partition_cols)
     lead = order_cols[0]
@@ -49,8 +51,10 @@ def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequenc
 
     totals = b.groupBy(*partition_cols, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weight_cols])
     before = Window.partitionBy(*partition_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*partition_cols)
     offsets = totals.select(*partition_cols, "__b", *[
-        F.coalesce(F.sum(f"__t_{w}").over(before), F.lit(0)).alias(f"__o_{w}") for w in weight_cols])
+        F.coalesce(F.sum(f"__t_{w}").over(before), F.lit(0)).alias(f"__o_{w}") for w in weight_cols], *[
+        F.sum(f"__t_{w}").over(whole).alias(f"__g_{w}") for w in weight_cols])
     if broadcast_offsets:
         offsets = F.broadcast(offsets)
 
@@ -59,7 +63,8 @@ def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequenc
     joined = b.join(offsets, [*partition_cols, "__b"], "inner")
     return joined.select(
         *[F.col(c) for c in df.columns],
-        *[(F.col(f"__o_{w}") + F.sum(w).over(upto)).alias(f"{prefix}{w}") for w in weight_cols])
+        *[(F.col(f"__o_{w}") + F.sum(w).over(upto)).alias(f"{prefix}{w}") for w in weight_cols],
+        *[F.col(f"__g_{w}").alias(f"{total_prefix}{w}") for w in (weight_cols if total_prefix else [])])
 
 
 def exact_quantile_rows(counts: DataFrame, value_col: str, count_col: str, group_cols: Sequence[str],
@@ -70,9 +75,9 @@ def exact_quantile_rows(counts: DataFrame, value_col: str, count_col: str, group
     ranks ``floor((N+1)/2)`` and ``floor(N/2)+1`` (the interpolated median).
     """
     group_cols = list(group_cols)
-    ranked = running_total(counts, [value_col], [count_col], group_cols, n_buckets, prefix="__cum_")
-    sizes = counts.groupBy(*group_cols).agg(F.sum(count_col).alias("__total"))
-    r = ranked.join(F.broadcast(sizes), group_cols) if group_cols else ranked.crossJoin(F.broadcast(sizes))
+    r = running_total(counts, [value_col], [count_col], group_cols, n_buckets, prefix="__cum_",
+                      total_prefix="__total_")
+    r = r.withColumnRenamed(f"__total_{count_col}", "__total")
     cum = F.col(f"__cum_{count_col}")
     first = cum - F.col(count_col) + 1
     k1 = F.floor((F.col("__total") + 1) / 2)

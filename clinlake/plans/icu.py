@@ -13,7 +13,7 @@ from clinlake.functions import ratio_round
 from clinlake.operators.clean import edge_bin, equal_width_bin, null_sentinels
 from clinlake.operators.features import as_array, assemble, feature_columns, index_categories
 from clinlake.operators.impute import impute_mean_by, impute_median, impute_mode_by
-from clinlake.operators.split import shuffle_rows, union_slices
+from clinlake.operators.split import shuffle_rows, split_label, union_slices
 from clinlake.plans.standins import ICU_LABEL, ICU_NUMERIC, icu_table, table
 from clinlake.session import materialize
 
@@ -132,3 +132,15 @@ def q_seeded_shuffle_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_feature_table_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = as_array(icu_features(icu_source(spark, sf_dir)), "features")
     return d.select("RecordID", ICU_LABEL, F.transform("features", lambda x: F.round(x, 6)).alias("features"))
+
+
+def q_icu_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tuned logistic regression on the ICU features: accuracy, precision, ROC area."""
+    from clinlake.operators.evaluate import binary_scorecard
+    from clinlake.operators.models import LR_GRID, logistic, score, tune
+    d = icu_features(icu_source(spark, sf_dir))
+    parts = split_label(d, "RecordID", (0.8, 0.2), seed=SEED)
+    train, test = parts.where(F.col("part") == "train"), parts.where(F.col("part") == "test")
+    model = tune(logistic(), LR_GRID, train, ICU_LABEL, seed=SEED)
+    preds = score(model, test, ["RecordID"], ICU_LABEL)
+    return binary_scorecard(preds, "label", "prediction", "score")

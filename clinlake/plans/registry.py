@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinlake.plans import cohort, evaluation, icu, profile, scans, stroke, waveform
+from clinlake.plans import cohort, evaluation, icu, image, profile, scans, stroke, waveform
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,4 +62,15 @@ def queries() -> dict[str, Query]:
         "binary_scorecard": evaluation.q_binary_scorecard,
         "misclassified_rows": evaluation.q_misclassified_rows,
         "argmax_array": evaluation.q_argmax_array,
+        # models (rows-only checks: fitted models are not SQL-expressible)
+        "logistic_predictions": stroke.q_logistic_predictions,
+        "forest_predictions": stroke.q_forest_predictions,
+        "tuning_leaderboard": stroke.q_tuning_leaderboard,
+        "stroke_scorecard": stroke.q_stroke_scorecard,
+        "icu_scorecard": icu.q_icu_scorecard,
+        "tree_predictions": waveform.q_tree_predictions,
+        "multinomial_predictions": waveform.q_multinomial_predictions,
+        "waveform_metrics": waveform.q_waveform_metrics,
+        "mlp_predictions": image.q_mlp_predictions,
+        "mlp_report": image.q_mlp_report,
     }

@@ -84,3 +84,47 @@ def q_feature_table_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_split_80_20(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = stroke_source(spark, sf_dir)
     return split_label(s, "id", (0.8, 0.2), seed=SEED).select("id", "part")
+
+
+# ---------------------------------------------------------------- models
+
+# The forest query searches this sub-grid of ``RF_GRID`` (4 of 162 settings);
+# the full grid (6,480 trees) is ``models.RF_GRID`` for callers with the budget.
+RF_QUERY_GRID = {"maxDepth": [5, 10], "numTrees": [20], "impurity": ["gini", "entropy"]}
+
+
+def stroke_train_test(spark: SparkSession, sf_dir: str):
+    d = stroke_features(stroke_source(spark, sf_dir))
+    parts = split_label(d, "id", (0.8, 0.2), seed=SEED)
+    return parts.where(F.col("part") == "train"), parts.where(F.col("part") == "test")
+
+
+def _tuned_predictions(spark, sf_dir, estimator, spec):
+    from clinlake.operators.models import score, tune
+    train, test = stroke_train_test(spark, sf_dir)
+    model = tune(estimator, spec, train, LABEL, seed=SEED)
+    return model, score(model, test, ["id"], LABEL)
+
+
+def q_logistic_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinlake.operators.models import LR_GRID, logistic
+    return _tuned_predictions(spark, sf_dir, logistic(), LR_GRID)[1]
+
+
+def q_forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinlake.operators.models import forest
+    return _tuned_predictions(spark, sf_dir, forest(seed=SEED), RF_QUERY_GRID)[1]
+
+
+def q_tuning_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinlake.operators.models import LR_GRID, leaderboard, logistic
+    model, _ = _tuned_predictions(spark, sf_dir, logistic(), LR_GRID)
+    return leaderboard(spark, model)
+
+
+def q_stroke_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The workload's final output: accuracy, weighted precision, ROC area (4 places)."""
+    from clinlake.operators.evaluate import binary_scorecard
+    from clinlake.operators.models import LR_GRID, logistic
+    preds = _tuned_predictions(spark, sf_dir, logistic(), LR_GRID)[1]
+    return binary_scorecard(preds, "label", "prediction", "score")

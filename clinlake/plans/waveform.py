@@ -1,10 +1,19 @@
-"""Waveform-feature multiclass workload (embeddings stand in for ECG features)."""
+"""Waveform-feature multiclass workload (embeddings stand in for ECG features).
+
+Label index -> assemble -> vector index (categorical dims <= 100 values) ->
+70/30 split -> decision tree or multinomial logistic regression -> metrics.
+"""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clinlake.operators.features import vector_cardinality
+from clinlake.operators.evaluate import classification_metrics
+from clinlake.operators.features import index_vector, vector_cardinality
+from clinlake.operators.models import MULTINOMIAL_PARAMS, fit_pipeline, logistic, score, tree
 from clinlake.operators.split import split_label
 from clinlake.plans.standins import table
 
@@ -12,6 +21,29 @@ MAX_CATEGORIES = 100
 SEED = 42
 
 
+def waveform_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(vec_id, Labels, features vector)`` from the embeddings table."""
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", F.col("label").cast("string").alias("Labels"),
+                      array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+
+
+def waveform_predictions(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    data = waveform_table(spark, sf_dir)
+    # Both indexers are fitted on the whole table, as in the original flow, so
+    # no test row can hold an unseen label or category.
+    label_indexer = StringIndexer(inputCol="Labels", outputCol="indexedLabel").fit(data)
+    vec_indexer, max_bins = index_vector(data, "features", "indexedFeatures", MAX_CATEGORIES)
+    parts = split_label(data, "vec_id", (0.7, 0.3), seed=SEED)
+    train, test = parts.where(F.col("part") == "train"), parts.where(F.col("part") == "test")
+    if model == "tree":
+        est = tree(max_bins=max_bins, seed=SEED, labelCol="indexedLabel", featuresCol="indexedFeatures")
+    else:
+        est = logistic(labelCol="indexedLabel", featuresCol="indexedFeatures", **MULTINOMIAL_PARAMS)
+    fitted = fit_pipeline([label_indexer, vec_indexer, est], train)
+    return score(fitted, test, ["vec_id"], "indexedLabel", positive_index=None)
+
+
 def q_vector_index_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_cardinality(table(spark, sf_dir, "embeddings"), "embedding", MAX_CATEGORIES)
 
@@ -19,3 +51,16 @@ def q_vector_index_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_split_70_30(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
     return split_label(emb, "vec_id", (0.7, 0.3), seed=SEED).select("vec_id", "part")
+
+
+def q_tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return waveform_predictions(spark, sf_dir, "tree")
+
+
+def q_multinomial_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return waveform_predictions(spark, sf_dir, "multinomial")
+
+
+def q_waveform_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1, precision, recall and accuracy of the multinomial model on the test part."""
+    return classification_metrics(waveform_predictions(spark, sf_dir, "multinomial"), "label", "prediction")
