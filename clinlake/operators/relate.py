@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -56,18 +57,29 @@ def row_count(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def _any(predicates) -> Column:
+    return reduce(lambda a, b: a | b, list(predicates))
+
+
 def count_where(df: DataFrame, predicate: Column, name: str = "n") -> DataFrame:
-    """Rows where ``predicate`` is true (NULL counts as false), as a one-row frame."""
-    return df.agg(F.count_if(predicate).alias(name))
+    """Rows where ``predicate`` is true (NULL counts as false), as a one-row frame.
+
+    Written as filter-then-count so the predicate reaches the scan
+    (parquet row-group skipping) instead of being evaluated per row.
+    """
+    return df.where(predicate).agg(F.count(F.lit(1)).alias(name))
 
 
 def conditional_counts(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
     """Several filtered counts in one pass: one ``count_if`` per predicate.
 
     Replaces N separate ``filter(...).count()`` jobs (each a full scan) with a
-    single aggregate; partial aggregation means each task ships one row.
+    single aggregate; partial aggregation means each task ships one row.  The
+    OR of all predicates is applied first (rows failing every predicate add
+    nothing), so it can be pushed to the scan.
     """
-    return df.agg(*[F.count_if(p).alias(name) for name, p in predicates.items()])
+    return (df.where(_any(predicates.values()))
+            .agg(*[F.count_if(p).alias(name) for name, p in predicates.items()]))
 
 
 def long_counts(wide: DataFrame, names: Sequence[str], name_col: str = "name",
@@ -96,9 +108,11 @@ def cohort_counts(fact: DataFrame, dim: DataFrame, on, cohorts: Mapping[str, Col
     fk, dk = _keys(on)
     ev = list(events)
     co = list(cohorts)
-    fact_agg = (fact.groupBy(F.col(fk).alias("__k"))
+    # Rows matching no event (no cohort) add nothing: filter them first so
+    # the OR of the predicates can be pushed into each scan.
+    fact_agg = (fact.where(_any(events.values())).groupBy(F.col(fk).alias("__k"))
                 .agg(*[F.count_if(p).alias(f"__e{i}") for i, p in enumerate(events.values())]))
-    dim_agg = (dim.groupBy(F.col(dk).alias("__k"))
+    dim_agg = (dim.where(_any(cohorts.values())).groupBy(F.col(dk).alias("__k"))
                .agg(*[F.count_if(p).alias(f"__c{j}") for j, p in enumerate(cohorts.values())]))
     joined = fact_agg.join(dim_agg, "__k", "inner")
     wide = joined.agg(*[
