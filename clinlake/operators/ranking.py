@@ -17,6 +17,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clinlake.session import materialize
+
 
 def _default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -25,7 +27,8 @@ def _default_buckets(df: DataFrame) -> int:
 def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequence[str],
                   partition_cols: Sequence[str] = (), n_buckets: int | None = None,
                   accuracy: int = 10000, prefix: str = "cum_",
-                  broadcast_offsets: bool = True, total_prefix: str | None = None) -> DataFrame:
+                  broadcast_offsets: bool = True, total_prefix: str | None = None,
+                  checkpoint: bool = True) -> DataFrame:
     """Append ``<prefix><w>``: the sum of ``w`` over all rows up to and including
     this one, ordered by ``order_cols`` (ascending, NULLs first) within
     ``partition_cols``.
@@ -36,8 +39,14 @@ def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequenc
     groups is bounded (the offsets table has groups x buckets rows).
     ``total_prefix`` also appends ``<total_prefix><w>``, the group's grand
     total, taken from the same small per-bucket table.
+
+    The input is read three times (quantile edges, bucket totals, the ranked
+    rows); ``checkpoint`` stores it once in the shared checkpoint folder so
+    its upstream plan runs only once.
     """
     order_cols, weight_cols, partition_cols = list(order_cols), list(weight_cols), list(partition_cols)
+    if checkpoint:
+        df = materialize(df)
     lead = order_cols[0]
     n = n_buckets or _default_buckets(df)
     if n > 1:
