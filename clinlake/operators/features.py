@@ -57,19 +57,30 @@ def _array_col(df: DataFrame, col: str) -> F.Column:
     return vector_to_array(col)
 
 
-def vector_cardinality(df: DataFrame, col: str, max_categories: int = 100) -> DataFrame:
-    """Per dimension: number of distinct values and whether it counts as categorical
-    (``<= max_categories`` distinct values, the ``VectorIndexer`` rule).
-
-    Cells are exploded to ``(dim, value)``, de-duplicated by a grouped
-    aggregate (map-side combine absorbs repeated values) and counted per
-    dimension: two aggregations, no per-dimension driver loop.
+def vector_cardinality(df: DataFrame, col: str, max_categories: int = 100, margin: int = 4) -> DataFrame:
+    """Per dimension: ``n_values`` = number of distinct values capped at
+    ``max_categories + 1`` (so the cap means "more than max_categories"), and
+    ``is_categorical`` = ``n_values <= max_categories`` (the ``VectorIndexer`` rule).
+
+    Two passes, neither of which shuffles every cell of a continuous column:
+    one HLL sketch per dimension (partial aggregation ships only sketches)
+    finds the dimensions that could be categorical (estimate within
+    ``margin`` x the limit); exact distinct counts are then taken only for
+    those, where map-side de-duplication keeps at most a few hundred values
+    per dimension per task.  The candidate list is bounded by the vector width.
     """
+    cap = max_categories + 1
     cells = df.select(F.posexplode(_array_col(df, col)).alias("dim", "value"))
-    distinct = cells.groupBy("dim", "value").agg(F.lit(1).alias("__one"))
-    return (distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n_distinct"))
-            .select(F.col("dim").cast("int").alias("dim"), "n_distinct",
-                    (F.col("n_distinct") <= max_categories).alias("is_categorical")))
+    est = cells.groupBy("dim").agg(F.approx_count_distinct("value", 0.05).alias("est"))
+    est_rows = est.collect()  # bounded: one row per vector dimension
+    candidates = sorted(int(r.dim) for r in est_rows if r.est <= margin * cap)
+    exact = (cells.where(F.col("dim").isin(candidates))
+             .groupBy("dim", "value").agg(F.lit(1).alias("__one"))
+             .groupBy("dim").agg(F.count(F.lit(1)).alias("n")))
+    dims = df.sparkSession.createDataFrame([(int(r.dim),) for r in est_rows], "dim int")
+    out = dims.join(exact, "dim", "left").select(
+        "dim", F.least(F.coalesce(F.col("n"), F.lit(cap)), F.lit(cap)).cast("long").alias("n_values"))
+    return out.withColumn("is_categorical", F.col("n_values") <= max_categories)
 
 
 def index_vector(df: DataFrame, col: str, out: str = "indexedFeatures", max_categories: int = 100):

@@ -25,10 +25,20 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(cells.alias("__s")).select("__s.__col", "__s.__v").where(F.col("__v").isNotNull())
 
 
-def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000) -> DataFrame:
+# Largest distinct-value count for which one task may merge a column's
+# value -> count map (Spark's exact ``percentile``): ~32 bytes per entry.
+SINGLE_TASK_DISTINCT_LIMIT = 1_000_000
+
+
+def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000,
+            single_task_limit: int = SINGLE_TASK_DISTINCT_LIMIT) -> DataFrame:
     """One row ``(__med_<c> ...)`` with the median of each column.
 
-    Exact by default (interpolated, like pandas): values are counted per
+    Exact by default (interpolated, like pandas).  The exact path is chosen
+    behind a size check: one HLL pass estimates each column's distinct-value
+    count; when every column is under ``single_task_limit`` Spark's exact
+    ``median`` aggregate is used (its final merge holds one value -> count
+    map per column, bounded by that check).  Otherwise values are counted per
     distinct value and ranked with distributed running totals, so no task
     ever holds a whole column.  ``approx=True`` uses the bounded-memory
     ``percentile_approx`` sketch instead (a single aggregation pass).
@@ -37,6 +47,9 @@ def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy:
     if approx:
         return df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, accuracy).alias(f"__med_{c}")
                         for c in cols])
+    ndv = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    if max(ndv) <= single_task_limit:
+        return df.agg(*[F.median(F.col(f"`{c}`").cast("double")).alias(f"__med_{c}") for c in cols])
     counts = _long_values(df, cols).groupBy("__col", "__v").agg(F.count(F.lit(1)).alias("__n"))
     per_col = exact_quantile_rows(counts, "__v", "__n", ["__col"])
     return per_col.groupBy().pivot("__col", cols).agg(F.first("median")).select(

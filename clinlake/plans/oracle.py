@@ -370,7 +370,7 @@ def _more_sql() -> dict[str, str]:
                    list_transform({_double_list(icu_feats)}, lambda x: round(x, 6)) AS features FROM fi""",
         # waveform
         "vector_index_cardinality": """
-            SELECT CAST(dim AS INTEGER) AS dim, count(DISTINCT v) AS n_distinct,
+            SELECT CAST(dim AS INTEGER) AS dim, CAST(least(count(DISTINCT v), 101) AS BIGINT) AS n_values,
                    count(DISTINCT v) <= 100 AS is_categorical
             FROM (SELECT unnest(embedding) AS v, unnest(range(len(embedding))) AS dim FROM embeddings)
             GROUP BY dim""",

@@ -61,3 +61,13 @@ def test_mean_matches_pandas(spark):
         part = pdf[pdf.y == k].x
         expect = part.fillna(part.mean()).sum()
         assert abs([r.s for r in got if r.y == k][0] - expect) < 1e-9
+
+
+def test_median_paths_agree(spark):
+    rng = np.random.default_rng(9)
+    vals = rng.normal(size=2001)
+    df = spark.createDataFrame([(float(v), float(v) * 2) for v in vals], "a double, b double")
+    fast = medians(df, ["a", "b"]).first()
+    distributed = medians(df, ["a", "b"], single_task_limit=10).first()
+    assert fast["__med_a"] == distributed["__med_a"] == float(np.median(vals))
+    assert fast["__med_b"] == distributed["__med_b"]
