@@ -33,15 +33,21 @@ def _ratio(num: Column, den: Column) -> Column:
 def class_stats(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Per class: ``support`` (true count), ``predicted``, ``tp``, precision, recall, f1.
 
-    Classes seen only as predictions get support 0; a class never predicted
-    gets precision 0 (Spark's and sklearn's convention).
+    No join: every confusion cell contributes once as its label (support, tp)
+    and once as its prediction (predicted), and one grouped sum per class
+    combines them.  Classes seen only as predictions get support 0; a class
+    never predicted gets precision 0 (Spark's and sklearn's convention).
     """
     cm = confusion_matrix(df, label, prediction)
-    by_label = cm.groupBy(F.col("label").alias("class")).agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp"))
-    by_pred = cm.groupBy(F.col("prediction").alias("class")).agg(F.sum("n").alias("predicted"))
-    s = by_label.join(by_pred, "class", "full").fillna(0, ["support", "tp", "predicted"])
+    n = F.col("n")
+    contrib = F.explode(F.array(
+        F.struct(F.col("label").alias("class"), n.alias("support"),
+                 F.when(F.col("label") == F.col("prediction"), n).otherwise(F.lit(0).cast("long")).alias("tp"),
+                 F.lit(0).cast("long").alias("predicted")),
+        F.struct(F.col("prediction").alias("class"), F.lit(0).cast("long").alias("support"),
+                 F.lit(0).cast("long").alias("tp"), n.alias("predicted"))))
+    s = (cm.select(contrib.alias("c")).select("c.*").groupBy("class")
+         .agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted")))
     p = _ratio(F.col("tp"), F.col("predicted"))
     r = _ratio(F.col("tp"), F.col("support"))
     return (s.withColumn("precision", p).withColumn("recall", r)
@@ -65,22 +71,29 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
 def classification_report(df: DataFrame, names: Sequence[str], label: str = "label",
                           prediction: str = "prediction") -> DataFrame:
     """Per-class precision/recall/F1/support plus ``accuracy``, ``macro avg`` and
-    ``weighted avg`` rows.  ``names[i]`` names class ``i``."""
+    ``weighted avg`` rows.  ``names[i]`` names class ``i``.
+
+    One ``rollup`` over the per-class table yields the class rows and the
+    grand-total row; the total row is expanded into the three summary rows.
+    """
     s = class_stats(df, label, prediction)
+    ps, rs, fs = (F.col(c) * F.col("support") for c in ("precision", "recall", "f1"))
+    r = s.rollup("class").agg(
+        F.first("precision").alias("p"), F.first("recall").alias("r"), F.first("f1").alias("f"),
+        F.sum("support").alias("sup"), F.sum("tp").alias("tp"),
+        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
+        F.sum(ps).alias("wp"), F.sum(rs).alias("wr"), F.sum(fs).alias("wf"),
+        F.grouping("class").alias("total"))
     name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("class").cast("int") + 1)
-    per_class = s.select(name.alias("row_name"), "precision", "recall", "f1", F.col("support").cast("long"))
-    tot = F.sum("support")
-    acc = s.agg(F.lit("accuracy").alias("row_name"), F.lit(None).cast("double").alias("precision"),
-                F.lit(None).cast("double").alias("recall"), (F.sum("tp") / tot).alias("f1"),
-                tot.cast("long").alias("support"))
-    macro = s.agg(F.lit("macro avg").alias("row_name"), F.avg("precision").alias("precision"),
-                  F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), tot.cast("long").alias("support"))
-    weighted = s.agg(F.lit("weighted avg").alias("row_name"),
-                     (F.sum(F.col("precision") * F.col("support")) / tot).alias("precision"),
-                     (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
-                     (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"),
-                     tot.cast("long").alias("support"))
-    return per_class.unionByName(acc).unionByName(macro).unionByName(weighted)
+    nul = F.lit(None).cast("double")
+    row = lambda n, p, rc, f: F.struct(n.alias("row_name"), p.alias("precision"), rc.alias("recall"),
+                                       f.alias("f1"), F.col("sup").cast("long").alias("support"))
+    rows = F.when(F.col("total") == 0, F.array(row(name, F.col("p"), F.col("r"), F.col("f")))).otherwise(
+        F.array(row(F.lit("accuracy"), nul, nul, F.col("tp") / F.col("sup")),
+                row(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf")),
+                row(F.lit("weighted avg"), F.col("wp") / F.col("sup"), F.col("wr") / F.col("sup"),
+                    F.col("wf") / F.col("sup"))))
+    return r.select(F.explode(rows).alias("x")).select("x.*")
 
 
 def auc_roc(df: DataFrame, score: str, label: str, positive=1.0, n_buckets: int | None = None) -> DataFrame:
