@@ -57,21 +57,35 @@ def build_grid(estimator, spec: Mapping[str, Sequence]) -> list:
     return b.build()
 
 
+MAX_CONCURRENT_FITS = 16
+
+
+def default_parallelism(train: DataFrame, n_settings: int) -> int:
+    """Concurrent candidate fits: the cluster's default parallelism, capped by the
+    grid size and by ``MAX_CONCURRENT_FITS`` (each fit is itself a distributed job
+    driven from a driver thread)."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(n_settings, cores, MAX_CONCURRENT_FITS))
+
+
 def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
-         features: str = "features", train_ratio: float = 0.8, parallelism: int = 4,
+         features: str = "features", train_ratio: float = 0.8, parallelism: int | None = None,
          seed: int = 42, metric: str = "f1") -> TrainValidationSplitModel:
     """Single-split model selection: fit every setting on ``train_ratio`` of
     ``train``, score the rest with the (weighted F1 by default) multiclass
     metric, refit the best on all of ``train``.
 
     ``train`` is persisted while the search runs (every candidate re-reads
-    it); ``parallelism`` candidate fits run at once.
+    it); ``parallelism`` candidate fits run at once (default: see
+    ``default_parallelism``).
     """
     estimator = estimator.copy()
     estimator.setLabelCol(label).setFeaturesCol(features)
     evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
-    tvs = TrainValidationSplit(estimator=estimator, estimatorParamMaps=build_grid(estimator, spec),
-                               evaluator=evaluator, trainRatio=train_ratio, parallelism=parallelism,
+    grid = build_grid(estimator, spec)
+    tvs = TrainValidationSplit(estimator=estimator, estimatorParamMaps=grid,
+                               evaluator=evaluator, trainRatio=train_ratio,
+                               parallelism=parallelism or default_parallelism(train, len(grid)),
                                seed=seed)
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:

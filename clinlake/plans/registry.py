@@ -71,6 +71,7 @@ def queries() -> dict[str, Query]:
         "tree_predictions": waveform.q_tree_predictions,
         "multinomial_predictions": waveform.q_multinomial_predictions,
         "waveform_metrics": waveform.q_waveform_metrics,
+        "tree_misclassified": waveform.q_tree_misclassified,
         "mlp_predictions": image.q_mlp_predictions,
         "mlp_report": image.q_mlp_report,
     }

@@ -64,3 +64,10 @@ def q_multinomial_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_waveform_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1, precision, recall and accuracy of the multinomial model on the test part."""
     return classification_metrics(waveform_predictions(spark, sf_dir, "multinomial"), "label", "prediction")
+
+
+def q_tree_misclassified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows the decision tree gets wrong: (prediction, label, probability), all of them."""
+    from clinlake.operators.evaluate import misclassified
+    preds = waveform_predictions(spark, sf_dir, "tree")
+    return misclassified(preds, "label", "prediction", ["vec_id", "prediction", "label", "probability"])
