@@ -1,9 +1,14 @@
 """Model training, tuning and scoring on Spark ML.
 
-Training data is persisted (memory and disk) for the duration of a fit, the
-tuning search runs candidate fits in parallel, and scoring appends the
-positive-class probability as a plain column, so metrics never need the
-predictions on the driver.
+Training data is made *stable* before a fit: written once as parquet to the
+shared folder and persisted (memory and disk) from those files.  Iterative
+fits then never re-run the feature pipeline, and a cache block lost with an
+executor is re-read from identical files, so seeded sampling inside the
+estimators (the train/validation split of the tuner, forest bootstraps)
+sees exactly the same partitions on recomputation.  The tuning search runs
+candidate fits in parallel, and scoring appends the positive-class
+probability as a plain column, so metrics never need the predictions on the
+driver.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinlake.session import materialize
+
 # Hyper-parameter grids of the tuned workloads
 # (logistic regression: 2 x 2 x 2 x 2 = 16 settings;
 #  random forest: 3 x 3 x 3 x 2 x 3 = 162 settings).
@@ -75,8 +82,9 @@ def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
     ``train``, score the rest with the (weighted F1 by default) multiclass
     metric, refit the best on all of ``train``.
 
-    ``train`` is persisted while the search runs (every candidate re-reads
-    it); ``parallelism`` candidate fits run at once (default: see
+    ``train`` is made stable while the search runs (every candidate re-reads
+    it, and the tuner's seeded split must see the same rows after a
+    recomputation); ``parallelism`` candidate fits run at once (default: see
     ``default_parallelism``).
     """
     estimator = estimator.copy()
@@ -87,7 +95,7 @@ def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
                                evaluator=evaluator, trainRatio=train_ratio,
                                parallelism=parallelism or default_parallelism(train, len(grid)),
                                seed=seed)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = stable(train, "tune-input")
     try:
         return tvs.fit(cached)
     finally:
@@ -127,11 +135,16 @@ def perceptron(layers: Sequence[int], max_iter: int = 100, seed: int = 42, **par
     return MultilayerPerceptronClassifier(layers=list(layers), maxIter=max_iter, seed=seed, **params)
 
 
+def stable(train: DataFrame, name: str = "train-input") -> DataFrame:
+    """Written-then-persisted copy of ``train`` (see module docstring)."""
+    return materialize(train, name).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit(estimator, train: DataFrame, label: str, features: str = "features"):
-    """Fit one estimator on a persisted training frame."""
+    """Fit one estimator on a stable copy of the training frame."""
     est = estimator.copy()
     est.setLabelCol(label).setFeaturesCol(features)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = stable(train)
     try:
         return est.fit(cached)
     finally:
@@ -139,7 +152,8 @@ def fit(estimator, train: DataFrame, label: str, features: str = "features"):
 
 
 def fit_pipeline(stages: Sequence, train: DataFrame) -> PipelineModel:
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit a pipeline of (fitted or unfitted) stages on a stable copy of ``train``."""
+    cached = stable(train)
     try:
         return Pipeline(stages=list(stages)).fit(cached)
     finally:
