@@ -24,11 +24,16 @@ def _default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+# Largest input a single task may window over (rows of a pre-aggregated
+# table: a few tens of MB).  Above it the bucketed, distributed path runs.
+SINGLE_TASK_ROW_LIMIT = 1_000_000
+
+
 def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequence[str],
                   partition_cols: Sequence[str] = (), n_buckets: int | None = None,
                   accuracy: int = 10000, prefix: str = "cum_",
                   broadcast_offsets: bool = True, total_prefix: str | None = None,
-                  checkpoint: bool = True) -> DataFrame:
+                  checkpoint: bool = True, single_task_limit: int = SINGLE_TASK_ROW_LIMIT) -> DataFrame:
     """Append ``<prefix><w>``: the sum of ``w`` over all rows up to and including
     this one, ordered by ``order_cols`` (ascending, NULLs first) within
     ``partition_cols``.
@@ -42,11 +47,16 @@ def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequenc
 
     The input is read three times (quantile edges, bucket totals, the ranked
     rows); ``checkpoint`` stores it once in the shared checkpoint folder so
-    its upstream plan runs only once.
+    its upstream plan runs only once.  The stored copy's row count (read from
+    parquet footers) is the size check for the small path: at most
+    ``single_task_limit`` rows are ranked by one window per group with no
+    buckets at all.
     """
     order_cols, weight_cols, partition_cols = list(order_cols), list(weight_cols), list(partition_cols)
     if checkpoint:
         df = materialize(df)
+        if n_buckets is None and df.count() <= single_task_limit:
+            n_buckets = 1
     lead = order_cols[0]
     n = n_buckets or _default_buckets(df)
     if n > 1:
@@ -56,7 +66,13 @@ def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequenc
             F.size(F.filter("__edges", lambda e: e < F.col(lead).cast("double"))), F.lit(0))
         b = df.crossJoin(F.broadcast(edges)).withColumn("__b", bucket).drop("__edges")
     else:
-        b = df.withColumn("__b", F.lit(0))
+        upto = (Window.partitionBy(*partition_cols).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        whole = Window.partitionBy(*partition_cols)
+        return df.select(
+            *[F.col(c) for c in df.columns],
+            *[F.sum(w).over(upto).alias(f"{prefix}{w}") for w in weight_cols],
+            *[F.sum(w).over(whole).alias(f"{total_prefix}{w}") for w in (weight_cols if total_prefix else [])])
 
     totals = b.groupBy(*partition_cols, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weight_cols])
     before = Window.partitionBy(*partition_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
