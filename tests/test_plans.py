@@ -43,3 +43,10 @@ def test_library_never_pulls_data_to_the_driver():
                     if bad.search(line) and "# bounded:" not in line:
                         hits.append(f"{f}:{i}: {line.strip()}")
     assert hits == []
+
+
+def test_cohort_counts_is_one_join_of_two_aggregates(spark):
+    df = E.queries()["cohort_counts"](spark, SF01)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1
+    assert plan.count("Aggregate [") == 3  # fact side, dimension side, final sum
