@@ -129,8 +129,10 @@ def tree(max_bins: int = 32, seed: int = 42, **params) -> DecisionTreeClassifier
 def perceptron(layers: Sequence[int], max_iter: int = 100, seed: int = 42, **params) -> MultilayerPerceptronClassifier:
     """Feed-forward classifier (sigmoid hidden layers, softmax output, L-BFGS).
 
-    The weights live on the driver, so the input width should be reduced
-    (e.g. PCA) before very wide feature vectors reach it.
+    The weights (and L-BFGS state) live on the driver, so very wide inputs
+    should first be narrowed with a distributed per-feature selection such as
+    ``UnivariateFeatureSelector`` (one statistic per feature; PCA would need a
+    width x width covariance matrix on the driver).
     """
     return MultilayerPerceptronClassifier(layers=list(layers), maxIter=max_iter, seed=seed, **params)
 
