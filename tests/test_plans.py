@@ -45,8 +45,18 @@ def test_library_never_pulls_data_to_the_driver():
     assert hits == []
 
 
-def test_cohort_counts_is_one_join_of_two_aggregates(spark):
-    df = E.queries()["cohort_counts"](spark, SF01)
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+def test_cohort_counts_plans_behind_a_size_check(spark):
+    from clinlake.operators.relate import cohort_counts
+    from clinlake.plans.standins import cohort_predicates, table
+    cohorts, events = cohort_predicates()
+    orders, customer = table(spark, SF01, "orders"), table(spark, SF01, "customer")
+    on = ("o_custkey", "c_custkey")
+    small = cohort_counts(orders, customer, on, cohorts, events)
+    plan = small._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and "broadcast" in plan.lower()
+    assert plan.count("Aggregate [") == 1  # one pass over the fact table, no fact shuffle
+    eager = cohort_counts(orders, customer, on, cohorts, events, broadcast_bytes=-1)
+    plan = eager._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") == 1
     assert plan.count("Aggregate [") == 3  # fact side, dimension side, final sum
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, eager.collect()))

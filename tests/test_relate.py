@@ -20,12 +20,14 @@ def test_cohort_counts_equals_brute_force(spark):
     cohorts = {"M": F.col("g") == "M", "F": F.col("g") == "F",
                "other": ~F.col("g").isin("M", "F")}
     events = {"a": F.col("ev") == "a", "b": F.col("ev") == "b"}
-    got = {(r.cohort, r.event): r.n for r in cohort_counts(fact, dim, "k", cohorts, events).collect()}
     joined = fact.join(dim, "k")
     preds = {f"{c}|{e}": cp & ep for c, cp in cohorts.items() for e, ep in events.items()}
     brute = conditional_counts(joined, preds).first().asDict()
-    assert got == {tuple(k.split("|")): v for k, v in brute.items()}
-    assert len(got) == 6
+    for limit in (None, -1):  # broadcast plan and eager-aggregation plan
+        got = {(r.cohort, r.event): r.n
+               for r in cohort_counts(fact, dim, "k", cohorts, events, broadcast_bytes=limit).collect()}
+        assert got == {tuple(k.split("|")): v for k, v in brute.items()}
+        assert len(got) == 6
 
 
 def test_cohort_counts_single_aggregate_plan(spark):
