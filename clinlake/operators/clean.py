@@ -59,53 +59,61 @@ def age_bands(c: str = "age"):
                            (lambda x: (x > 30) & (x < 40), "MiddleAge")], "OldAge")
 
 
+def min_max(df: DataFrame, col: str) -> tuple[float | None, float | None]:
+    """Observed range of ``col`` from one distributed aggregate."""
+    r = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi")).first()  # bounded: one row
+    return r.lo, r.hi
+
+
 def equal_width_bin(df: DataFrame, col: str, labels: Sequence[str], index_col: str,
-                    label_col: str | None = None) -> DataFrame:
+                    label_col: str | None = None, bounds: tuple | None = None) -> DataFrame:
     """Equal-width bins over the observed range, right-closed, minimum in bin 0.
 
-    One global ``min/max`` aggregate (one row, broadcast) feeds a per-row
-    expression ``ceil((x-lo)*k/(hi-lo)) - 1`` clamped to ``[0, k-1]``; this is
-    the rule of pandas' ``cut(x, bins=k)``.  NULL stays NULL.  When all values
-    are equal every row lands in the middle bin.  ``labels`` only name the
-    bins; the edges come from the data.
+    Fit: one global ``min/max`` aggregate (or ``bounds`` given).  Apply: the
+    per-row expression ``ceil((x-lo)*k/(hi-lo)) - 1`` clamped to ``[0, k-1]``
+    with the range inlined as literals; this is the rule of pandas'
+    ``cut(x, bins=k)``.  NULL stays NULL.  When all values are equal every row
+    lands in the middle bin.  ``labels`` only name the bins; the edges come
+    from the data.
     """
     k = len(labels)
-    stats = df.agg(F.min(col).cast("double").alias("__lo"), F.max(col).cast("double").alias("__hi"))
+    lo, hi = bounds if bounds is not None else min_max(df, col)
     x = F.col(col).cast("double")
-    lo, hi = F.col("__lo"), F.col("__hi")
-    span = hi - lo
-    idx = (F.when(x.isNull(), F.lit(None))
-           .when(span == 0, F.lit((k + 1) // 2 - 1))
-           .otherwise(F.least(F.greatest(F.ceil((x - lo) * F.lit(k) / span) - 1, F.lit(0)), F.lit(k - 1)))
-           .cast("int"))
-    out = df.crossJoin(F.broadcast(stats)).withColumn(index_col, idx)
+    if lo is None:
+        idx = F.lit(None).cast("int")
+    elif hi == lo:
+        idx = F.when(x.isNotNull(), F.lit((k + 1) // 2 - 1)).cast("int")
+    else:
+        scaled = (x - F.lit(lo)) * F.lit(k) / F.lit(hi - lo)
+        idx = F.when(x.isNotNull(), F.least(F.greatest(F.ceil(scaled) - 1, F.lit(0)), F.lit(k - 1))).cast("int")
+    out = df.withColumn(index_col, idx)
     if label_col:
         names = F.array(*[F.lit(s) for s in labels])
         out = out.withColumn(label_col, F.when(F.col(index_col).isNotNull(),
                                                F.element_at(names, F.col(index_col) + 1)))
-    return out.drop("__lo", "__hi")
+    return out
 
 
 def edge_bin(df: DataFrame, col: str, inner_edges: Sequence[float], labels: Sequence[str],
-             out_col: str, lowest: str = "null") -> DataFrame:
+             out_col: str, lowest: str = "null", bounds: tuple | None = None) -> DataFrame:
     """Bins with data-driven outer edges ``[min, *inner_edges, max]``, right-closed.
 
     As in pandas' ``cut`` with explicit bins, a row equal to the minimum falls
     outside every bin and gets NULL (``lowest="include"`` puts it in the first
     bin instead).  Edges that do not increase (``min >= inner_edges[0]`` or
-    ``max <= inner_edges[-1]``) raise an error when the plan runs.
+    ``max <= inner_edges[-1]``) raise ``ValueError`` when the range is fitted.
     """
     if len(labels) != len(inner_edges) + 1:
         raise ValueError("need one label per bin")
-    stats = df.agg(F.min(col).cast("double").alias("__lo"), F.max(col).cast("double").alias("__hi"))
+    lo, hi = bounds if bounds is not None else min_max(df, col)
     x = F.col(col).cast("double")
-    lo, hi = F.col("__lo"), F.col("__hi")
-    below = x <= lo if lowest == "null" else x < lo
+    if lo is None:
+        return df.withColumn(out_col, F.lit(None).cast("string"))
+    if lo >= inner_edges[0] or hi <= inner_edges[-1]:
+        raise ValueError(f"bin edges for {col} must increase: {[lo, *inner_edges, hi]}")
+    below = x <= F.lit(lo) if lowest == "null" else x < F.lit(lo)
     expr = F.when(x.isNull() | below, F.lit(None))
     for edge, lab in zip(inner_edges, labels[:-1]):
         expr = expr.when(x <= F.lit(float(edge)), F.lit(lab))
-    expr = expr.when(x <= hi, F.lit(labels[-1]))
-    bad = (lo >= F.lit(float(inner_edges[0]))) | (hi <= F.lit(float(inner_edges[-1])))
-    guarded = F.when(bad, F.raise_error(F.lit(f"bin edges for {col} must increase"))).otherwise(expr)
-    return (df.crossJoin(F.broadcast(stats)).withColumn(out_col, guarded.cast("string"))
-            .drop("__lo", "__hi"))
+    expr = expr.when(x <= F.lit(hi), F.lit(labels[-1]))
+    return df.withColumn(out_col, expr.cast("string"))

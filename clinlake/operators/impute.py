@@ -1,10 +1,12 @@
 """Imputation: global median, per-class mean, per-class mode.
 
-Each statistic is reduced to ONE row (all columns, all classes side by side)
-by a distributed aggregate, broadcast to every task with a cross join of that
-single row, and applied with ``coalesce``.  Nothing data-sized moves to the
-driver or into one task, and a class holding most of the rows is no problem:
-there is no join or window keyed on the class.
+Fit/apply, as Spark ML's ``Imputer`` does: each statistic is reduced to ONE
+bounded row (all columns, all classes side by side) by a distributed
+aggregate, and the fill values are applied as literals in a single
+projection with ``coalesce``.  Nothing data-sized moves to the driver or
+into one task, a class holding most of the rows is no problem (there is no
+join or window keyed on the class), and a chain of imputations stays a
+chain of projections over one input instead of nested re-computations.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ SINGLE_TASK_DISTINCT_LIMIT = 1_000_000
 
 
 def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000,
-            single_task_limit: int = SINGLE_TASK_DISTINCT_LIMIT) -> DataFrame:
-    """One row ``(__med_<c> ...)`` with the median of each column.
+            single_task_limit: int = SINGLE_TASK_DISTINCT_LIMIT) -> dict:
+    """``{column: median}`` for each of ``cols`` (None for an all-NULL column).
 
     Exact by default (interpolated, like pandas).  The exact path is chosen
     behind a size check: one HLL pass estimates each column's distinct-value
@@ -45,66 +47,76 @@ def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy:
     """
     cols = list(cols)
     if approx:
-        return df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, accuracy).alias(f"__med_{c}")
-                        for c in cols])
-    ndv = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+        r = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, accuracy).alias(f"m{i}")
+                     for i, c in enumerate(cols)]).first()  # bounded: one row
+        return dict(zip(cols, r))
+    ndv = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{i}")
+                   for i, c in enumerate(cols)]).first()  # bounded: one row
     if max(ndv) <= single_task_limit:
-        return df.agg(*[F.median(F.col(f"`{c}`").cast("double")).alias(f"__med_{c}") for c in cols])
+        r = df.agg(*[F.median(F.col(f"`{c}`").cast("double")).alias(f"m{i}")
+                     for i, c in enumerate(cols)]).first()  # bounded: one row
+        return dict(zip(cols, r))
     counts = _long_values(df, cols).groupBy("__col", "__v").agg(F.count(F.lit(1)).alias("__n"))
     per_col = exact_quantile_rows(counts, "__v", "__n", ["__col"])
-    return per_col.groupBy().pivot("__col", cols).agg(F.first("median")).select(
-        *[F.col(f"`{c}`").alias(f"__med_{c}") for c in cols])
+    found = {r["__col"]: r["median"] for r in per_col.collect()}  # bounded: one row per column
+    return {c: found.get(c) for c in cols}
+
+
+def _lit(value, dtype: str) -> F.Column:
+    return F.lit(value).cast(dtype)
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Fill NULLs of ``cols`` with the column median (column types are kept)."""
     cols = list(cols)
     types = dict(df.dtypes)
-    stats = F.broadcast(medians(df, cols, approx))
-    filled = df.crossJoin(stats)
-    return filled.select(*[
-        F.coalesce(F.col(f"`{c}`"), F.col(f"__med_{c}").cast(types[c])).alias(c) if c in cols
-        else F.col(f"`{c}`") for c in df.columns])
+    med = medians(df, cols, approx)
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), _lit(med[c], types[c])) for c in cols})
 
 
-def _by_class(label: str, classes: Sequence, name: str) -> F.Column:
-    """CASE label WHEN class_i THEN <name>_i END."""
+def _by_class(label: str, classes: Sequence, values: Sequence, dtype: str) -> F.Column:
+    """CASE label WHEN class_i THEN value_i END (values inlined as literals)."""
     expr = None
-    for i, cls in enumerate(classes):
+    for cls, val in zip(classes, values):
         cond = F.col(f"`{label}`") == F.lit(cls)
-        val = F.col(f"{name}_{i}")
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+        expr = F.when(cond, _lit(val, dtype)) if expr is None else expr.when(cond, _lit(val, dtype))
     return expr
 
 
+def class_means(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> dict:
+    """``{column: [mean of class_0, mean of class_1, ...]}`` from one global
+    aggregate of conditional averages (one row)."""
+    cols, classes = list(cols), list(classes)
+    lab = F.col(f"`{label}`")
+    r = df.agg(*[F.avg(F.when(lab == F.lit(k), F.col(f"`{c}`"))).alias(f"m{j}_{i}")
+                 for j, c in enumerate(cols) for i, k in enumerate(classes)]).first()  # bounded: one row
+    return {c: [r[f"m{j}_{i}"] for i in range(len(classes))] for j, c in enumerate(cols)}
+
+
 def impute_mean_by(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> DataFrame:
     """Fill NULLs of ``cols`` with the mean of the row's class.
 
-    Rows whose label is not one of ``classes`` are dropped (the two class
-    slices are the whole output).  All means come from one global aggregate
-    of conditional averages: one row, so the broadcast is bounded by
-    ``len(cols) * len(classes)`` values.
+    Rows whose label is not one of ``classes`` are dropped (the class slices
+    are the whole output).
     """
     cols, classes = list(cols), list(classes)
-    lab = F.col(f"`{label}`")
-    stats = df.agg(*[F.avg(F.when(lab == F.lit(k), F.col(f"`{c}`"))).alias(f"__mean_{c}_{i}")
-                     for c in cols for i, k in enumerate(classes)])
-    kept = df.where(lab.isin(classes)).crossJoin(F.broadcast(stats))
     types = dict(df.dtypes)
-    return kept.select(*[
-        F.coalesce(F.col(f"`{c}`"), _by_class(label, classes, f"__mean_{c}").cast(types[c])).alias(c)
-        if c in cols else F.col(f"`{c}`") for c in df.columns])
+    means = class_means(df, label, cols, classes)
+    kept = df.where(F.col(f"`{label}`").isin(classes))
+    return kept.withColumns({c: F.coalesce(F.col(f"`{c}`"), _by_class(label, classes, means[c], types[c]))
+                             for c in cols})
 
 
-def class_modes(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> DataFrame:
-    """One row ``(__mode_<c>_<i> ...)``: most frequent non-NULL value of each
+def class_modes(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> dict:
+    """``{column: [mode of class_0, ...]}``: most frequent non-NULL value of each
     column within each class; ties go to the lowest value.
 
     All columns in one pass: cells are unpivoted to ``(column, value)``,
     counted per class with conditional counts (map-side combine absorbs hot
     values), and ``min(struct(-count, value))`` per column picks the winner.
     Numeric columns order by their numeric value, text by its text.  Both
-    steps are ordinary aggregates; no group is ever collected.
+    steps are ordinary aggregates; no group is ever collected, and the result
+    has one row per column.
     """
     cols, classes = list(cols), list(classes)
     lab = F.col(f"`{label}`")
@@ -122,22 +134,23 @@ def class_modes(df: DataFrame, label: str, cols: Sequence[str], classes: Sequenc
     winners = counts.groupBy("c").agg(*[
         F.min(F.when(F.col(f"n{i}") > 0, F.struct((-F.col(f"n{i}")).alias("neg"), "num", "txt"))).alias(f"m{i}")
         for i in range(len(classes))])
-    one = winners.groupBy().pivot("c", cols).agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(len(classes))])
-    out = []
+    found = {r["c"]: r for r in winners.collect()}  # bounded: one row per column
+    out = {}
     for c in cols:
+        row = found.get(c)
+        vals = []
         for i in range(len(classes)):
-            w = F.col(f"`{c}_m{i}`") if len(classes) > 1 else F.col(f"`{c}`")
-            v = w.getField("num") if c in numeric else w.getField("txt")
-            out.append(v.cast(types[c]).alias(f"__mode_{c}_{i}"))
-    return one.select(*out)
+            w = row[f"m{i}"] if row is not None else None
+            vals.append(None if w is None else (w["num"] if c in numeric else w["txt"]))
+        out[c] = vals
+    return out
 
 
 def impute_mode_by(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> DataFrame:
     """Fill NULLs of ``cols`` with the class mode (ties -> lowest value)."""
     cols, classes = list(cols), list(classes)
-    stats = F.broadcast(class_modes(df, label, cols, classes))
-    kept = df.where(F.col(f"`{label}`").isin(classes)).crossJoin(stats)
     types = dict(df.dtypes)
-    return kept.select(*[
-        F.coalesce(F.col(f"`{c}`"), _by_class(label, classes, f"__mode_{c}").cast(types[c])).alias(c)
-        if c in cols else F.col(f"`{c}`") for c in df.columns])
+    modes = class_modes(df, label, cols, classes)
+    kept = df.where(F.col(f"`{label}`").isin(classes))
+    return kept.withColumns({c: F.coalesce(F.col(f"`{c}`"), _by_class(label, classes, modes[c], types[c]))
+                             for c in cols})

@@ -37,18 +37,18 @@ def icu_clean(src: DataFrame) -> DataFrame:
 def icu_prepared(src: DataFrame, checkpoint: bool = True) -> DataFrame:
     """Sentinels -> age bins -> median fill -> BMI -> BMI bins (BMI itself dropped).
 
-    With ``checkpoint`` the cleaned input and the prepared table are written
-    to the shared checkpoint folder, so each later statistic scans stored
-    files instead of re-running the whole chain of earlier statistics.
+    With ``checkpoint`` the cleaned input (a join of the source tables) is
+    written once to the shared folder.  Every statistic after it is fitted by
+    one aggregate over that table and applied as literals, so the whole
+    recipe is a chain of projections over one stored input.
     """
     d = icu_clean(src)
     if checkpoint:
-        d = materialize(d)
+        d = materialize(d, "icu-clean")
     d = equal_width_bin(d, "Age", AGE_LABELS, "__age_bin", "age_group").drop("__age_bin")
     d = impute_median(d, ["Height", "Weight"])
     d = d.withColumn("bmi", ratio_round("Weight", "Height"))
-    d = edge_bin(d, "bmi", BMI_EDGES, BMI_LABELS, "bmi_group").drop("bmi")
-    return materialize(d) if checkpoint else d
+    return edge_bin(d, "bmi", BMI_EDGES, BMI_LABELS, "bmi_group").drop("bmi")
 
 
 def icu_imputed(src: DataFrame, checkpoint: bool = True) -> DataFrame:
@@ -56,8 +56,7 @@ def icu_imputed(src: DataFrame, checkpoint: bool = True) -> DataFrame:
     d = icu_prepared(src, checkpoint)
     cat, num = feature_columns(d, CATEGORICAL, ["RecordID", ICU_LABEL])
     d = impute_mean_by(d, ICU_LABEL, num, CLASSES)
-    d = impute_mode_by(d, ICU_LABEL, cat, CLASSES)
-    return materialize(d) if checkpoint else d
+    return impute_mode_by(d, ICU_LABEL, cat, CLASSES)
 
 
 def icu_features(src: DataFrame, drop_id: bool = True, dedupe: bool = True) -> DataFrame:
