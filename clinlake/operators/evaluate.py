@@ -118,10 +118,10 @@ def binary_scorecard(df: DataFrame, label: str, prediction: str, score: str, dig
     """One row ``(accuracy, precision, roc_auc)`` rounded to ``digits`` places
     (precision is support-weighted)."""
     m = classification_metrics(df, label, prediction)
-    a = auc_roc(df, score, label)
-    return m.crossJoin(a).select(F.round("accuracy", digits).alias("accuracy"),
-                                 F.round("weighted_precision", digits).alias("precision"),
-                                 F.round("auc", digits).alias("roc_auc"))
+    auc = auc_roc(df, score, label).first().auc  # bounded: one row
+    return m.select(F.round("accuracy", digits).alias("accuracy"),
+                    F.round("weighted_precision", digits).alias("precision"),
+                    F.round(F.lit(auc).cast("double"), digits).alias("roc_auc"))
 
 
 def positive_score(probability: str = "probability", index: int = 1) -> Column:

@@ -61,10 +61,10 @@ def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequenc
     n = n_buckets or _default_buckets(df)
     if n > 1:
         fractions = [i / n for i in range(1, n)]
-        edges = df.agg(F.percentile_approx(F.col(lead).cast("double"), fractions, accuracy).alias("__edges"))
-        bucket = F.coalesce(
-            F.size(F.filter("__edges", lambda e: e < F.col(lead).cast("double"))), F.lit(0))
-        b = df.crossJoin(F.broadcast(edges)).withColumn("__b", bucket).drop("__edges")
+        found = df.agg(F.percentile_approx(F.col(lead).cast("double"), fractions, accuracy)).first()[0]  # bounded: n-1 edges
+        edges = F.array(*[F.lit(float(e)) for e in (found or [])]).cast("array<double>")
+        bucket = F.coalesce(F.size(F.filter(edges, lambda e: e < F.col(lead).cast("double"))), F.lit(0))
+        b = df.withColumn("__b", bucket)
     else:
         upto = (Window.partitionBy(*partition_cols).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
