@@ -77,7 +77,7 @@ def default_parallelism(train: DataFrame, n_settings: int) -> int:
 
 def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
          features: str = "features", train_ratio: float = 0.8, parallelism: int | None = None,
-         seed: int = 42, metric: str = "f1") -> TrainValidationSplitModel:
+         seed: int = 42, metric: str = "f1", stabilize: bool = True) -> TrainValidationSplitModel:
     """Single-split model selection: fit every setting on ``train_ratio`` of
     ``train``, score the rest with the (weighted F1 by default) multiclass
     metric, refit the best on all of ``train``.
@@ -85,7 +85,8 @@ def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
     ``train`` is made stable while the search runs (every candidate re-reads
     it, and the tuner's seeded split must see the same rows after a
     recomputation); ``parallelism`` candidate fits run at once (default: see
-    ``default_parallelism``).
+    ``default_parallelism``).  ``stabilize=False`` only persists: for input
+    that is already a deterministic filter of a stored table.
     """
     estimator = estimator.copy()
     estimator.setLabelCol(label).setFeaturesCol(features)
@@ -95,7 +96,7 @@ def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
                                evaluator=evaluator, trainRatio=train_ratio,
                                parallelism=parallelism or default_parallelism(train, len(grid)),
                                seed=seed)
-    cached = stable(train, "tune-input")
+    cached = stable(train, "tune-input") if stabilize else train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return tvs.fit(cached)
     finally:
