@@ -17,12 +17,14 @@ from clinlake.operators.split import shuffle_rows, split_label, union_slices
 from clinlake.plans.standins import ICU_LABEL, ICU_NUMERIC, icu_table, table
 from clinlake.session import materialize
 
-# Bin labels, BMI edges and categorical columns of the ICU recipe.
+# Bin labels, BMI edges, categorical columns, label classes and
+# train/test weights of the ICU recipe.
 AGE_LABELS = ["<20", "20s", "30s", "40s", "50s", "60s", "70s", "80s", "90s"]
 BMI_EDGES = [18.5, 24.9, 29.9]
 BMI_LABELS = ["Underweight", "Healthy", "Overweight", "Obesity"]
 CATEGORICAL = ["Gender", "ICUType", "age_group", "bmi_group"]
 CLASSES = (0, 1)
+SPLIT = (0.8, 0.2)
 SEED = 42
 
 
@@ -138,7 +140,7 @@ def q_icu_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clinlake.operators.evaluate import binary_scorecard
     from clinlake.operators.models import LR_GRID, logistic, score, tune
     # Feature table stored once; train/test are deterministic filters of it.
-    d = materialize(split_label(icu_features(icu_source(spark, sf_dir)), "RecordID", (0.8, 0.2), seed=SEED),
+    d = materialize(split_label(icu_features(icu_source(spark, sf_dir)), "RecordID", SPLIT, seed=SEED),
                     "icu-features")
     train, test = d.where(F.col("part") == "train"), d.where(F.col("part") == "test")
     model = tune(logistic(), LR_GRID, train, ICU_LABEL, seed=SEED, stabilize=False)

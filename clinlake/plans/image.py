@@ -19,7 +19,7 @@ from clinlake.sources import read_label_matrix, write_label_matrix
 from clinlake.plans.standins import table
 
 SEED = 42
-# Hidden layer widths of the feed-forward classifier.
+# Hidden layer widths, scaled to the 64-wide stand-in features.
 HIDDEN = (32, 16)
 N_CLASSES = 10
 MAX_ITER = 100

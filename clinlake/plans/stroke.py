@@ -13,11 +13,13 @@ from clinlake.plans.standins import stroke_table, table
 from clinlake.session import materialize
 
 LABEL = "stroke"
-# Categorical columns and the feature order of the stroke recipe.
+# Categorical columns, feature order, BMI fill value and the
+# train/test weights of the stroke recipe.
 CATEGORICAL = ["age", "gender", "ever_married", "work_type", "smoking_status", "Residence_type"]
 FEATURES = ["gender_label", "age_label", "hypertension", "heart_disease", "ever_married_label",
             "work_type_label", "Residence_type_label", "avg_glucose_level", "bmi", "smoking_status_label"]
 BMI_FILL = 28
+SPLIT = (0.8, 0.2)
 SEED = 42
 
 
@@ -84,7 +86,7 @@ def q_feature_table_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_split_80_20(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = stroke_source(spark, sf_dir)
-    return split_label(s, "id", (0.8, 0.2), seed=SEED).select("id", "part")
+    return split_label(s, "id", SPLIT, seed=SEED).select("id", "part")
 
 
 # ---------------------------------------------------------------- models
@@ -92,7 +94,7 @@ def q_split_80_20(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stroke_train_test(spark: SparkSession, sf_dir: str):
     """Feature table stored once in the shared folder; train/test are
     deterministic hash-split filters of it (stable under recomputation)."""
-    d = materialize(split_label(stroke_features(stroke_source(spark, sf_dir)), "id", (0.8, 0.2), seed=SEED),
+    d = materialize(split_label(stroke_features(stroke_source(spark, sf_dir)), "id", SPLIT, seed=SEED),
                     "stroke-features")
     return d.where(F.col("part") == "train"), d.where(F.col("part") == "test")
 

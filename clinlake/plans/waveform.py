@@ -17,7 +17,10 @@ from clinlake.operators.models import MULTINOMIAL_PARAMS, fit_pipeline, logistic
 from clinlake.operators.split import split_label
 from clinlake.plans.standins import table
 
+# The vector-indexer category limit and train/test weights of the
+# waveform workload.
 MAX_CATEGORIES = 100
+SPLIT = (0.7, 0.3)
 SEED = 42
 
 
@@ -34,7 +37,7 @@ def waveform_predictions(spark: SparkSession, sf_dir: str, model: str) -> DataFr
     # no test row can hold an unseen label or category.
     label_indexer = StringIndexer(inputCol="Labels", outputCol="indexedLabel").fit(data)
     vec_indexer, max_bins = index_vector(data, "features", "indexedFeatures", MAX_CATEGORIES)
-    parts = split_label(data, "vec_id", (0.7, 0.3), seed=SEED)
+    parts = split_label(data, "vec_id", SPLIT, seed=SEED)
     train, test = parts.where(F.col("part") == "train"), parts.where(F.col("part") == "test")
     if model == "tree":
         est = tree(max_bins=max_bins, seed=SEED, labelCol="indexedLabel", featuresCol="indexedFeatures")
@@ -50,7 +53,7 @@ def q_vector_index_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_split_70_30(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
-    return split_label(emb, "vec_id", (0.7, 0.3), seed=SEED).select("vec_id", "part")
+    return split_label(emb, "vec_id", SPLIT, seed=SEED).select("vec_id", "part")
 
 
 def q_tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
