@@ -2,12 +2,16 @@
 
 A running total (cumulative count or sum in sort order) normally needs a
 window with no PARTITION BY, which pulls every row into one task.  Here the
-order is cut into range buckets at approximate quantiles; one small aggregate
-gives each bucket's total, a window over the bucket totals (one row per
-bucket) gives each bucket's offset, and the per-row running total is a window
-*within* the bucket plus that offset.  Every step is distributed; the only
-single-task work is over ``n_buckets`` rows.  Exact medians, exact ROC area
-and seeded shuffle ranks are built on it.
+input is first stored in the shared folder and its row count (from the
+parquet footers) is the size check: up to ``SINGLE_TASK_ROW_LIMIT`` rows are
+ranked by one window.  Beyond that the order is cut into range buckets at
+approximate quantiles (the ``n_buckets - 1`` edges come back as one bounded
+row and are applied as literals); one small aggregate gives each bucket's
+total, a window over the bucket totals (one row per bucket) gives each
+bucket's offset, and the per-row running total is a window *within* the
+bucket plus that offset.  Every step is distributed; the only single-task
+work is over ``n_buckets`` rows.  Exact medians (beyond their own size
+check), exact ROC area and seeded shuffle ranks are built on it.
 """
 
 from __future__ import annotations
