@@ -105,12 +105,16 @@ def broadcast_limit(spark) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int) -> bool:
-    """Size check behind an explicit broadcast: exact payload bytes of ``df``
-    (one aggregation pass, see ``profile.table_size``) against ``limit``."""
+    """Size check behind an explicit broadcast, in the units of Spark's
+    threshold (in-memory rows): the exact payload bytes of ``df`` (one
+    aggregation pass, see ``profile.table_size``) plus the fixed per-row
+    layout of an unsafe row (an 8-byte slot per column and a null bitset)."""
     if limit < 0:
         return False
     from clinlake.operators.profile import table_size
-    return table_size(df).first().n_bytes <= limit  # bounded: one row
+    r = table_size(df).first()  # bounded: one row
+    slots = len(df.columns) + 1 + len(df.columns) // 64
+    return r.n_bytes + r.n_rows * 8 * slots <= limit
 
 
 def cohort_counts(fact: DataFrame, dim: DataFrame, on, cohorts: Mapping[str, Column],
