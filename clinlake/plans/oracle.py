@@ -301,6 +301,26 @@ def _profile_sql() -> str:
         for t, cols in _TABLE_COLS.items())
 
 
+def _impute_group_mean_sql() -> str:
+    cols = ["Age", "Height", "Weight", "HR"]
+    means_cte, fills = _class_mean_fill("clean", cols)
+    selected = ", ".join(f"round({fills[c]}, 6) AS {c}" for c in cols)
+    return f"""WITH {ICU_CLEAN},
+            {means_cte}
+            SELECT RecordID, in_hospital_death, {selected}
+            FROM clean, means WHERE in_hospital_death IN (0, 1)"""
+
+
+def _impute_group_mode_sql() -> str:
+    cols = ["Gender", "ICUType", "age_group", "bmi_group"]
+    mode_ctes, fills = _class_mode_ctes("prep", cols)
+    selected = ", ".join(f"{fills[c]} AS {c}" for c in cols)
+    return f"""WITH {ICU_PREPARED},
+            {mode_ctes}
+            SELECT RecordID, in_hospital_death, {selected}
+            FROM prep WHERE in_hospital_death IN (0, 1)"""
+
+
 def _more_sql() -> dict[str, str]:
     feats = _double_list(STROKE_FEATURES)
     icu_feats = ["Age", "Gender", "ICUType", "Height", "Weight", "HR", "age_group_label", "bmi_group_label"]
@@ -346,18 +366,8 @@ def _more_sql() -> dict[str, str]:
               bm AS (SELECT RecordID, {BMI} AS bmi FROM mf)
             SELECT RecordID, bmi, {BMI_GROUP} AS bmi_group
             FROM bm, (SELECT min(bmi) AS lo, max(bmi) AS hi FROM bm) st""",
-        "impute_group_mean": (lambda m: f"""WITH {ICU_CLEAN},
-            {m[0]}
-            SELECT RecordID, in_hospital_death, {', '.join(f'round({m[1][c]}, 6) AS {c}' for c in
-                                                           ['Age', 'Height', 'Weight', 'HR'])}
-            FROM clean, means WHERE in_hospital_death IN (0, 1)""")(
-            _class_mean_fill("clean", ["Age", "Height", "Weight", "HR"])),
-        "impute_group_mode": (lambda m: f"""WITH {ICU_PREPARED},
-            {m[0]}
-            SELECT RecordID, in_hospital_death, {', '.join(f'{m[1][c]} AS {c}' for c in
-                                                           ['Gender', 'ICUType', 'age_group', 'bmi_group'])}
-            FROM prep WHERE in_hospital_death IN (0, 1)""")(
-            _class_mode_ctes("prep", ["Gender", "ICUType", "age_group", "bmi_group"])),
+        "impute_group_mean": _impute_group_mean_sql(),
+        "impute_group_mode": _impute_group_mode_sql(),
         "union_by_name": f"WITH {ICU_CLEAN} SELECT * FROM clean WHERE in_hospital_death IN (0, 1)",
         "seeded_shuffle_rank": """
             SELECT o.o_orderkey AS RecordID,
