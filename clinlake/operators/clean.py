@@ -66,7 +66,8 @@ def min_max(df: DataFrame, col: str) -> tuple[float | None, float | None]:
 
 
 def equal_width_bin(df: DataFrame, col: str, labels: Sequence[str], index_col: str,
-                    label_col: str | None = None, bounds: tuple | None = None) -> DataFrame:
+                    label_col: str | None = None, bounds: tuple | None = None,
+                    stats_from: DataFrame | None = None) -> DataFrame:
     """Equal-width bins over the observed range, right-closed, minimum in bin 0.
 
     Fit: one global ``min/max`` aggregate (or ``bounds`` given).  Apply: the
@@ -74,10 +75,10 @@ def equal_width_bin(df: DataFrame, col: str, labels: Sequence[str], index_col: s
     with the range inlined as literals; this is the rule of pandas'
     ``cut(x, bins=k)``.  NULL stays NULL.  When all values are equal every row
     lands in the middle bin.  ``labels`` only name the bins; the edges come
-    from the data.
+    from the data (of ``stats_from`` when given, e.g. the training part).
     """
     k = len(labels)
-    lo, hi = bounds if bounds is not None else min_max(df, col)
+    lo, hi = bounds if bounds is not None else min_max(stats_from if stats_from is not None else df, col)
     x = F.col(col).cast("double")
     if lo is None:
         idx = F.lit(None).cast("int")
@@ -95,17 +96,19 @@ def equal_width_bin(df: DataFrame, col: str, labels: Sequence[str], index_col: s
 
 
 def edge_bin(df: DataFrame, col: str, inner_edges: Sequence[float], labels: Sequence[str],
-             out_col: str, lowest: str = "null", bounds: tuple | None = None) -> DataFrame:
+             out_col: str, lowest: str = "null", bounds: tuple | None = None,
+             stats_from: DataFrame | None = None) -> DataFrame:
     """Bins with data-driven outer edges ``[min, *inner_edges, max]``, right-closed.
 
     As in pandas' ``cut`` with explicit bins, a row equal to the minimum falls
     outside every bin and gets NULL (``lowest="include"`` puts it in the first
     bin instead).  Edges that do not increase (``min >= inner_edges[0]`` or
-    ``max <= inner_edges[-1]``) raise ``ValueError`` when the range is fitted.
+    ``max <= inner_edges[-1]``) raise ``ValueError`` when the range is fitted
+    (on ``stats_from`` when given).
     """
     if len(labels) != len(inner_edges) + 1:
         raise ValueError("need one label per bin")
-    lo, hi = bounds if bounds is not None else min_max(df, col)
+    lo, hi = bounds if bounds is not None else min_max(stats_from if stats_from is not None else df, col)
     x = F.col(col).cast("double")
     if lo is None:
         return df.withColumn(out_col, F.lit(None).cast("string"))

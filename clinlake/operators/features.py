@@ -24,15 +24,17 @@ def fit_category_index(df: DataFrame, cols: Sequence[str], suffix: str = "_label
 
 
 def index_categories(df: DataFrame, cols: Sequence[str], suffix: str = "_label",
-                     keep_nominal: bool = False, model: StringIndexerModel | None = None) -> DataFrame:
-    """Append ``<c><suffix>`` codes for each of ``cols``.
+                     keep_nominal: bool = False, model: StringIndexerModel | None = None,
+                     stats_from: DataFrame | None = None) -> DataFrame:
+    """Append ``<c><suffix>`` codes for each of ``cols``, fitted on
+    ``stats_from`` when given (values unseen there raise at transform time).
 
     ``keep_nominal=False`` casts the codes to int, which (as in the original
     recipe) drops the nominal ML metadata so trees treat codes as continuous;
     ``True`` keeps double codes with their metadata.
     """
     cols = list(cols)
-    model = model or fit_category_index(df, cols, suffix)
+    model = model or fit_category_index(stats_from if stats_from is not None else df, cols, suffix)
     out = model.transform(df)
     if not keep_nominal:
         out = out.withColumns({c + suffix: F.col(c + suffix).cast("int") for c in cols})

@@ -66,11 +66,16 @@ def _lit(value, dtype: str) -> F.Column:
     return F.lit(value).cast(dtype)
 
 
-def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Fill NULLs of ``cols`` with the column median (column types are kept)."""
+def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False,
+                  stats_from: DataFrame | None = None) -> DataFrame:
+    """Fill NULLs of ``cols`` with the column median (column types are kept).
+
+    The medians come from ``stats_from`` when given (e.g. the training part,
+    to keep test rows out of the statistic), else from ``df`` itself.
+    """
     cols = list(cols)
     types = dict(df.dtypes)
-    med = medians(df, cols, approx)
+    med = medians(stats_from if stats_from is not None else df, cols, approx)
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), _lit(med[c], types[c])) for c in cols})
 
 
@@ -93,15 +98,16 @@ def class_means(df: DataFrame, label: str, cols: Sequence[str], classes: Sequenc
     return {c: [r[f"m{j}_{i}"] for i in range(len(classes))] for j, c in enumerate(cols)}
 
 
-def impute_mean_by(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> DataFrame:
+def impute_mean_by(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1),
+                   stats_from: DataFrame | None = None) -> DataFrame:
     """Fill NULLs of ``cols`` with the mean of the row's class.
 
     Rows whose label is not one of ``classes`` are dropped (the class slices
-    are the whole output).
+    are the whole output).  The means come from ``stats_from`` when given.
     """
     cols, classes = list(cols), list(classes)
     types = dict(df.dtypes)
-    means = class_means(df, label, cols, classes)
+    means = class_means(stats_from if stats_from is not None else df, label, cols, classes)
     kept = df.where(F.col(f"`{label}`").isin(classes))
     return kept.withColumns({c: F.coalesce(F.col(f"`{c}`"), _by_class(label, classes, means[c], types[c]))
                              for c in cols})
@@ -146,11 +152,13 @@ def class_modes(df: DataFrame, label: str, cols: Sequence[str], classes: Sequenc
     return out
 
 
-def impute_mode_by(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> DataFrame:
-    """Fill NULLs of ``cols`` with the class mode (ties -> lowest value)."""
+def impute_mode_by(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1),
+                   stats_from: DataFrame | None = None) -> DataFrame:
+    """Fill NULLs of ``cols`` with the class mode (ties -> lowest value); the
+    modes come from ``stats_from`` when given."""
     cols, classes = list(cols), list(classes)
     types = dict(df.dtypes)
-    modes = class_modes(df, label, cols, classes)
+    modes = class_modes(stats_from if stats_from is not None else df, label, cols, classes)
     kept = df.where(F.col(f"`{label}`").isin(classes))
     return kept.withColumns({c: F.coalesce(F.col(f"`{c}`"), _by_class(label, classes, modes[c], types[c]))
                              for c in cols})

@@ -69,3 +69,14 @@ def test_median_paths_agree(spark):
     distributed = medians(df, ["a", "b"], single_task_limit=10)
     assert fast["a"] == distributed["a"] == float(np.median(vals))
     assert fast["b"] == distributed["b"]
+
+
+def test_statistics_can_be_fitted_on_another_frame(spark):
+    from clinlake.operators.clean import equal_width_bin
+    train = spark.createDataFrame([(0, 10.0), (0, 20.0), (1, 30.0)], "y int, x double")
+    test = spark.createDataFrame([(0, None), (1, None), (0, 25.0)], "y int, x double")
+    assert {r.x for r in impute_median(test, ["x"], stats_from=train).collect()} == {20.0, 25.0}
+    got = sorted((r.y, r.x) for r in impute_mean_by(test, "y", ["x"], stats_from=train).collect())
+    assert got == [(0, 15.0), (0, 25.0), (1, 30.0)]
+    bins = equal_width_bin(test, "x", ["a", "b"], "b", stats_from=train).where("x = 25.0").first().b
+    assert bins == 1  # range 10..30 from train: 25 is in the upper half
