@@ -33,13 +33,18 @@ def stroke_clean(s: DataFrame) -> DataFrame:
 
 
 def stroke_features(s: DataFrame, keep_id: bool = True) -> DataFrame:
-    """The full stroke feature recipe; ``features`` is an ML vector."""
+    """The full stroke feature recipe; ``features`` is an ML vector.
+
+    The derived table is stored once before the category-index fit, so the
+    fit and the output read it instead of re-running the source (which
+    aggregates the whole orders table) twice.
+    """
     d = stroke_clean(s)
     # The two interaction terms are derived and then left out of the feature
     # list, as in the original recipe; Catalyst prunes them from the plan.
     d = interaction_features(d, ("hypertension", "heart_disease", "blood_heart"),
                              ("bmi", "avg_glucose_level", "obesity"))
-    d = d.withColumn("age", age_bands("age"))
+    d = materialize(d.withColumn("age", age_bands("age")), "stroke-derived")
     d = index_categories(d, CATEGORICAL)
     d = d.select(*(["id"] if keep_id else []), *FEATURES, LABEL)
     return assemble(d, FEATURES)
