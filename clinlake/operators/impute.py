@@ -33,7 +33,7 @@ SINGLE_TASK_DISTINCT_LIMIT = 1_000_000
 
 
 def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000,
-            single_task_limit: int = SINGLE_TASK_DISTINCT_LIMIT) -> dict:
+            single_task_limit: int = SINGLE_TASK_DISTINCT_LIMIT, ndv: Sequence[int] | None = None) -> dict:
     """``{column: median}`` for each of ``cols`` (None for an all-NULL column).
 
     Exact by default (interpolated, like pandas).  The exact path is chosen
@@ -44,14 +44,16 @@ def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy:
     distinct value and ranked with distributed running totals, so no task
     ever holds a whole column.  ``approx=True`` uses the bounded-memory
     ``percentile_approx`` sketch instead (a single aggregation pass).
+    ``ndv`` passes distinct-count estimates already computed in another pass.
     """
     cols = list(cols)
     if approx:
         r = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, accuracy).alias(f"m{i}")
                      for i, c in enumerate(cols)]).first()  # bounded: one row
         return dict(zip(cols, r))
-    ndv = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{i}")
-                   for i, c in enumerate(cols)]).first()  # bounded: one row
+    if ndv is None:
+        ndv = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{i}")
+                       for i, c in enumerate(cols)]).first()  # bounded: one row
     if max(ndv) <= single_task_limit:
         r = df.agg(*[F.median(F.col(f"`{c}`").cast("double")).alias(f"m{i}")
                      for i, c in enumerate(cols)]).first()  # bounded: one row
@@ -67,15 +69,16 @@ def _lit(value, dtype: str) -> F.Column:
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False,
-                  stats_from: DataFrame | None = None) -> DataFrame:
+                  stats_from: DataFrame | None = None, values: dict | None = None) -> DataFrame:
     """Fill NULLs of ``cols`` with the column median (column types are kept).
 
-    The medians come from ``stats_from`` when given (e.g. the training part,
-    to keep test rows out of the statistic), else from ``df`` itself.
+    The medians come from ``values`` (already fitted), else from
+    ``stats_from`` when given (e.g. the training part, to keep test rows out
+    of the statistic), else from ``df`` itself.
     """
     cols = list(cols)
     types = dict(df.dtypes)
-    med = medians(stats_from if stats_from is not None else df, cols, approx)
+    med = values if values is not None else medians(stats_from if stats_from is not None else df, cols, approx)
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), _lit(med[c], types[c])) for c in cols})
 
 
@@ -88,26 +91,38 @@ def _by_class(label: str, classes: Sequence, values: Sequence, dtype: str) -> F.
     return expr
 
 
+def class_mean_columns(label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> list:
+    """The conditional-average aggregate columns behind ``class_means`` (so they
+    can share one pass with other statistics)."""
+    lab = F.col(f"`{label}`")
+    return [F.avg(F.when(lab == F.lit(k), F.col(f"`{c}`"))).alias(f"__mean_{j}_{i}")
+            for j, c in enumerate(cols) for i, k in enumerate(classes)]
+
+
+def read_class_means(row, cols: Sequence[str], classes: Sequence = (0, 1)) -> dict:
+    return {c: [row[f"__mean_{j}_{i}"] for i in range(len(classes))] for j, c in enumerate(cols)}
+
+
 def class_means(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> dict:
     """``{column: [mean of class_0, mean of class_1, ...]}`` from one global
     aggregate of conditional averages (one row)."""
     cols, classes = list(cols), list(classes)
-    lab = F.col(f"`{label}`")
-    r = df.agg(*[F.avg(F.when(lab == F.lit(k), F.col(f"`{c}`"))).alias(f"m{j}_{i}")
-                 for j, c in enumerate(cols) for i, k in enumerate(classes)]).first()  # bounded: one row
-    return {c: [r[f"m{j}_{i}"] for i in range(len(classes))] for j, c in enumerate(cols)}
+    r = df.agg(*class_mean_columns(label, cols, classes)).first()  # bounded: one row
+    return read_class_means(r, cols, classes)
 
 
 def impute_mean_by(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1),
-                   stats_from: DataFrame | None = None) -> DataFrame:
+                   stats_from: DataFrame | None = None, means: dict | None = None) -> DataFrame:
     """Fill NULLs of ``cols`` with the mean of the row's class.
 
     Rows whose label is not one of ``classes`` are dropped (the class slices
-    are the whole output).  The means come from ``stats_from`` when given.
+    are the whole output).  The means come from ``means`` (already fitted),
+    else from ``stats_from`` when given, else from ``df``.
     """
     cols, classes = list(cols), list(classes)
     types = dict(df.dtypes)
-    means = class_means(stats_from if stats_from is not None else df, label, cols, classes)
+    if means is None:
+        means = class_means(stats_from if stats_from is not None else df, label, cols, classes)
     kept = df.where(F.col(f"`{label}`").isin(classes))
     return kept.withColumns({c: F.coalesce(F.col(f"`{c}`"), _by_class(label, classes, means[c], types[c]))
                              for c in cols})

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from clinlake.functions import ratio_round
 from clinlake.operators.clean import edge_bin, equal_width_bin, null_sentinels
 from clinlake.operators.features import as_array, assemble, feature_columns, index_categories
-from clinlake.operators.impute import impute_mean_by, impute_median, impute_mode_by
+from clinlake.operators.impute import (class_mean_columns, impute_mean_by, impute_median, impute_mode_by,
+                                      medians, read_class_means)
 from clinlake.operators.split import shuffle_rows, split_label, union_slices
 from clinlake.plans.standins import ICU_LABEL, ICU_NUMERIC, icu_table, table
 from clinlake.session import materialize
@@ -36,28 +37,44 @@ def icu_clean(src: DataFrame) -> DataFrame:
     return null_sentinels(src, ICU_NUMERIC)
 
 
-def icu_prepared(src: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """Sentinels -> age bins -> median fill -> BMI -> BMI bins (BMI itself dropped).
+def _icu_fit(src: DataFrame, checkpoint: bool = True):
+    """Prepared table plus the class means fitted on it.
 
+    Statistics that depend on the same input share one pass: the Age range
+    with the Height/Weight distinct-count estimates (on the cleaned table),
+    then the BMI range with the class means (on the median-filled table).
     With ``checkpoint`` the cleaned input (a join of the source tables) is
-    written once to the shared folder.  Every statistic after it is fitted by
-    one aggregate over that table and applied as literals, so the whole
-    recipe is a chain of projections over one stored input.
+    written once to the shared folder; everything after it is a chain of
+    projections over that table with fitted values inlined as literals.
     """
     d = icu_clean(src)
     if checkpoint:
         d = materialize(d, "icu-clean")
-    d = equal_width_bin(d, "Age", AGE_LABELS, "__age_bin", "age_group").drop("__age_bin")
-    d = impute_median(d, ["Height", "Weight"])
+    first = d.agg(F.min("Age").cast("double").alias("lo"), F.max("Age").cast("double").alias("hi"),
+                  F.approx_count_distinct("Height").alias("nh"),
+                  F.approx_count_distinct("Weight").alias("nw")).first()  # bounded: one row
+    d = equal_width_bin(d, "Age", AGE_LABELS, "__age_bin", "age_group", bounds=(first.lo, first.hi))
+    d = d.drop("__age_bin")
+    d = impute_median(d, ["Height", "Weight"],
+                      values=medians(d, ["Height", "Weight"], ndv=[first.nh, first.nw]))
     d = d.withColumn("bmi", ratio_round("Weight", "Height"))
-    return edge_bin(d, "bmi", BMI_EDGES, BMI_LABELS, "bmi_group").drop("bmi")
+    _, num = feature_columns(d, CATEGORICAL + ["bmi"], ["RecordID", ICU_LABEL])
+    second = d.agg(F.min("bmi").cast("double").alias("lo"), F.max("bmi").cast("double").alias("hi"),
+                   *class_mean_columns(ICU_LABEL, num, CLASSES)).first()  # bounded: one row
+    d = edge_bin(d, "bmi", BMI_EDGES, BMI_LABELS, "bmi_group", bounds=(second.lo, second.hi)).drop("bmi")
+    return d, read_class_means(second, num, CLASSES)
+
+
+def icu_prepared(src: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """Sentinels -> age bins -> median fill -> BMI -> BMI bins (BMI itself dropped)."""
+    return _icu_fit(src, checkpoint)[0]
 
 
 def icu_imputed(src: DataFrame, checkpoint: bool = True) -> DataFrame:
     """Prepared table with class-mean (numeric) and class-mode (categorical) fills."""
-    d = icu_prepared(src, checkpoint)
+    d, means = _icu_fit(src, checkpoint)
     cat, num = feature_columns(d, CATEGORICAL, ["RecordID", ICU_LABEL])
-    d = impute_mean_by(d, ICU_LABEL, num, CLASSES)
+    d = impute_mean_by(d, ICU_LABEL, num, CLASSES, means=means)
     return impute_mode_by(d, ICU_LABEL, cat, CLASSES)
 
 
