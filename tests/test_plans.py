@@ -24,12 +24,14 @@ def test_group_count_prunes_columns_and_aggregates_partially(spark):
     assert "partial_count" in plan
 
 
-def test_no_python_udfs_in_any_sql_checked_plan(spark):
+def test_no_python_udfs_or_pair_joins_in_any_sql_checked_plan(spark):
     for name in E.oracle_sql():
         if name in ("csv_scan_typed", "csv_scan_inferred", "label_matrix_scan"):
             continue  # these write their derived input first; covered by the oracle test
         plan = _plan(E.queries()[name](spark, SF01))
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+        # statistics are applied as literals: no pair-producing joins anywhere
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
 def test_library_never_pulls_data_to_the_driver():
