@@ -129,7 +129,9 @@ def value_width(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.StructType):
         parts = [value_width(c.getField(f.name), f.dataType) for f in dt.fields]
         return reduce(lambda a, b: a + b, parts, F.lit(0).cast("long"))
-    if dt.typeName() == "vector":
+    from pyspark.ml.linalg import VectorUDT
+    if isinstance(dt, VectorUDT):
+        # counted as its dense equivalent: one double per dimension
         from pyspark.ml.functions import vector_to_array
         return F.coalesce(F.size(vector_to_array(c)).cast("long") * F.lit(8), F.lit(0).cast("long"))
     raise TypeError(f"no width rule for {dt.simpleString()}")

@@ -82,3 +82,10 @@ def test_table_size_and_profile(spark):
     assert (r.n_rows, r.n_bytes) == (2, 8 + 2 + 16 + 8)
     p = profile_tables({"t": df}).first()
     assert (p.table_name, p.n_rows, p.n_columns, p.n_bytes, p.n_nulls) == ("t", 2, 3, 34, 2)
+
+
+def test_table_size_counts_ml_vectors_dense(spark):
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(Vectors.dense([1.0, 2.0, 3.0]),), (Vectors.sparse(5, [1], [2.0]),)], ["v"])
+    r = table_size(df).first()
+    assert (r.n_rows, r.n_bytes) == (2, (3 + 5) * 8)
