@@ -21,3 +21,14 @@ def test_stream_group_count_matches_batch(spark):
     assert got == {"MAIN": 3, "BASE": 1, "ADDITIVE": 1}
     run_available(conditional_counts(stream, {"high": F.col("VALUE") >= 200}), query_name="high_counts")
     assert spark.table("high_counts").first().high == 2
+
+
+def test_stream_rows_to_parquet_sink(spark):
+    from clinlake.session import derived_path
+    d = tempfile.mkdtemp(prefix="clinlake-stream-", dir="/tmp")
+    with open(os.path.join(d, "f0.csv"), "w") as f:
+        f.write("DRUG_TYPE,VALUE\nMAIN,1.0\nBASE,250\n")
+    stream = read_delimited_stream(spark, d, SCHEMA).where(F.col("VALUE") >= 200)
+    out = derived_path(spark, "stream-out")
+    run_available(stream, sink_path=out, output_mode="append", fmt="parquet")
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("BASE", 250.0)]
