@@ -84,7 +84,8 @@ def classification_report(df: DataFrame, names: Sequence[str], label: str = "lab
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
         F.sum(ps).alias("wp"), F.sum(rs).alias("wr"), F.sum(fs).alias("wf"),
         F.grouping("class").alias("total"))
-    name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("class").cast("int") + 1)
+    # a class without a name (outside ``names``) gets NULL rather than an ANSI error
+    name = F.try_element_at(F.array(*[F.lit(x) for x in names]), (F.col("class").cast("int") + 1))
     nul = F.lit(None).cast("double")
     row = lambda n, p, rc, f: F.struct(n.alias("row_name"), p.alias("precision"), rc.alias("recall"),
                                        f.alias("f1"), F.col("sup").cast("long").alias("support"))

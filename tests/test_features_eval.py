@@ -89,3 +89,9 @@ def test_table_size_counts_ml_vectors_dense(spark):
     df = spark.createDataFrame([(Vectors.dense([1.0, 2.0, 3.0]),), (Vectors.sparse(5, [1], [2.0]),)], ["v"])
     r = table_size(df).first()
     assert (r.n_rows, r.n_bytes) == (2, (3 + 5) * 8)
+
+
+def test_report_class_without_name_is_null(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, 2.0)], "label double, prediction double")
+    rows = {r.row_name for r in classification_report(df, ["a", "b"]).collect()}
+    assert rows == {"a", "b", None, "accuracy", "macro avg", "weighted avg"}
