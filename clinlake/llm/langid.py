@@ -180,8 +180,14 @@ def train(texts: list[bytes], labels: list[str], dim: int = 16, buckets: int = 1
 
 
 def sample(labelled: DataFrame, text_col: str, label_col: str, order: Column, limit: int, max_bytes: int) -> tuple[list[bytes], list[str]]:
-    """At most ``limit`` labelled texts, cut to ``max_bytes`` characters for training, the same in every run."""
-    rows = (labelled.select(F.substring(F.col(f"`{text_col}`"), 1, max_bytes).alias("t"), F.col(f"`{label_col}`").alias("l"),
+    """At most ``limit`` labelled texts, cut to ``max_bytes`` characters for training, the same in every run.
+
+    ``order`` is a hash; rows outside a share of about ``2 limit`` of all are
+    left out before they are ordered, so few rows leave the tasks.
+    """
+    n = max(1, labelled.where(F.col(f"`{label_col}`").isNotNull()).count())
+    rows = (labelled.where(F.pmod(order, F.lit(n)) < 2 * limit).where(F.col(f"`{label_col}`").isNotNull() & has_letter(F.col(f"`{text_col}`")))
+            .select(F.substring(F.col(f"`{text_col}`"), 1, max_bytes).alias("t"), F.col(f"`{label_col}`").alias("l"),
                             order.alias("o")).orderBy("o", "t").limit(limit).collect())  # bounded: the sample
     return [r["t"].encode() for r in rows], [r["l"] for r in rows]
 
@@ -190,9 +196,8 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", order:
         limit: int = 4000, max_bytes: int = 2000, **options) -> Model:
     """Train on a bounded sample of ``docs``: rows with a label and a letter,
     the ``limit`` first by ``order`` (by default a hash of the text)."""
-    t = F.col(f"`{text_col}`")
-    rows = docs.where(F.col(f"`{label_col}`").isNotNull() & has_letter(t))
-    return train(*sample(rows, text_col, label_col, F.xxhash64(t) if order is None else order, limit, max_bytes), **options)
+    order = F.xxhash64(F.col(f"`{text_col}`")) if order is None else order
+    return train(*sample(docs, text_col, label_col, order, limit, max_bytes), **options)
 
 
 def has_letter(t: Column) -> Column:
