@@ -157,7 +157,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
     rows = rows.withColumn("tkey", F.xxhash64("text"))
     width = 2 if len(bpe.token_bytes(tokenizer)) <= 1 << 16 and end_id < 1 << 16 else 4
 
-    sample = (rows.select(F.xxhash64("id", "tkey").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("t"))
+    # Hashes in a share of about 2 x SAMPLE_DOCS of all rows, so that few rows leave the tasks.
+    h = F.xxhash64("id", "tkey")
+    sample = (rows.where(F.pmod(h, F.lit(max(1, docs.count()))) < 2 * SAMPLE_DOCS)
+              .select(h.alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("t"))
               .orderBy("h", "t").limit(SAMPLE_DOCS).collect())  # bounded: SAMPLE_DOCS x SAMPLE_CHARS
     ids = [x[2][x[3][i]:x[3][i + 1]] for x in bpe.encoder(tokenizer)([r["t"].encode() for r in sample]) for i in range(x[1] - x[0])]
     dictionary = train_dictionary([x.astype(f"<u{width}").tobytes() for x in ids])
