@@ -8,6 +8,7 @@ from clinlake.functions.scalar import (
     is_neither,
     null_if_sentinel,
     ratio_round,
+    round_exact,
     row_width,
     text_match_any,
     to_int,
@@ -21,6 +22,7 @@ __all__ = [
     "is_neither",
     "null_if_sentinel",
     "ratio_round",
+    "round_exact",
     "row_width",
     "text_match_any",
     "to_int",

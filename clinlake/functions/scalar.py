@@ -64,10 +64,34 @@ def null_if_sentinel(c: ColumnOrName, values: Sequence[float], dtype: T.DataType
     return F.when(cond, F.lit(None)).otherwise(x)
 
 
+def round_exact(c: ColumnOrName, digits: int = 2) -> Column:
+    """Round a double as Python's ``round``: the exact binary value decides, and
+    exact halves go to the even digit.
+
+    The product with ``10**digits`` is split into its rounded value and its
+    rounding error (both exact), so 2.675 (just below the half) gives 2.67 and
+    0.125 gives 0.12.  Values of 2**53 / 10**digits and more have no such
+    digits and stay.
+    """
+    if not 0 <= digits <= 7:
+        raise ValueError("0 to 7 digits")
+    x, s = _col(c).cast("double"), float(10**digits)
+    a = F.abs(x)
+    high = F.lit(134217729.0) * a
+    high = high - (high - a)
+    product = a * F.lit(s)
+    error = (high * F.lit(s) - product) + (a - high) * F.lit(s)
+    below = F.floor(product).cast("double")
+    past = (product - below - F.lit(0.5)) + error
+    up = (past > 0) | ((past == 0) & (below % 2 == 1))
+    rounded = F.signum(x) * (below + F.when(up, 1.0).otherwise(0.0)) / F.lit(s)
+    return F.when(a < F.lit(2.0**53 / s), rounded).otherwise(x)
+
+
 def ratio_round(num: ColumnOrName, den: ColumnOrName, scale: float = 10000.0, digits: int = 2) -> Column:
-    """``bround(num / den**2 * scale, digits)``; half-even rounding, zero denominator -> NULL."""
-    d = _col(den)
-    return F.bround(F.try_divide(_col(num), d * d) * F.lit(scale), digits)
+    """``round(num / den**2 * scale, digits)`` as Python rounds; zero denominator -> NULL."""
+    d = _col(den).cast("double")
+    return round_exact(F.try_divide(_col(num).cast("double"), d * d) * F.lit(scale), digits)
 
 
 def argmax_array(c: ColumnOrName) -> Column:
@@ -76,8 +100,12 @@ def argmax_array(c: ColumnOrName) -> Column:
     return (F.array_position(a, F.array_max(a)) - 1).cast("int")
 
 
+# What a NULL key hashes as.
+NULL_KEY = "<null>"
+
+
 def _md5_hex(key: ColumnOrName, seed) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), _col(key).cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(_col(key).cast("string"), F.lit(NULL_KEY))))
 
 
 def hash_bucket(key: ColumnOrName, seed, modulus: int = 10000) -> Column:

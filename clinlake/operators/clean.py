@@ -65,28 +65,33 @@ def min_max(df: DataFrame, col: str) -> tuple[float | None, float | None]:
     return r.lo, r.hi
 
 
+def equal_width_edges(lo: float, hi: float, k: int) -> list[float]:
+    """The ``k + 1`` edges of pandas' ``cut(x, bins=k)``: evenly spaced, the lowest
+    moved down by a thousandth of the range so that the minimum falls inside."""
+    if lo == hi:
+        lo, hi = lo - (0.001 * abs(lo) if lo else 0.001), hi + (0.001 * abs(hi) if hi else 0.001)
+    step = (hi - lo) / k
+    return [lo - (hi - lo) * 0.001] + [i * step + lo for i in range(1, k)] + [hi]
+
+
 def equal_width_bin(df: DataFrame, col: str, labels: Sequence[str], index_col: str,
                     label_col: str | None = None, bounds: tuple | None = None,
                     stats_from: DataFrame | None = None) -> DataFrame:
-    """Equal-width bins over the observed range, right-closed, minimum in bin 0.
-
-    Fit: one global ``min/max`` aggregate (or ``bounds`` given).  Apply: the
-    per-row expression ``ceil((x-lo)*k/(hi-lo)) - 1`` clamped to ``[0, k-1]``
-    with the range inlined as literals; this is the rule of pandas'
-    ``cut(x, bins=k)``.  NULL stays NULL.  When all values are equal every row
-    lands in the middle bin.  ``labels`` only name the bins; the edges come
-    from the data (of ``stats_from`` when given, e.g. the training part).
+    """Equal-width bins over the observed range, right-closed: pandas' ``cut(x, bins=k)``.
+
+    Fit: one global ``min/max`` aggregate (or ``bounds`` given), from which the
+    edges follow.  Apply: the number of inner edges below the value, with the
+    edges inlined as literals.  NULL stays NULL.  ``labels`` only name the
+    bins; the edges come from the data (of ``stats_from`` when given, e.g. the
+    training part; values beyond that range go to the outer bins).
     """
-    k = len(labels)
     lo, hi = bounds if bounds is not None else min_max(stats_from if stats_from is not None else df, col)
     x = F.col(col).cast("double")
     if lo is None:
         idx = F.lit(None).cast("int")
-    elif hi == lo:
-        idx = F.when(x.isNotNull(), F.lit((k + 1) // 2 - 1)).cast("int")
     else:
-        scaled = (x - F.lit(lo)) * F.lit(k) / F.lit(hi - lo)
-        idx = F.when(x.isNotNull(), F.least(F.greatest(F.ceil(scaled) - 1, F.lit(0)), F.lit(k - 1))).cast("int")
+        inner = F.array(*[F.lit(float(e)) for e in equal_width_edges(lo, hi, len(labels))[1:-1]]).cast("array<double>")
+        idx = F.when(x.isNotNull(), F.size(F.filter(inner, lambda e: e < x)))
     out = df.withColumn(index_col, idx)
     if label_col:
         names = F.array(*[F.lit(s) for s in labels])

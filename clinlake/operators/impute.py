@@ -11,6 +11,7 @@ chain of projections over one input instead of nested re-computations.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -27,59 +28,47 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(cells.alias("__s")).select("__s.__col", "__s.__v").where(F.col("__v").isNotNull())
 
 
-# Largest distinct-value count for which one task may merge a column's
-# value -> count map (Spark's exact ``percentile``): ~32 bytes per entry.
-SINGLE_TASK_DISTINCT_LIMIT = 1_000_000
-
-
-def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000,
-            single_task_limit: int = SINGLE_TASK_DISTINCT_LIMIT, ndv: Sequence[int] | None = None) -> dict:
+def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000) -> dict:
     """``{column: median}`` for each of ``cols`` (None for an all-NULL column).
 
-    Exact by default (interpolated, like pandas).  The exact path is chosen
-    behind a size check: one HLL pass estimates each column's distinct-value
-    count; when every column is under ``single_task_limit`` Spark's exact
-    ``median`` aggregate is used (its final merge holds one value -> count
-    map per column, bounded by that check).  Otherwise values are counted per
-    distinct value and ranked with distributed running totals, so no task
-    ever holds a whole column.  ``approx=True`` uses the bounded-memory
-    ``percentile_approx`` sketch instead (a single aggregation pass).
-    ``ndv`` passes distinct-count estimates already computed in another pass.
+    Exact by default (interpolated, like pandas): values are counted per
+    (column, distinct value) with map-side combine and ranked with distributed
+    running totals, so no task ever holds a whole column.  ``approx=True`` uses
+    the bounded-memory ``percentile_approx`` sketch instead (one pass).
     """
     cols = list(cols)
     if approx:
         r = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, accuracy).alias(f"m{i}")
                      for i, c in enumerate(cols)]).first()  # bounded: one row
         return dict(zip(cols, r))
-    if ndv is None:
-        ndv = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{i}")
-                       for i, c in enumerate(cols)]).first()  # bounded: one row
-    if max(ndv) <= single_task_limit:
-        r = df.agg(*[F.median(F.col(f"`{c}`").cast("double")).alias(f"m{i}")
-                     for i, c in enumerate(cols)]).first()  # bounded: one row
-        return dict(zip(cols, r))
     counts = _long_values(df, cols).groupBy("__col", "__v").agg(F.count(F.lit(1)).alias("__n"))
     per_col = exact_quantile_rows(counts, "__v", "__n", ["__col"])
     found = {r["__col"]: r["median"] for r in per_col.collect()}  # bounded: one row per column
     return {c: found.get(c) for c in cols}
 
 
+def _filled_type(dtype: T.DataType) -> str:
+    """Type of a column filled with a mean or median: whole and decimal numbers
+    become double (an integer column with gaps has fractional statistics)."""
+    return dtype.simpleString() if isinstance(dtype, (T.DoubleType, T.FloatType)) else "double"
+
+
 def _lit(value, dtype: str) -> F.Column:
     return F.lit(value).cast(dtype)
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False,
                   stats_from: DataFrame | None = None, values: dict | None = None) -> DataFrame:
-    """Fill NULLs of ``cols`` with the column median (column types are kept).
+    """Fill NULLs of ``cols`` with the column median (whole-number columns become double).
 
     The medians come from ``values`` (already fitted), else from
     ``stats_from`` when given (e.g. the training part, to keep test rows out
     of the statistic), else from ``df`` itself.
     """
     cols = list(cols)
-    types = dict(df.dtypes)
     med = values if values is not None else medians(stats_from if stats_from is not None else df, cols, approx)
-    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), _lit(med[c], types[c])) for c in cols})
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast(t), _lit(med[c], t))
+                           for c in cols for t in [_filled_type(df.schema[c].dataType)]})
 
 
 def _by_class(label: str, classes: Sequence, values: Sequence, dtype: str) -> F.Column:
@@ -113,19 +102,19 @@ def class_means(df: DataFrame, label: str, cols: Sequence[str], classes: Sequenc
 
 def impute_mean_by(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1),
                    stats_from: DataFrame | None = None, means: dict | None = None) -> DataFrame:
-    """Fill NULLs of ``cols`` with the mean of the row's class.
+    """Fill NULLs of ``cols`` with the mean of the row's class (whole-number
+    columns become double).
 
     Rows whose label is not one of ``classes`` are dropped (the class slices
     are the whole output).  The means come from ``means`` (already fitted),
     else from ``stats_from`` when given, else from ``df``.
     """
     cols, classes = list(cols), list(classes)
-    types = dict(df.dtypes)
     if means is None:
         means = class_means(stats_from if stats_from is not None else df, label, cols, classes)
     kept = df.where(F.col(f"`{label}`").isin(classes))
-    return kept.withColumns({c: F.coalesce(F.col(f"`{c}`"), _by_class(label, classes, means[c], types[c]))
-                             for c in cols})
+    return kept.withColumns({c: F.coalesce(F.col(f"`{c}`").cast(t), _by_class(label, classes, means[c], t))
+                             for c in cols for t in [_filled_type(df.schema[c].dataType)]})
 
 
 def class_modes(df: DataFrame, label: str, cols: Sequence[str], classes: Sequence = (0, 1)) -> dict:
@@ -135,9 +124,10 @@ def class_modes(df: DataFrame, label: str, cols: Sequence[str], classes: Sequenc
     All columns in one pass: cells are unpivoted to ``(column, value)``,
     counted per class with conditional counts (map-side combine absorbs hot
     values), and ``min(struct(-count, value))`` per column picks the winner.
-    Numeric columns order by their numeric value, text by its text.  Both
-    steps are ordinary aggregates; no group is ever collected, and the result
-    has one row per column.
+    Numeric columns order by their numeric value, text by its text.  The value
+    itself travels as exact text, so no type loses digits.  Both steps are
+    ordinary aggregates; no group is ever collected, and the result has one
+    row per column.
     """
     cols, classes = list(cols), list(classes)
     lab = F.col(f"`{label}`")
@@ -146,24 +136,24 @@ def class_modes(df: DataFrame, label: str, cols: Sequence[str], classes: Sequenc
     cells = F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"),
                  (F.col(f"`{c}`").cast("double") if c in numeric else F.lit(None).cast("double")).alias("num"),
+                 # Long and decimal values that are one double still order by their value.
+                 (F.col(f"`{c}`").try_cast("decimal(38,10)") if c in numeric else F.lit(None).cast("decimal(38,10)")).alias("fine"),
                  F.col(f"`{c}`").cast("string").alias("txt"))
         for c in cols]))
     long = (df.where(lab.isin(classes)).select(lab.alias("__lab"), cells.alias("__s"))
             .select("__lab", "__s.*").where(F.col("txt").isNotNull()))
-    counts = long.groupBy("c", "num", "txt").agg(
+    counts = long.groupBy("c", "num", "fine", "txt").agg(
         *[F.count_if(F.col("__lab") == F.lit(k)).alias(f"n{i}") for i, k in enumerate(classes)])
     winners = counts.groupBy("c").agg(*[
-        F.min(F.when(F.col(f"n{i}") > 0, F.struct((-F.col(f"n{i}")).alias("neg"), "num", "txt"))).alias(f"m{i}")
+        F.min(F.when(F.col(f"n{i}") > 0, F.struct((-F.col(f"n{i}")).alias("neg"), "num", "fine", "txt"))).alias(f"m{i}")
         for i in range(len(classes))])
     found = {r["c"]: r for r in winners.collect()}  # bounded: one row per column
     out = {}
     for c in cols:
-        row = found.get(c)
-        vals = []
-        for i in range(len(classes)):
-            w = row[f"m{i}"] if row is not None else None
-            vals.append(None if w is None else (w["num"] if c in numeric else w["txt"]))
-        out[c] = vals
+        kind = (float if isinstance(types[c], (T.DoubleType, T.FloatType)) else Decimal if isinstance(types[c], T.DecimalType)
+                else int if c in numeric else str)
+        won = [found[c][f"m{i}"] if c in found else None for i in range(len(classes))]
+        out[c] = [None if w is None else kind(w["txt"]) for w in won]
     return out
 
 

@@ -2,16 +2,14 @@
 
 A running total (cumulative count or sum in sort order) normally needs a
 window with no PARTITION BY, which pulls every row into one task.  Here the
-input is first stored in the shared folder and its row count (from the
-parquet footers) is the size check: up to ``SINGLE_TASK_ROW_LIMIT`` rows are
-ranked by one window.  Beyond that the order is cut into range buckets at
-approximate quantiles (the ``n_buckets - 1`` edges come back as one bounded
-row and are applied as literals); one small aggregate gives each bucket's
-total, a window over the bucket totals (one row per bucket) gives each
-bucket's offset, and the per-row running total is a window *within* the
-bucket plus that offset.  Every step is distributed; the only single-task
-work is over ``n_buckets`` rows.  Exact medians (beyond their own size
-check), exact ROC area and seeded shuffle ranks are built on it.
+rows are range-partitioned by (group, order columns) into buckets and stored
+once in the shared folder with their bucket number; one small aggregate gives
+each bucket's total, a window over the bucket totals gives each bucket's
+offset, and the per-row running total is a window *within* the bucket plus
+that offset.  There is one path for every size: the number of buckets follows
+the row count, every step is distributed, and the only window over whole
+groups reads one row per bucket.  Exact medians, exact ROC area and seeded
+shuffle ranks are built on it.
 """
 
 from __future__ import annotations
@@ -23,76 +21,57 @@ from pyspark.sql import functions as F
 
 from clinlake.session import materialize
 
+# Rows that one bucket's window should hold.
+ROWS_PER_BUCKET = 250_000
 
-def _default_buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-
-# Largest input a single task may window over (rows of a pre-aggregated
-# table: a few tens of MB).  Above it the bucketed, distributed path runs.
-SINGLE_TASK_ROW_LIMIT = 1_000_000
+def bucket_count(df: DataFrame) -> int:
+    """Buckets for the rows of ``df`` (a stored table: the count reads its
+    footers): one per ``ROWS_PER_BUCKET`` rows, and at least one per shuffle
+    partition of the session."""
+    tasks = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(tasks, -(-df.count() // ROWS_PER_BUCKET))
 
 
 def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequence[str],
                   partition_cols: Sequence[str] = (), n_buckets: int | None = None,
-                  accuracy: int = 10000, prefix: str = "cum_",
-                  broadcast_offsets: bool = True, total_prefix: str | None = None,
-                  checkpoint: bool = True, single_task_limit: int = SINGLE_TASK_ROW_LIMIT) -> DataFrame:
+                  prefix: str = "cum_", total_prefix: str | None = None) -> DataFrame:
     """Append ``<prefix><w>``: the sum of ``w`` over all rows up to and including
     this one, ordered by ``order_cols`` (ascending, NULLs first) within
-    ``partition_cols``.
-
-    ``order_cols[0]`` must be numeric (it defines the range buckets); further
-    order columns only break ties, and rows equal on all of them are ordered
-    arbitrarily.  ``broadcast_offsets`` is safe when the number of partition
-    groups is bounded (the offsets table has groups x buckets rows).
-    ``total_prefix`` also appends ``<total_prefix><w>``, the group's grand
-    total, taken from the same small per-bucket table.
-
-    The input is read three times (quantile edges, bucket totals, the ranked
-    rows); ``checkpoint`` stores it once in the shared checkpoint folder so
-    its upstream plan runs only once.  The stored copy's row count (read from
-    parquet footers) is the size check for the small path: at most
-    ``single_task_limit`` rows are ranked by one window per group with no
-    buckets at all.
+    ``partition_cols`` (a NULL group is a group like others).
+
+    Rows equal on all order columns are ordered arbitrarily, and share a
+    bucket.  ``total_prefix`` also appends ``<total_prefix><w>``, the group's
+    grand total, taken from the same small per-bucket table.  The input is
+    stored once, already in buckets.  ``n_buckets`` defaults to a count that
+    follows the size (``bucket_count``).
     """
     order_cols, weight_cols, partition_cols = list(order_cols), list(weight_cols), list(partition_cols)
-    if checkpoint:
-        df = materialize(df)
-        if n_buckets is None and df.count() <= single_task_limit:
-            n_buckets = 1
-    lead = order_cols[0]
-    n = n_buckets or _default_buckets(df)
-    if n > 1:
-        fractions = [i / n for i in range(1, n)]
-        found = df.agg(F.percentile_approx(F.col(lead).cast("double"), fractions, accuracy)).first()[0]  # bounded: n-1 edges
-        edges = F.array(*[F.lit(float(e)) for e in (found or [])]).cast("array<double>")
-        bucket = F.coalesce(F.size(F.filter(edges, lambda e: e < F.col(lead).cast("double"))), F.lit(0))
-        b = df.withColumn("__b", bucket)
-    else:
-        upto = (Window.partitionBy(*partition_cols).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        whole = Window.partitionBy(*partition_cols)
-        return df.select(
-            *[F.col(c) for c in df.columns],
-            *[F.sum(w).over(upto).alias(f"{prefix}{w}") for w in weight_cols],
-            *[F.sum(w).over(whole).alias(f"{total_prefix}{w}") for w in (weight_cols if total_prefix else [])])
+    columns = df.columns
+    if n_buckets is None:
+        df = materialize(df, "rank-input")
+        n_buckets = bucket_count(df)
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    ranged = df.repartitionByRange(n_buckets, *[F.col(c).asc_nulls_first() for c in partition_cols], *order)
+    b = materialize(ranged.withColumn("__b", F.spark_partition_id()), "rank-buckets")
 
     totals = b.groupBy(*partition_cols, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weight_cols])
     before = Window.partitionBy(*partition_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*partition_cols)
-    offsets = totals.select(*partition_cols, "__b", *[
-        F.coalesce(F.sum(f"__t_{w}").over(before), F.lit(0)).alias(f"__o_{w}") for w in weight_cols], *[
-        F.sum(f"__t_{w}").over(whole).alias(f"__g_{w}") for w in weight_cols])
-    if broadcast_offsets:
-        offsets = F.broadcast(offsets)
+    offsets = totals.select(
+        *[F.col(c).alias(f"__p{i}") for i, c in enumerate(partition_cols)], F.col("__b").alias("__ob"),
+        *[F.coalesce(F.sum(f"__t_{w}").over(before), F.lit(0)).alias(f"__o_{w}") for w in weight_cols],
+        *[F.sum(f"__t_{w}").over(whole).alias(f"__g_{w}") for w in weight_cols])
 
-    upto = (Window.partitionBy(*partition_cols, "__b").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    upto = (Window.partitionBy(*partition_cols, "__b").orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = b.join(offsets, [*partition_cols, "__b"], "inner")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        *[(F.col(f"__o_{w}") + F.sum(w).over(upto)).alias(f"{prefix}{w}") for w in weight_cols],
+    same = F.col("__b") == F.col("__ob")
+    for i, c in enumerate(partition_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"__p{i}"))
+    inside = b.select("*", *[F.sum(w).over(upto).alias(f"__w_{w}") for w in weight_cols])
+    return inside.join(offsets, same, "inner").select(
+        *[F.col(c) for c in columns],
+        *[(F.col(f"__o_{w}") + F.col(f"__w_{w}")).alias(f"{prefix}{w}") for w in weight_cols],
         *[F.col(f"__g_{w}").alias(f"{total_prefix}{w}") for w in (weight_cols if total_prefix else [])])
 
 

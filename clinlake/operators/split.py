@@ -27,24 +27,24 @@ def split_label(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2),
     Unlike ``randomSplit`` the assignment depends only on the key and seed, not
     on partitioning or row order, so re-runs (and task retries after an
     executor loss) always give the same parts.  It is a pure projection: no
-    shuffle, no sampling pass.
+    shuffle, no sampling pass.  A NULL key hashes as a fixed text, so its rows
+    share one part.
     """
     if len(names) != len(weights):
         raise ValueError("one name per weight")
     b = hash_bucket(key, seed, MODULUS)
-    cuts = _cuts(weights)
-    expr = None
-    for cut, name in zip(cuts[:-1], names[:-1]):
-        expr = F.when(b < cut, F.lit(name)) if expr is None else expr.when(b < cut, F.lit(name))
-    expr = F.lit(names[-1]) if expr is None else expr.otherwise(F.lit(names[-1]))
+    expr = F.lit(names[-1])
+    for cut, name in reversed(list(zip(_cuts(weights)[:-1], names[:-1]))):
+        expr = F.when(b < cut, F.lit(name)).otherwise(expr)
     return df.withColumn(out, expr)
 
 
 def hash_split(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2), seed: int = 42) -> list[DataFrame]:
-    """Like ``randomSplit(weights)`` but keyed and repeatable; parts are disjoint and cover ``df``."""
-    b = hash_bucket(key, seed, MODULUS)
-    cuts = [0, *_cuts(weights)]
-    return [df.where((b >= lo) & (b < hi)) for lo, hi in zip(cuts[:-1], cuts[1:])]
+    """Like ``randomSplit(weights)`` but keyed and repeatable: the parts of
+    ``split_label`` as filters; they are disjoint and cover ``df``."""
+    names = [str(i) for i in range(len(weights))]
+    tagged = split_label(df, key, weights, seed, names, "__part")
+    return [tagged.where(F.col("__part") == n).drop("__part") for n in names]
 
 
 def union_slices(*dfs: DataFrame) -> DataFrame:
@@ -60,6 +60,6 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42, out: str = "shuffle_ra
     seeded hash of the key (ties broken by the key).  The rank is computed
     with distributed running totals: no single-partition window.
     """
-    keyed = df.withColumn("__h", hash_order_key(key, seed)).withColumn("__one", F.lit(1))
+    keyed = df.withColumn("__h", hash_order_key(key, seed)).withColumn("__one", F.lit(1).cast("long"))
     ranked = running_total(keyed, ["__h", key], ["__one"], n_buckets=n_buckets, prefix="__rank")
     return ranked.withColumnRenamed("__rank__one", out).drop("__h", "__one")

@@ -1,10 +1,11 @@
-"""Session helpers: a tuned SparkSession and the shared folder for derived data."""
+"""Session helpers: a tuned SparkSession, the shared folder and its life cycle."""
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for every workload in this package.  AQE re-plans
 # joins and coalesces shuffle partitions at run time; skew-join splitting
@@ -17,6 +18,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Derived folders of this driver process, by application; ``cleanup`` empties it.
+_OWN: dict[str, list[str]] = {}
+_KEPT: dict[tuple, str] = {}
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "clinlake", conf: dict | None = None) -> SparkSession:
@@ -35,20 +40,25 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for derived tables and checkpoints.
 
     Read from ``spark.checkpoint.dir`` (falling back to the context's
-    checkpoint dir).  A cluster must name a shared file system here; tests
-    set their own before the session starts.
+    checkpoint dir).  A cluster must name a shared file system here; a path
+    without a scheme is refused there, because it could be a local folder.
+    Tests set their own before the session starts.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master) and not re.match(r"[A-Za-z][\w+.-]*:", path):
+        raise RuntimeError(f"spark.checkpoint.dir is {path!r}; on a cluster name it with its file system (hdfs:, s3a:, file: for a mount)")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
 def derived_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared folder."""
-    return f"{shared_dir(spark)}/clinlake/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique location under the shared folder; ``cleanup`` removes it."""
+    path = f"{shared_dir(spark)}/clinlake/{name}-{uuid.uuid4().hex}"
+    _OWN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df, name: str = "stage"):
@@ -59,9 +69,42 @@ def materialize(df, name: str = "stage"):
     than an RDD checkpoint of serialized rows) lets each later statistic read
     only the columns it needs with the vectorized reader and pushed filters.
     The files live under ``spark.checkpoint.dir`` (shared storage), so losing
-    an executor does not lose the stage.
+    an executor does not lose the stage.  They stay until ``cleanup``, because
+    the returned frame is lazy.
     """
     spark = df.sparkSession
     path = derived_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def kept_path(spark: SparkSession, key: tuple, write) -> str:
+    """A derived folder that several queries of this application share:
+    ``write(path)`` runs the first time, later calls get the same path (until
+    ``cleanup``)."""
+    where = (spark.sparkContext.applicationId, *key)
+    if where not in _KEPT:
+        path = derived_path(spark, str(key[0]))
+        write(path)
+        _KEPT[where] = path
+    return _KEPT[where]
+
+
+def kept(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """``kept_path`` for a table: ``build()`` is stored once as parquet."""
+    return spark.read.parquet(kept_path(spark, key, lambda path: build().write.mode("errorifexists").parquet(path)))
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Delete the derived folders that this application has made and return how
+    many there were.  Call it when the results are consumed: frames that read
+    the folders stop working.  Folders of other applications are not touched."""
+    app = spark.sparkContext.applicationId
+    paths = _OWN.pop(app, [])
+    for where in [k for k in _KEPT if k[0] == app]:
+        del _KEPT[where]
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(hadoop).delete(path, True)
+    return len(paths)

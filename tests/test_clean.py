@@ -60,3 +60,21 @@ def test_interaction_features_no_overflow(spark):
     df = spark.createDataFrame([(2_000_000_000, 3, 30, 100)], "a int, b int, c int, d int")
     r = interaction_features(df, ("a", "b", "f"), ("c", "d", "s")).first()
     assert r.f == 6_000_000_000 and math.isclose(r.s, 3.0)
+
+
+def test_equal_width_edges_are_those_of_pandas(spark):
+    """Random one-decimal values, where a formula per value differs on the edges."""
+    rng = np.random.default_rng(12)
+    for k in range(6):
+        vals = np.round(rng.uniform(0, 100, 4000), 1)
+        df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "i long, x double")
+        got = {r.i: r.b for r in equal_width_bin(df, "x", [str(i) for i in range(9)], "b").collect()}
+        expect = pd.cut(pd.Series(vals), bins=9, labels=False)
+        assert all(got[i] == int(expect[i]) for i in range(len(vals)))
+    df = spark.createDataFrame([(33.6,), (0.5,), (99.8,)], "x double")
+    assert [r.b for r in equal_width_bin(df, "x", [str(i) for i in range(9)], "b").collect()] == [2, 0, 8]
+
+
+def test_sentinels_go_from_every_numeric_column(spark):
+    df = spark.createDataFrame([(1, -1.0, -1, "x"), (2, float("inf"), 3, "-1")], "id long, a double, b int, c string")
+    assert [tuple(r) for r in null_sentinels(df).collect()] == [(1, None, None, "x"), (2, None, 3, "-1")]

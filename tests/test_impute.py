@@ -61,14 +61,26 @@ def test_mean_matches_pandas(spark):
         assert abs([r.s for r in got if r.y == k][0] - expect) < 1e-9
 
 
-def test_median_paths_agree(spark):
+def test_medians_match_numpy(spark):
     rng = np.random.default_rng(9)
-    vals = rng.normal(size=2001)
-    df = spark.createDataFrame([(float(v), float(v) * 2) for v in vals], "a double, b double")
-    fast = medians(df, ["a", "b"])
-    distributed = medians(df, ["a", "b"], single_task_limit=10)
-    assert fast["a"] == distributed["a"] == float(np.median(vals))
-    assert fast["b"] == distributed["b"]
+    for n in (2001, 2000):
+        vals = np.round(rng.normal(size=n), 2)
+        df = spark.createDataFrame([(float(v), float(v) * 2, None) for v in vals], "a double, b double, c double")
+        assert medians(df, ["a", "b", "c"]) == {"a": float(np.median(vals)), "b": float(np.median(vals * 2)), "c": None}
+
+
+def test_whole_number_columns_are_filled_with_fractions(spark):
+    df = spark.createDataFrame([(0, 1), (0, 2), (0, None)], "y int, x int")
+    assert sorted(r.x for r in impute_median(df, ["x"]).collect()) == [1.0, 1.5, 2.0]
+    assert sorted(r.x for r in impute_mean_by(df, "y", ["x"]).collect()) == [1.0, 1.5, 2.0]
+
+
+def test_modes_keep_every_digit(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([(0, big), (0, big), (0, None), (0, big - 1)], "y int, x long")
+    assert sorted(r.x for r in impute_mode_by(df, "y", ["x"]).collect()) == [big - 1, big, big, big]
+    tie = spark.createDataFrame([(0, big), (0, big - 1), (0, None)], "y int, x long")
+    assert sorted(r.x for r in impute_mode_by(tie, "y", ["x"]).collect()) == [big - 1, big - 1, big]
 
 
 def test_statistics_can_be_fitted_on_another_frame(spark):

@@ -43,3 +43,20 @@ def test_union_by_name_any_column_order(spark):
     a = spark.createDataFrame([(1, "x")], "k int, v string")
     b = spark.createDataFrame([("y", 2)], "v string, k int")
     assert sorted(tuple(r) for r in union_slices(a, b).collect()) == [(1, "x"), (2, "y")]
+
+
+def test_null_groups_are_groups(spark):
+    df = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("a", 1, 7), ("a", None, 8)], "g string, v int, w int")
+    for n in (1, 3):
+        out = {(r.g, r.v): (r.cum_w, r.all_w) for r in
+               running_total(df, ["v"], ["w"], ["g"], n_buckets=n, total_prefix="all_").collect()}
+        assert out == {(None, 1): (5, 11), (None, 2): (11, 11), ("a", None): (8, 15), ("a", 1): (15, 15)}
+
+
+def test_null_keys_stay(spark):
+    df = spark.range(100).select(F.when(F.col("id") % 5 != 0, F.col("id")).alias("k"))
+    parts = hash_split(df, "k", (0.8, 0.2))
+    assert sum(p.count() for p in parts) == 100
+    assert sorted(p.where("k is null").count() for p in parts) == [0, 20]
+    tagged = split_label(df, "k", (0.8, 0.2))
+    assert tagged.where("part = 'train'").count() == parts[0].count()
