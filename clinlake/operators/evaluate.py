@@ -10,27 +10,28 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clinlake.functions import argmax_array
 from clinlake.operators.ranking import running_total
+from clinlake.session import materialize
 
 
-def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """``(label, prediction, n)`` counts."""
+def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                     weight: str | None = None) -> DataFrame:
+    """``(label, prediction, n)`` counts; with ``weight`` a row counts that often."""
     return (df.groupBy(F.col(label).cast("double").alias("label"),
                        F.col(prediction).cast("double").alias("prediction"))
-            .agg(F.count(F.lit(1)).alias("n")))
+            .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n")))
 
 
 def _ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, num.cast("double") / den).otherwise(F.lit(0.0))
 
 
-def class_stats(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def class_stats(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                weight: str | None = None) -> DataFrame:
     """Per class: ``support`` (true count), ``predicted``, ``tp``, precision, recall, f1.
 
     No join: every confusion cell contributes once as its label (support, tp)
@@ -38,7 +39,7 @@ def class_stats(df: DataFrame, label: str = "label", prediction: str = "predicti
     combines them.  Classes seen only as predictions get support 0; a class
     never predicted gets precision 0 (Spark's and sklearn's convention).
     """
-    cm = confusion_matrix(df, label, prediction)
+    cm = confusion_matrix(df, label, prediction, weight)
     n = F.col("n")
     contrib = F.explode(F.array(
         F.struct(F.col("label").alias("class"), n.alias("support"),
@@ -56,10 +57,11 @@ def class_stats(df: DataFrame, label: str = "label", prediction: str = "predicti
                                      / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0))))
 
 
-def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                           weight: str | None = None) -> DataFrame:
     """One row: accuracy and support-weighted precision, recall and F1
     (weighted recall equals accuracy)."""
-    s = class_stats(df, label, prediction)
+    s = class_stats(df, label, prediction, weight)
     n = F.sum("support")
     return s.agg(
         (F.sum("tp") / n).alias("accuracy"),
@@ -97,7 +99,8 @@ def classification_report(df: DataFrame, names: Sequence[str], label: str = "lab
     return r.select(F.explode(rows).alias("x")).select("x.*")
 
 
-def auc_roc(df: DataFrame, score: str, label: str, positive=1.0, n_buckets: int | None = None) -> DataFrame:
+def auc_roc(df: DataFrame, score: str, label: str, positive=1.0, n_buckets: int | None = None,
+            weight: str | None = None) -> DataFrame:
     """Exact area under the ROC curve as a one-row frame ``(auc)``.
 
     Rows are grouped by score (ties form one ROC step), the count of negatives
@@ -106,9 +109,10 @@ def auc_roc(df: DataFrame, score: str, label: str, positive=1.0, n_buckets: int
     ``BinaryClassificationMetrics`` with no binning.
     """
     y = F.col(label).cast("double") == F.lit(float(positive))
+    w = F.col(weight) if weight else F.lit(1).cast("long")
     g = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
          .groupBy(F.col(score).cast("double").alias("__s"))
-         .agg(F.count_if(y).alias("__pos"), F.count_if(~y).alias("__neg")))
+         .agg(F.sum(F.when(y, w).otherwise(0)).alias("__pos"), F.sum(F.when(y, 0).otherwise(w)).alias("__neg")))
     r = running_total(g, ["__s"], ["__neg"], n_buckets=n_buckets, prefix="__cum")
     below = (F.col("__cum__neg") - F.col("__neg")).cast("double")
     area = F.sum(F.col("__pos").cast("double") * (below + F.col("__neg").cast("double") / 2))
@@ -117,22 +121,30 @@ def auc_roc(df: DataFrame, score: str, label: str, positive=1.0, n_buckets: int
 
 def binary_scorecard(df: DataFrame, label: str, prediction: str, score: str, digits: int = 4) -> DataFrame:
     """One row ``(accuracy, precision, roc_auc)`` rounded to ``digits`` places
-    (precision is support-weighted)."""
-    m = classification_metrics(df, label, prediction)
-    auc = auc_roc(df, score, label).first().auc  # bounded: one row
+    (precision is support-weighted).
+
+    The predictions are read once: they are counted per (label, prediction,
+    score), that table is stored, and all three figures come from it.
+    """
+    cells = materialize(df.groupBy(F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction"),
+                                   F.col(score).cast("double").alias("score")).agg(F.count(F.lit(1)).alias("n")), "score-cells")
+    m = classification_metrics(cells, "label", "prediction", "n")
+    auc = auc_roc(cells, "score", "label", weight="n").first().auc  # bounded: one row
     return m.select(F.round("accuracy", digits).alias("accuracy"),
                     F.round("weighted_precision", digits).alias("precision"),
                     F.round(F.lit(auc).cast("double"), digits).alias("roc_auc"))
 
 
-def positive_score(probability: str = "probability", index: int = 1) -> Column:
-    """Class-``index`` probability from a probability vector or array (no collect)."""
-    return F.element_at(vector_to_array(probability), index + 1).alias("score")
-
-
-def probability_array(df: DataFrame, col: str = "probability") -> Column:
-    dt = df.schema[col].dataType
-    return F.col(col) if isinstance(dt, T.ArrayType) else vector_to_array(col)
+def scored_facts(preds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What must hold of every scored row whatever the model learned: ``keys``,
+    the label, ``n_classes``, ``probability_sum`` (6 places),
+    ``prediction_is_argmax`` and, for binary models, ``score_is_positive``."""
+    p = F.col("probability")
+    binary = [(F.col("score") == F.element_at(p, 2)).alias("score_is_positive")] if "score" in preds.columns else []
+    return preds.select(
+        *keys, "label", F.size(p).alias("n_classes"),
+        F.round(F.aggregate(p, F.lit(0.0), lambda acc, x: acc + x), 6).alias("probability_sum"),
+        (F.col("prediction") == argmax_array(p)).alias("prediction_is_argmax"), *binary)
 
 
 def misclassified(df: DataFrame, label: str, prediction: str, cols: Sequence[str],
@@ -144,7 +156,3 @@ def misclassified(df: DataFrame, label: str, prediction: str, cols: Sequence[str
         out = out.orderBy(*(order_by or cols[:1])).limit(n)
     return out
 
-
-def predicted_class(scores: str) -> Column:
-    """Index of the largest class score (first maximum), like ``argmax``."""
-    return argmax_array(scores)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import (StringIndexer, StringIndexerModel, UnivariateFeatureSelector, VectorAssembler,
+                                VectorIndexer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,29 +61,32 @@ def _array_col(df: DataFrame, col: str) -> F.Column:
 
 
 def vector_cardinality(df: DataFrame, col: str, max_categories: int = 100, margin: int = 4) -> DataFrame:
-    """Per dimension: ``n_values`` = number of distinct values capped at
-    ``max_categories + 1`` (so the cap means "more than max_categories"), and
-    ``is_categorical`` = ``n_values <= max_categories`` (the ``VectorIndexer`` rule).
-
-    Two passes, neither of which shuffles every cell of a continuous column:
-    one HLL sketch per dimension (partial aggregation ships only sketches)
-    finds the dimensions that could be categorical (estimate within
-    ``margin`` x the limit); exact distinct counts are then taken only for
-    those, where map-side de-duplication keeps at most a few hundred values
-    per dimension per task.  The candidate list is bounded by the vector width.
+    """Per dimension: ``is_categorical`` = at most ``max_categories`` distinct
+    values (the ``VectorIndexer`` rule), and ``n_values`` = their exact number
+    (NULL for the other dimensions).
+
+    One HLL sketch per dimension (partial aggregation ships only sketches)
+    sets aside the dimensions far above the limit (estimate over ``margin``
+    times it, many times the sketch's 5 % error); the rest are counted
+    exactly, where map-side de-duplication keeps few values per dimension and
+    task.  Estimates and counts stay DataFrames and are joined.
     """
-    cap = max_categories + 1
     cells = df.select(F.posexplode(_array_col(df, col)).alias("dim", "value"))
-    est = cells.groupBy("dim").agg(F.approx_count_distinct("value", 0.05).alias("est"))
-    est_rows = est.collect()  # bounded: one row per vector dimension
-    candidates = sorted(int(r.dim) for r in est_rows if r.est <= margin * cap)
-    exact = (cells.where(F.col("dim").isin(candidates))
-             .groupBy("dim", "value").agg(F.lit(1).alias("__one"))
-             .groupBy("dim").agg(F.count(F.lit(1)).alias("n")))
-    dims = df.sparkSession.createDataFrame([(int(r.dim),) for r in est_rows], "dim int")
-    out = dims.join(exact, "dim", "left").select(
-        "dim", F.least(F.coalesce(F.col("n"), F.lit(cap)), F.lit(cap)).cast("long").alias("n_values"))
-    return out.withColumn("is_categorical", F.col("n_values") <= max_categories)
+    near = cells.groupBy("dim").agg((F.approx_count_distinct("value", 0.05) <= margin * (max_categories + 1)).alias("near"))
+    exact = (cells.join(near.where("near").select("dim"), "dim", "left_semi").groupBy("dim", "value").agg(F.lit(1).alias("__one"))
+             .groupBy("dim").agg(F.count_if(F.col("value").isNotNull()).alias("n")))
+    few = F.coalesce(F.col("n") <= max_categories, F.lit(False))
+    return near.join(exact, "dim", "left").select("dim", F.when(few, F.col("n")).alias("n_values"), few.alias("is_categorical"))
+
+
+def narrow(train: DataFrame, features: str, label: str, width: int, max_width: int = 1024, out: str = "narrowed"):
+    """A fitted selector of the ``max_width`` features that tell the labels apart
+    best (one F-test per feature, distributed), or None where ``width`` is
+    within the bound."""
+    if width <= max_width:
+        return None
+    return (UnivariateFeatureSelector(featuresCol=features, labelCol=label, outputCol=out, selectionMode="numTopFeatures")
+            .setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(max_width).fit(train))
 
 
 def index_vector(df: DataFrame, col: str, out: str = "indexedFeatures", max_categories: int = 100):

@@ -13,7 +13,6 @@ driver.
 
 from __future__ import annotations
 
-import itertools
 from typing import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -85,8 +84,9 @@ def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
     ``train`` is made stable while the search runs (every candidate re-reads
     it, and the tuner's seeded split must see the same rows after a
     recomputation); ``parallelism`` candidate fits run at once (default: see
-    ``default_parallelism``).  ``stabilize=False`` only persists: for input
-    that is already a deterministic filter of a stored table.
+    ``default_parallelism``).  ``stabilize=False`` is for input that is already
+    a deterministic filter of a stored table.  The tuner caches its two parts
+    itself, so nothing is persisted around it.
     """
     estimator = estimator.copy()
     estimator.setLabelCol(label).setFeaturesCol(features)
@@ -96,15 +96,11 @@ def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
                                evaluator=evaluator, trainRatio=train_ratio,
                                parallelism=parallelism or default_parallelism(train, len(grid)),
                                seed=seed)
-    cached = stable(train, "tune-input") if stabilize else train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return tvs.fit(cached)
-    finally:
-        cached.unpersist()
+    return tvs.fit(materialize(train, "tune-input") if stabilize else train)
 
 
 def leaderboard(spark, model: TrainValidationSplitModel) -> DataFrame:
-    """``(setting, params, metric)`` per grid point.  The table has one row per
+    """``(setting, params, metric)`` per grid point; ``params`` in name order.  The table has one row per
     setting (bounded by the grid, not by the data)."""
     rows = []
     for i, (pm, m) in enumerate(zip(model.getEstimatorParamMaps(), model.validationMetrics)):
@@ -130,10 +126,10 @@ def tree(max_bins: int = 32, seed: int = 42, **params) -> DecisionTreeClassifier
 def perceptron(layers: Sequence[int], max_iter: int = 100, seed: int = 42, **params) -> MultilayerPerceptronClassifier:
     """Feed-forward classifier (sigmoid hidden layers, softmax output, L-BFGS).
 
-    The weights (and L-BFGS state) live on the driver, so very wide inputs
-    should first be narrowed with a distributed per-feature selection such as
-    ``UnivariateFeatureSelector`` (one statistic per feature; PCA would need a
-    width x width covariance matrix on the driver).
+    The weights (and L-BFGS state) live on the driver, so very wide inputs are
+    first narrowed with a distributed per-feature selection
+    (``features.narrow``; PCA would need a width x width covariance matrix on
+    the driver).
     """
     return MultilayerPerceptronClassifier(layers=list(layers), maxIter=max_iter, seed=seed, **params)
 
@@ -176,8 +172,3 @@ def score(model, df: DataFrame, keep: Sequence[str], label: str, positive_index:
             cols.append(F.element_at(prob, positive_index + 1).alias("score"))
     return out.select(*cols)
 
-
-def combos(spec: Mapping[str, Sequence]) -> list[dict]:
-    """All settings of a grid spec as plain dicts (for reporting)."""
-    keys = list(spec)
-    return [dict(zip(keys, vals)) for vals in itertools.product(*[spec[k] for k in keys])]

@@ -82,63 +82,20 @@ def conditional_counts(df: DataFrame, predicates: Mapping[str, Column]) -> DataF
             .agg(*[F.count_if(p).alias(name) for name, p in predicates.items()]))
 
 
-def long_counts(wide: DataFrame, names: Sequence[str], name_col: str = "name",
-                value_col: str = "n") -> DataFrame:
-    """Turn a one-row frame of counts into ``(name, n)`` rows."""
-    return wide.unpivot([], list(names), name_col, value_col)
-
-
-def _bytes(text: str) -> int:
-    """Parse a Spark size setting such as ``10485760b``, ``10MB`` or ``-1``."""
-    t = text.strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
-             "t": 1 << 40, "tb": 1 << 40}
-    for suffix in sorted(units, key=len, reverse=True):
-        if t.endswith(suffix) and t[:-len(suffix)].lstrip("-").isdigit():
-            return int(t[:-len(suffix)]) * units[suffix]
-    return int(t)
-
-
-def broadcast_limit(spark) -> int:
-    """The session's broadcast threshold in bytes (``-1`` = never broadcast)."""
-    return _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
-
-
-def fits_broadcast(df: DataFrame, limit: int) -> bool:
-    """Size check behind an explicit broadcast, in the units of Spark's
-    threshold (in-memory rows): the exact payload bytes of ``df`` (one
-    aggregation pass, see ``profile.table_size``) plus the fixed per-row
-    layout of an unsafe row (an 8-byte slot per column and a null bitset)."""
-    if limit < 0:
-        return False
-    from clinlake.operators.profile import table_size
-    r = table_size(df).first()  # bounded: one row
-    slots = len(df.columns) + 1 + len(df.columns) // 64
-    return r.n_bytes + r.n_rows * 8 * slots <= limit
-
-
 def cohort_counts(fact: DataFrame, dim: DataFrame, on, cohorts: Mapping[str, Column],
-                  events: Mapping[str, Column], broadcast_bytes: int | None = None) -> DataFrame:
+                  events: Mapping[str, Column]) -> DataFrame:
     """Count joined rows per (cohort, event) without materialising the join.
 
     ``cohorts`` are predicates on ``dim``, ``events`` predicates on ``fact``;
     the result has one row per pair: ``(cohort, event, n)`` where ``n`` is the
     number of rows of ``fact JOIN dim`` satisfying both.
 
-    The dimension is first reduced to ``(key, cohort flags)`` for rows in at
-    least one cohort, and the fact to rows with at least one event (both
-    filters reach the scans).  Then one of two plans runs, chosen by a size
-    check of the reduced dimension against ``broadcast_bytes`` (default: the
-    session's broadcast threshold):
-
-    * small: broadcast it and count in one pass over the fact table; the fact
-      rows are never shuffled and a hot key is just more probes of one entry.
-    * large (eager aggregation): each side is reduced to one row per key
-      holding its per-predicate counts, the two reduced sides are joined and
-      ``n = sum(dim_count * fact_count)``.  Exact for any key multiplicity; a
-      key holding a third of all fact rows is combined map-side by the
-      partial aggregate, so it cannot skew the join, and both reduced sides
-      are hash-partitioned on the key, so the join adds no further exchange.
+    Both sides keep only rows of some cohort or event (the filters reach the
+    scans) and are reduced to one row per key holding the per-predicate
+    counts; the two reduced sides are joined and ``n = sum(dim_count *
+    fact_count)``.  Exact for any key multiplicity.  A key holding a third of
+    all fact rows is combined map-side by the partial aggregate, so it cannot
+    skew the join.  AQE decides how the reduced sides are joined.
 
     NULL keys never match, as in the inner join.
     """
@@ -149,19 +106,13 @@ def cohort_counts(fact: DataFrame, dim: DataFrame, on, cohorts: Mapping[str, Col
              .select(F.col(dk).alias("__k"), *[F.coalesce(p, F.lit(False)).alias(f"__c{j}")
                                               for j, p in enumerate(cohorts.values())]))
     facts = fact.where(_any(events.values()))
-    limit = broadcast_limit(dim.sparkSession) if broadcast_bytes is None else broadcast_bytes
-    if fits_broadcast(flags, limit):
-        joined = facts.join(F.broadcast(flags), facts[fk] == flags["__k"], "inner")
-        ev_cols = list(events.values())
-        wide = joined.agg(*[F.count_if(F.col(f"__c{j}") & ev_cols[i]).alias(f"{j}|{i}") for j, i in pairs])
-    else:
-        fact_agg = (facts.groupBy(F.col(fk).alias("__k"))
-                    .agg(*[F.count_if(p).alias(f"__e{i}") for i, p in enumerate(events.values())]))
-        dim_agg = flags.groupBy("__k").agg(*[F.count_if(f"__c{j}").alias(f"__c{j}") for j in range(len(co))])
-        joined = fact_agg.join(dim_agg, "__k", "inner")
-        wide = joined.agg(*[
-            F.coalesce(F.sum(F.col(f"__c{j}") * F.col(f"__e{i}")), F.lit(0)).cast("long").alias(f"{j}|{i}")
-            for j, i in pairs])
+    fact_agg = (facts.groupBy(F.col(fk).alias("__k"))
+                .agg(*[F.count_if(p).alias(f"__e{i}") for i, p in enumerate(events.values())]))
+    dim_agg = flags.groupBy("__k").agg(*[F.count_if(f"__c{j}").alias(f"__c{j}") for j in range(len(co))])
+    joined = fact_agg.join(dim_agg, "__k", "inner")
+    wide = joined.agg(*[
+        F.coalesce(F.sum(F.col(f"__c{j}") * F.col(f"__e{i}")), F.lit(0)).cast("long").alias(f"{j}|{i}")
+        for j, i in pairs])
     long = wide.unpivot([], [f"`{j}|{i}`" for j, i in pairs], "__pair", "n")
     labels = F.split(F.col("__pair"), r"\|")
     cohort_names = F.array(*[F.lit(c) for c in co])
