@@ -6,6 +6,8 @@ one array column; never one column per feature.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +18,11 @@ def read_label_matrix(spark: SparkSession, path: str, sep: str = ",", as_vector:
     """Parse label-first rows into ``(label int, features array<double>)``.
 
     The whole line is split once; ``slice`` drops the label and ``transform``
-    casts every remaining field, all inside the JVM.  Blank lines are skipped.
+    casts every remaining field, all inside the JVM.  ``sep`` is taken
+    literally.  Blank lines are skipped.
     """
     text = spark.read.text(path)
-    fields = F.split(F.trim(F.col("value")), sep)
+    fields = F.split(F.trim(F.col("value")), re.escape(sep))
     parsed = (text.where(F.length(F.trim(F.col("value"))) > 0)
               .select(fields.alias("f"))
               .select(F.element_at("f", 1).cast("int").alias(label_col),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from clinlake.session import derived_path
+from clinlake.session import shared_dir
 
 
 def read_delimited_stream(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
@@ -22,18 +22,19 @@ def read_delimited_stream(spark: SparkSession, path: str, schema: T.StructType,
     return reader.csv(path)
 
 
-def run_available(df: DataFrame, sink_path: str | None = None, output_mode: str = "complete",
+def run_available(df: DataFrame, checkpoint: str, sink_path: str | None = None, output_mode: str = "complete",
                   query_name: str | None = None, fmt: str = "memory"):
     """Process every file available now, then stop; returns the finished query.
 
-    The stream checkpoint lives in the shared folder (``spark.checkpoint.dir``),
-    so a restarted job resumes where it stopped.  ``fmt="memory"`` (with
+    ``checkpoint`` names the stream: its progress lies below the shared folder
+    (``spark.checkpoint.dir``) under that name, so a later run with the same
+    name goes on where the last one stopped.  ``fmt="memory"`` (with
     ``query_name``) is for small results such as counts; use ``fmt="parquet"``
     with ``sink_path`` and append mode for row outputs.
     """
     spark = df.sparkSession
     writer = (df.writeStream.outputMode(output_mode).format(fmt)
-              .option("checkpointLocation", derived_path(spark, "stream-ck"))
+              .option("checkpointLocation", f"{shared_dir(spark)}/clinlake-streams/{checkpoint}")
               .trigger(availableNow=True))
     if query_name:
         writer = writer.queryName(query_name)

@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import types as T
 
 from clinlake.sources import read_delimited, read_label_matrix
@@ -29,3 +30,21 @@ def test_label_matrix_scan(spark):
     assert [(r.label, r.features) for r in rows] == [(1, [0.5, 2.0, 3.5]), (0, [1.0, 1.0, 1.0])]
     vec = read_label_matrix(spark, path, as_vector=True)
     assert dict(vec.dtypes)["features"] == "vector"
+
+
+def test_header_names_must_be_the_schema(spark):
+    path = _write("b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_delimited(spark, path, "a int, b int").collect()
+
+
+def test_parse_mode(spark):
+    path = _write("a,b\n1,x\n")
+    assert [tuple(r) for r in read_delimited(spark, path, "a int, b int").collect()] == [(1, None)]
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_delimited(spark, path, "a int, b int", mode="FAILFAST").collect()
+
+
+def test_separator_is_literal(spark):
+    path = _write("1|0.5|2.0\n")
+    assert [(r.label, r.features) for r in read_label_matrix(spark, path, sep="|").collect()] == [(1, [0.5, 2.0])]
