@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.functions import ratio_round
-from clinlake.operators.clean import edge_bin, equal_width_bin, null_sentinels
+from clinlake.operators.clean import edge_bin, equal_width_bin, min_max, null_sentinels
+from clinlake.operators.evaluate import binary_scorecard, scored_facts
 from clinlake.operators.features import as_array, assemble, feature_columns, index_categories
 from clinlake.operators.impute import (class_mean_columns, impute_mean_by, impute_median, impute_mode_by,
                                       medians, read_class_means)
 from clinlake.operators.split import shuffle_rows, split_label, union_slices
-from clinlake.plans.standins import ICU_LABEL, ICU_NUMERIC, icu_table, table
-from clinlake.session import materialize
+from clinlake.plans.standins import ICU_ID, ICU_LABEL, icu_table, table
+from clinlake.session import kept, materialize
 
 # Bin labels, BMI edges, categorical columns, label classes and
 # train/test weights of the ICU recipe.
@@ -30,67 +31,68 @@ SEED = 42
 
 
 def icu_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return icu_table(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    """The stand-in table, stored once for all queries of an application."""
+    return kept(spark, ("icu-source", sf_dir), lambda: icu_table(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")))
 
 
 def icu_clean(src: DataFrame) -> DataFrame:
-    return null_sentinels(src, ICU_NUMERIC)
+    """Sentinels to NULL on every numeric column."""
+    return null_sentinels(src)
 
 
-def _icu_fit(src: DataFrame, checkpoint: bool = True):
-    """Prepared table plus the class means fitted on it.
+def _icu_fit(src: DataFrame, label: str = ICU_LABEL, id_col: str = ICU_ID, stats_from: DataFrame | None = None):
+    """Prepared table plus the class means fitted on it (or on ``stats_from``,
+    e.g. the training part, which then goes through the same steps).
 
-    Statistics that depend on the same input share one pass: the Age range
-    with the Height/Weight distinct-count estimates (on the cleaned table),
-    then the BMI range with the class means (on the median-filled table).
-    With ``checkpoint`` the cleaned input (a join of the source tables) is
-    written once to the shared folder; everything after it is a chain of
-    projections over that table with fitted values inlined as literals.
+    Statistics that depend on the same input share one pass.  The input should
+    be a stored table: everything here is a chain of projections over it with
+    fitted values inlined as literals.
     """
-    d = icu_clean(src)
-    if checkpoint:
-        d = materialize(d, "icu-clean")
-    first = d.agg(F.min("Age").cast("double").alias("lo"), F.max("Age").cast("double").alias("hi"),
-                  F.approx_count_distinct("Height").alias("nh"),
-                  F.approx_count_distinct("Weight").alias("nw")).first()  # bounded: one row
-    d = equal_width_bin(d, "Age", AGE_LABELS, "__age_bin", "age_group", bounds=(first.lo, first.hi))
-    d = d.drop("__age_bin")
-    d = impute_median(d, ["Height", "Weight"],
-                      values=medians(d, ["Height", "Weight"], ndv=[first.nh, first.nw]))
-    d = d.withColumn("bmi", ratio_round("Weight", "Height"))
-    _, num = feature_columns(d, CATEGORICAL + ["bmi"], ["RecordID", ICU_LABEL])
-    second = d.agg(F.min("bmi").cast("double").alias("lo"), F.max("bmi").cast("double").alias("hi"),
-                   *class_mean_columns(ICU_LABEL, num, CLASSES)).first()  # bounded: one row
-    d = edge_bin(d, "bmi", BMI_EDGES, BMI_LABELS, "bmi_group", bounds=(second.lo, second.hi)).drop("bmi")
-    return d, read_class_means(second, num, CLASSES)
-
-
-def icu_prepared(src: DataFrame, checkpoint: bool = True) -> DataFrame:
+    frames = [icu_clean(src)] + ([icu_clean(stats_from)] if stats_from is not None else [])
+    each = lambda step: [step(d) for d in frames]  # noqa: E731  frames[-1] is what statistics are fitted on
+    bounds = min_max(frames[-1], "Age")
+    frames = each(lambda d: equal_width_bin(d, "Age", AGE_LABELS, "__age_bin", "age_group", bounds=bounds).drop("__age_bin"))
+    found = medians(frames[-1], ["Height", "Weight"])
+    frames = each(lambda d: impute_median(d, ["Height", "Weight"], values=found).withColumn("bmi", ratio_round("Weight", "Height")))
+    _, num = feature_columns(frames[-1], CATEGORICAL + ["bmi"], [id_col, label])
+    second = frames[-1].agg(F.min("bmi").cast("double").alias("lo"), F.max("bmi").cast("double").alias("hi"),
+                            *class_mean_columns(label, num, CLASSES)).first()  # bounded: one row
+    frames = each(lambda d: edge_bin(d, "bmi", BMI_EDGES, BMI_LABELS, "bmi_group", bounds=(second.lo, second.hi)).drop("bmi"))
+    return frames, read_class_means(second, num, CLASSES)
+
+
+def icu_prepared(src: DataFrame, label: str = ICU_LABEL, id_col: str = ICU_ID) -> DataFrame:
     """Sentinels -> age bins -> median fill -> BMI -> BMI bins (BMI itself dropped)."""
-    return _icu_fit(src, checkpoint)[0]
+    return _icu_fit(src, label, id_col)[0][0]
 
 
-def icu_imputed(src: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """Prepared table with class-mean (numeric) and class-mode (categorical) fills."""
-    d, means = _icu_fit(src, checkpoint)
-    cat, num = feature_columns(d, CATEGORICAL, ["RecordID", ICU_LABEL])
-    d = impute_mean_by(d, ICU_LABEL, num, CLASSES, means=means)
-    return impute_mode_by(d, ICU_LABEL, cat, CLASSES)
+def icu_imputed(src: DataFrame, label: str = ICU_LABEL, id_col: str = ICU_ID, stats_from: DataFrame | None = None) -> list[DataFrame]:
+    """The prepared table with class-mean (numeric) and class-mode (categorical)
+    fills, and the same for ``stats_from`` where given."""
+    frames, means = _icu_fit(src, label, id_col, stats_from)
+    cat, num = feature_columns(frames[0], CATEGORICAL, [id_col, label])
+    frames = [impute_mean_by(d, label, num, CLASSES, means=means) for d in frames]
+    return [impute_mode_by(d, label, cat, CLASSES, stats_from=frames[-1]) for d in frames]
 
 
-def icu_features(src: DataFrame, drop_id: bool = True, dedupe: bool = True) -> DataFrame:
+def icu_features(src: DataFrame, drop_id: bool = True, dedupe: bool = True, label: str = ICU_LABEL, id_col: str = ICU_ID,
+                 stats_from: DataFrame | None = None) -> DataFrame:
     """Assembled ICU feature table.
 
     ``drop_id=False, dedupe=False`` reproduces the original column list
     (record id assembled, and each bin group present twice: as the int code
     that replaced the text and as the index column); the defaults drop both.
+    ``stats_from`` (e.g. the training part) is what all statistics and
+    category codes are fitted on; by default the table itself, as in the
+    original.
     """
-    d = index_categories(icu_imputed(src), ["age_group", "bmi_group"])
+    frames = icu_imputed(src, label, id_col, stats_from)
+    d = index_categories(frames[0], ["age_group", "bmi_group"], stats_from=frames[-1])
     if dedupe:
         d = d.drop("age_group", "bmi_group")
     else:
         d = d.withColumns({"age_group": F.col("age_group_label"), "bmi_group": F.col("bmi_group_label")})
-    cols = [c for c in d.columns if c != ICU_LABEL and not (drop_id and c == "RecordID")]
+    cols = [c for c in d.columns if c != label and not (drop_id and c == id_col)]
     return assemble(d, cols)
 
 
@@ -152,14 +154,29 @@ def q_feature_table_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("RecordID", ICU_LABEL, F.transform("features", lambda x: F.round(x, 6)).alias("features"))
 
 
+def q_feature_table_original(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original column list: the record id and both forms of the bin groups are assembled."""
+    d = as_array(icu_features(icu_source(spark, sf_dir), drop_id=False, dedupe=False), "features")
+    return d.select("RecordID", ICU_LABEL, F.transform("features", lambda x: F.round(x, 6)).alias("features"))
+
+
+def icu_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows scored by the tuned logistic regression (fitted once per application)."""
+    from clinlake.operators.models import LR_GRID, logistic, score, tune
+
+    def build():
+        # Feature table stored once; train/test are deterministic filters of it.
+        d = materialize(split_label(icu_features(icu_source(spark, sf_dir)), "RecordID", SPLIT, seed=SEED), "icu-features")
+        model = tune(logistic(), LR_GRID, d.where(F.col("part") == "train"), ICU_LABEL, seed=SEED, stabilize=False)
+        return score(model, d.where(F.col("part") == "test"), ["RecordID"], ICU_LABEL)
+
+    return kept(spark, ("icu-predictions", sf_dir), build)
+
+
+def q_icu_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_facts(icu_predictions(spark, sf_dir), ["RecordID"])
+
+
 def q_icu_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tuned logistic regression on the ICU features: accuracy, precision, ROC area."""
-    from clinlake.operators.evaluate import binary_scorecard
-    from clinlake.operators.models import LR_GRID, logistic, score, tune
-    # Feature table stored once; train/test are deterministic filters of it.
-    d = materialize(split_label(icu_features(icu_source(spark, sf_dir)), "RecordID", SPLIT, seed=SEED),
-                    "icu-features")
-    train, test = d.where(F.col("part") == "train"), d.where(F.col("part") == "test")
-    model = tune(logistic(), LR_GRID, train, ICU_LABEL, seed=SEED, stabilize=False)
-    preds = score(model, test, ["RecordID"], ICU_LABEL)
-    return binary_scorecard(preds, "label", "prediction", "score")
+    return binary_scorecard(icu_predictions(spark, sf_dir), "label", "prediction", "score")

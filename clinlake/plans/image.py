@@ -11,44 +11,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.operators.evaluate import classification_report
-from clinlake.operators.models import fit, perceptron, score
+from clinlake.operators.evaluate import classification_report, scored_facts
+from clinlake.operators.features import narrow
+from clinlake.operators.models import perceptron, score
 from clinlake.operators.split import split_label
-from clinlake.session import derived_path
+from clinlake.session import kept, kept_path
 from clinlake.sources import read_label_matrix, write_label_matrix
 from clinlake.plans.standins import table
 
 SEED = 42
-# Hidden layer widths, scaled to the 64-wide stand-in features.
-HIDDEN = (32, 16)
-N_CLASSES = 10
-# 25 passes over the training data (the original's 25 epochs;
-# one L-BFGS iteration is one full pass).
+# Hidden layer widths, and 25 passes over the training data (the
+# original's 25 epochs; one L-BFGS iteration is one full pass).
+HIDDEN = (256, 16)
 MAX_ITER = 25
+N_CLASSES = 10
 
 
 def image_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Write the train/test label-first feature files from ``embeddings``."""
+    """The train/test label-first feature files, written from ``embeddings`` once per application."""
     emb = split_label(table(spark, sf_dir, "embeddings"), "vec_id", (0.8, 0.2), seed=SEED)
-    paths = []
-    for name in ("train", "test"):
-        part = emb.where(F.col("part") == name)
-        paths.append(write_label_matrix(part, "label", "embedding", derived_path(spark, f"image-{name}")))
-    return paths[0], paths[1]
+    return tuple(kept_path(spark, (f"image-{name}", sf_dir), lambda path, name=name: write_label_matrix(
+        emb.where(F.col("part") == name), "label", "embedding", path)) for name in ("train", "test"))
 
 
 def mlp_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train_path, test_path = image_files(spark, sf_dir)
-    train = read_label_matrix(spark, train_path, as_vector=True)
-    test = read_label_matrix(spark, test_path, as_vector=True)
-    # The input width is a model parameter: read it from one parsed row.
-    dim = int(read_label_matrix(spark, train_path).select(F.size("features")).first()[0])
-    model = fit(perceptron([dim, *HIDDEN, N_CLASSES], MAX_ITER, SEED), train, "label")
-    return score(model, test, [], "label", positive_index=None).select("label", "prediction")
+    """Test rows scored by the perceptron (fitted once per application)."""
+    def build():
+        train, test = (read_label_matrix(spark, path, as_vector=True) for path in image_files(spark, sf_dir))
+        # The input width is a model parameter: read it from one parsed row.
+        dim = int(read_label_matrix(spark, image_files(spark, sf_dir)[0]).select(F.size("features")).first()[0])  # bounded: one row
+        features, selector = "features", narrow(train, "features", "label", dim)
+        if selector is not None:
+            features, dim = selector.getOutputCol(), len(selector.selectedFeatures)
+            train, test = selector.transform(train), selector.transform(test)
+        # The files are a stored table already, so the fit scans them.
+        estimator = perceptron([dim, *HIDDEN, N_CLASSES], MAX_ITER, SEED).setLabelCol("label").setFeaturesCol(features)
+        return score(estimator.fit(train), test, [], "label", positive_index=None)
+
+    return kept(spark, ("mlp-predictions", sf_dir), build)
 
 
 def q_mlp_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mlp_predictions(spark, sf_dir)
+    """Per class of the test file (its rows have no key): rows scored, and what holds of all of them."""
+    facts = scored_facts(mlp_predictions(spark, sf_dir), [])
+    return facts.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max("n_classes").alias("n_classes"),
+                                      F.max(F.abs(F.col("probability_sum") - 1)).alias("probability_gap"),
+                                      F.bool_and("prediction_is_argmax").alias("prediction_is_argmax"))
 
 
 def q_mlp_report(spark: SparkSession, sf_dir: str) -> DataFrame:

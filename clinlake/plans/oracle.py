@@ -18,6 +18,12 @@ DIAG = """
               ELSE lpad(CAST(p_size AS VARCHAR), 4, '0') END AS diag_code
   FROM part"""
 
+CODE_JOIN = f"""
+  d AS ({DIAG}),
+  r AS (SELECT p_size, min(p_type) AS short_title, max(p_name) AS long_title FROM part GROUP BY p_size),
+  cj AS (SELECT d.p_partkey, d.diag_code, CAST(r.p_size AS VARCHAR) AS proc_code, r.short_title, r.long_title
+         FROM d JOIN r ON TRY_CAST(d.diag_code AS BIGINT) = CAST(r.p_size AS BIGINT))"""
+
 _COHORT = {
     "BUILDING": "seg = 'BUILDING'",
     "MACHINERY": "seg = 'MACHINERY'",
@@ -42,17 +48,16 @@ def oracle_sql() -> dict[str, str]:
         "inner_equi_join": """
             SELECT o.o_orderkey, o.o_custkey, c.c_mktsegment, o.o_orderpriority, o.o_orderstatus
             FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
-        "code_join_numeric": f"""
-            WITH d AS ({DIAG}),
-                 r AS (SELECT DISTINCT p_size AS proc_code FROM part WHERE p_size <= 30)
-            SELECT d.p_partkey, d.diag_code, CAST(r.proc_code AS VARCHAR) AS proc_code
-            FROM d JOIN r ON TRY_CAST(d.diag_code AS BIGINT) = CAST(r.proc_code AS BIGINT)""",
+        "code_join_numeric": f"WITH {CODE_JOIN} SELECT * FROM cj",
         "code_join_exact": f"""
             WITH d AS ({DIAG}),
-                 r AS (SELECT DISTINCT lpad(CAST(p_size AS VARCHAR), 4, '0') AS proc_code
-                       FROM part WHERE p_size <= 30)
-            SELECT d.p_partkey, d.diag_code, r.proc_code
+                 r AS (SELECT lpad(CAST(p_size AS VARCHAR), 4, '0') AS proc_code, min(p_type) AS short_title,
+                              max(p_name) AS long_title FROM part GROUP BY p_size)
+            SELECT d.p_partkey, d.diag_code, r.proc_code, r.short_title, r.long_title
             FROM d JOIN r ON d.diag_code = r.proc_code""",
+        "title_match_count": f"""WITH {CODE_JOIN}
+            SELECT CAST(count(*) AS BIGINT) AS n FROM cj
+            WHERE contains(short_title, 'al') OR contains(long_title, 'al')""",
         "text_match_count": """
             SELECT CAST(count(*) AS BIGINT) AS n FROM part
             WHERE contains(p_name, 'ring') OR contains(p_type, 'ring')""",
@@ -135,7 +140,7 @@ def _stroke_indexed() -> str:
 
 
 def _hash_bucket(key: str, seed: int = 42) -> str:
-    return f"(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 10000)"
+    return f"(('0x' || substr(md5('{seed}:' || coalesce(CAST({key} AS VARCHAR), '<null>')), 1, 8))::BIGINT % 10000)"
 
 
 def _double_list(cols: list[str]) -> str:
@@ -148,6 +153,8 @@ ICU_NUMERIC = ["Age", "Gender", "ICUType", "Height", "Weight", "HR"]
 
 
 def _nullify(c: str) -> str:
+    if c == "Height":  # whole numbers
+        return "nullif(Height, -1) AS Height"
     return (f"CASE WHEN isnan({c}) OR {c} IN (-1.0::DOUBLE, 'inf'::DOUBLE, '-inf'::DOUBLE) "
             f"THEN NULL ELSE {c} END AS {c}")
 
@@ -158,8 +165,8 @@ ICU_CLEAN = """
                  ELSE CAST(16 + c.c_custkey % 75 AS DOUBLE) END AS Age,
             CAST(c.c_nationkey % 2 AS DOUBLE) AS Gender,
             CAST(1 + c.c_nationkey % 4 AS DOUBLE) AS ICUType,
-            CASE WHEN o.o_orderkey % 11 = 0 THEN NULL WHEN o.o_orderkey % 97 = 0 THEN 0.0::DOUBLE
-                 ELSE CAST(150 + o.o_custkey % 50 AS DOUBLE) END AS Height,
+            CAST(CASE WHEN o.o_orderkey % 11 = 0 THEN NULL WHEN o.o_orderkey % 97 = 0 THEN 0
+                      ELSE 150 + o.o_custkey % 50 END AS INTEGER) AS Height,
             CASE WHEN o.o_orderkey % 11 = 1 THEN -1.0::DOUBLE
                  ELSE CAST(40 + o.o_orderkey % 80 AS DOUBLE) END AS Weight,
             CASE WHEN o.o_orderkey % 7 = 3 THEN NULL
@@ -173,16 +180,16 @@ ICU_AGE_LABELS = "['<20', '20s', '30s', '40s', '50s', '60s', '70s', '80s', '90s'
 
 ICU_BINNED = ICU_CLEAN + f""",
   ab AS (SELECT clean.*,
-           CASE WHEN Age IS NULL THEN NULL WHEN hi = lo THEN 4
-                ELSE LEAST(GREATEST(CAST(ceil((Age - lo) * 9 / (hi - lo)) AS INTEGER) - 1, 0), 8) END AS age_bin
-         FROM clean, (SELECT min(Age) AS lo, max(Age) AS hi FROM clean) st),
+           CASE WHEN Age IS NOT NULL THEN CAST(len(list_filter(edges, lambda e: e < Age)) AS INTEGER) END AS age_bin
+         FROM clean, (SELECT list_transform(range(1, 9), lambda i: i * ((hi - lo) / 9) + lo) AS edges
+                      FROM (SELECT min(Age) AS lo, max(Age) AS hi FROM clean)) st),
   ag AS (SELECT ab.*, {ICU_AGE_LABELS}[age_bin + 1] AS age_group FROM ab)"""
 
 ICU_MEDIAN = """,
   med AS (SELECT median(Height) AS mh, median(Weight) AS mw FROM clean)"""
 
 BMI = ("CASE WHEN Height * Height = 0 THEN NULL "
-       "ELSE CAST(round_even(Weight / (Height * Height) * 10000.0::DOUBLE, 2) AS DOUBLE) END")
+       "ELSE CAST(printf('%.2f', Weight / (Height * Height) * 10000.0::DOUBLE) AS DOUBLE) END")
 
 BMI_GROUP = """CASE WHEN lo >= 18.5::DOUBLE OR hi <= 29.9::DOUBLE THEN error('bin edges must increase')
             WHEN bmi IS NULL OR bmi <= lo THEN NULL
@@ -190,7 +197,7 @@ BMI_GROUP = """CASE WHEN lo >= 18.5::DOUBLE OR hi <= 29.9::DOUBLE THEN error('bi
             WHEN bmi <= 29.9::DOUBLE THEN 'Overweight' WHEN bmi <= hi THEN 'Obesity' END"""
 
 ICU_PREPARED = ICU_BINNED + ICU_MEDIAN + f""",
-  mf AS (SELECT RecordID, Age, Gender, ICUType, coalesce(Height, mh) AS Height, coalesce(Weight, mw) AS Weight,
+  mf AS (SELECT RecordID, Age, Gender, ICUType, coalesce(CAST(Height AS DOUBLE), mh) AS Height, coalesce(Weight, mw) AS Weight,
                 HR, in_hospital_death, age_group FROM ag, med),
   bm AS (SELECT mf.*, {BMI} AS bmi FROM mf),
   prep AS (SELECT RecordID, Age, Gender, ICUType, Height, Weight, HR, in_hospital_death, age_group,
@@ -200,7 +207,7 @@ ICU_PREPARED = ICU_BINNED + ICU_MEDIAN + f""",
 
 def _class_mean_fill(src: str, cols: list[str], label: str = "in_hospital_death") -> tuple[str, str]:
     stats = ", ".join(f"avg({c}) FILTER (WHERE {label} = {k}) AS m_{c}_{k}" for c in cols for k in (0, 1))
-    fills = {c: f"coalesce({c}, CASE {label} WHEN 0 THEN m_{c}_0 WHEN 1 THEN m_{c}_1 END)" for c in cols}
+    fills = {c: f"coalesce(CAST({c} AS DOUBLE), CASE {label} WHEN 0 THEN m_{c}_0 WHEN 1 THEN m_{c}_1 END)" for c in cols}
     return f"  means AS (SELECT {stats} FROM {src})", fills
 
 
@@ -293,12 +300,67 @@ def _nulls(cols) -> str:
     return " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c, _ in cols)
 
 
+def _profile_of(name: str, source: str, cols) -> str:
+    return (f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, {len(cols)} AS n_columns, "
+            f"CAST(coalesce(sum({_width(cols)}), 0) AS BIGINT) AS n_bytes, "
+            f"CAST(coalesce(sum({_nulls(cols)}), 0) AS BIGINT) AS n_nulls FROM {source}")
+
+
 def _profile_sql() -> str:
-    return "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, {len(cols)} AS n_columns, "
-        f"CAST(coalesce(sum({_width(cols)}), 0) AS BIGINT) AS n_bytes, "
-        f"CAST(coalesce(sum({_nulls(cols)}), 0) AS BIGINT) AS n_nulls FROM {t}"
-        for t, cols in _TABLE_COLS.items())
+    return "\nUNION ALL\n".join(_profile_of(t, t, cols) for t, cols in _TABLE_COLS.items())
+
+
+# --------------------------------------------------------------- model outputs
+
+def _grid_sql(values: dict[str, list]) -> str:
+    """All settings of a grid in order (the last parameter varies fastest), with
+    their parameters as text in name order."""
+    names = list(values)
+    total = 1
+    for v in values.values():
+        total *= len(v)
+    step, at = total, {}
+    for n in names:
+        step //= len(values[n])
+        items = ", ".join(f"'{x}'" for x in values[n])
+        at[n] = f"'{n}=' || [{items}][(setting // {step}) % {len(values[n])} + 1]"
+    text = " || ', ' || ".join(at[n] for n in sorted(names))
+    return (f"SELECT CAST(setting AS INTEGER) AS setting, {text} AS params, true AS metric_is_share "
+            f"FROM (SELECT unnest(range({total})) AS setting)")
+
+
+def _model_sql() -> dict[str, str]:
+    facts = "1.0::DOUBLE AS probability_sum, true AS prediction_is_argmax"
+    stroke = f"""WITH {STROKE_SRC}
+            SELECT id, CAST(stroke AS DOUBLE) AS label, 2 AS n_classes, {facts}, true AS score_is_positive
+            FROM s WHERE {_hash_bucket('id')} >= 8000"""
+    waveform = f"""
+            WITH k AS (SELECT label, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(label AS VARCHAR)) - 1 AS DOUBLE) AS code
+                       FROM embeddings GROUP BY label)
+            SELECT vec_id, code AS label, CAST((SELECT count(*) FROM k) AS INTEGER) AS n_classes, {facts}
+            FROM embeddings JOIN k USING (label) WHERE {_hash_bucket('vec_id')} >= 7000"""
+    return {
+        "logistic_predictions": stroke,
+        "forest_predictions": stroke,
+        "icu_predictions": f"""WITH {ICU_CLEAN}
+            SELECT RecordID, CAST(in_hospital_death AS DOUBLE) AS label, 2 AS n_classes, {facts}, true AS score_is_positive
+            FROM clean WHERE {_hash_bucket('RecordID')} >= 8000""",
+        "tree_predictions": waveform,
+        "multinomial_predictions": waveform,
+        "mlp_predictions": f"""
+            SELECT CAST(label AS DOUBLE) AS label, CAST(count(*) AS BIGINT) AS n, 10 AS n_classes, 0.0::DOUBLE AS probability_gap,
+                   true AS prediction_is_argmax
+            FROM embeddings WHERE {_hash_bucket('vec_id')} >= 8000 GROUP BY label""",
+        "tuning_leaderboard": _grid_sql({"regParam": [0.01, 0.1], "maxIter": [5, 10], "tol": ["0.0001", "1e-05"],
+                                         "elasticNetParam": [0.25, 0.75]}),
+        "forest_leaderboard": _grid_sql({"maxDepth": [5, 10, 20], "maxBins": [20, 32, 50], "numTrees": [20, 40, 60],
+                                         "impurity": ["gini", "entropy"], "minInstancesPerNode": [1, 5, 10]}),
+        # vec_id, label, prediction and one probability per class
+        "scored_size": f"""
+            SELECT CAST(count(*) AS BIGINT) AS n_rows,
+                   CAST(count(*) * (24 + 8 * (SELECT count(DISTINCT label) FROM embeddings)) AS BIGINT) AS n_bytes
+            FROM embeddings WHERE {_hash_bucket('vec_id')} >= 7000""",
+    }
 
 
 def _impute_group_mean_sql() -> str:
@@ -307,7 +369,7 @@ def _impute_group_mean_sql() -> str:
     selected = ", ".join(f"round({fills[c]}, 6) AS {c}" for c in cols)
     return f"""WITH {ICU_CLEAN},
             {means_cte}
-            SELECT RecordID, in_hospital_death, {selected}
+            SELECT RecordID, in_hospital_death AS "In-hospital_death", {selected}
             FROM clean, means WHERE in_hospital_death IN (0, 1)"""
 
 
@@ -317,18 +379,31 @@ def _impute_group_mode_sql() -> str:
     selected = ", ".join(f"{fills[c]} AS {c}" for c in cols)
     return f"""WITH {ICU_PREPARED},
             {mode_ctes}
-            SELECT RecordID, in_hospital_death, {selected}
+            SELECT RecordID, in_hospital_death AS "In-hospital_death", {selected}
             FROM prep WHERE in_hospital_death IN (0, 1)"""
 
 
 def _more_sql() -> dict[str, str]:
     feats = _double_list(STROKE_FEATURES)
+    original = ["RecordID", "Age", "Gender", "ICUType", "Height", "Weight", "HR", "age_group_label", "bmi_group_label",
+                "age_group_label", "bmi_group_label"]
     icu_feats = ["Age", "Gender", "ICUType", "Height", "Weight", "HR", "age_group_label", "bmi_group_label"]
     return {
         "table_size": f"""
             SELECT CAST(count(*) AS BIGINT) AS n_rows,
                    CAST(coalesce(sum({_width(_TABLE_COLS['orders'])}), 0) AS BIGINT) AS n_bytes FROM orders""",
         "profile_tables": _profile_sql(),
+        "joined_sizes": f"""WITH {CODE_JOIN},
+              oj AS (SELECT o.o_orderkey, o.o_custkey, c.c_mktsegment, o.o_orderpriority, o.o_orderstatus
+                     FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
+            {_profile_of('cohort_join', 'oj', [('o_orderkey', 8), ('o_custkey', 8), ('c_mktsegment', None),
+                                               ('o_orderpriority', None), ('o_orderstatus', None)])}
+            UNION ALL
+            {_profile_of('code_join', 'cj', [('p_partkey', 8), ('diag_code', None), ('proc_code', None),
+                                             ('short_title', None), ('long_title', None)])}""",
+        # id, eight int codes, two more ints, the label and a vector of ten doubles
+        "assembled_size": """
+            SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) * (8 + 10 * 4 + 4 + 80) AS BIGINT) AS n_bytes FROM customer""",
         # stroke
         "tolerant_int_cast": f"""WITH {STROKE_SRC}
             SELECT id, bmi, CAST(trunc(TRY_CAST(bmi AS DOUBLE)) AS INTEGER) AS bmi_int,
@@ -336,8 +411,8 @@ def _more_sql() -> dict[str, str]:
                    CAST(trunc(avg_glucose_level) AS INTEGER) AS glucose_int FROM s""",
         "constant_fill": f"WITH {STROKE_CLEAN} SELECT id, bmi FROM sc",
         "interaction_features": f"""WITH {STROKE_CLEAN}
-            SELECT id, CAST(hypertension AS BIGINT) * CAST(heart_disease AS BIGINT) AS blood_heart,
-                   CAST(bmi AS DOUBLE) * CAST(avg_glucose_level AS DOUBLE) / 1000.0::DOUBLE AS obesity FROM sc""",
+            SELECT id, CAST(hypertension AS BIGINT) * CAST(heart_disease AS BIGINT) AS "Blood&Heart",
+                   CAST(bmi AS DOUBLE) * CAST(avg_glucose_level AS DOUBLE) / 1000.0::DOUBLE AS "Obesity" FROM sc""",
         "case_bucket": f"WITH {STROKE_CLEAN} SELECT id, age, {AGE_BAND} AS age_group FROM sc",
         "index_categories": f"""WITH {_stroke_indexed()}
             SELECT id, {', '.join(c + '_label' for c in STROKE_CATEGORICAL)} FROM si""",
@@ -347,28 +422,28 @@ def _more_sql() -> dict[str, str]:
         "feature_table_case": f"""WITH {_stroke_indexed()}
             SELECT id, {', '.join(STROKE_FEATURES)}, stroke, {feats} AS features FROM si""",
         "split_80_20": f"""
-            SELECT c_custkey AS id,
-                   CASE WHEN {_hash_bucket('c_custkey')} < 8000 THEN 'train' ELSE 'test' END AS part
-            FROM customer""",
+            SELECT *, CASE WHEN {_hash_bucket('key')} < 8000 THEN 'train' ELSE 'test' END AS part
+            FROM (SELECT c_custkey AS id, CASE WHEN c_custkey % 50 <> 0 THEN c_custkey END AS key FROM customer)""",
         # ICU
-        "sentinel_to_null": f"WITH {ICU_CLEAN} SELECT * FROM clean",
+        "sentinel_to_null": f"WITH {ICU_CLEAN} SELECT * RENAME (in_hospital_death AS \"In-hospital_death\") FROM clean",
         "equal_width_bin": f"WITH {ICU_BINNED} SELECT RecordID, Age, age_bin, age_group FROM ag",
         "impute_median": f"""WITH {ICU_CLEAN}{ICU_MEDIAN}
-            SELECT RecordID, round(coalesce(Height, mh), 6) AS Height, round(coalesce(Weight, mw), 6) AS Weight
+            SELECT RecordID, round(coalesce(CAST(Height AS DOUBLE), mh), 6) AS Height, round(coalesce(Weight, mw), 6) AS Weight
             FROM clean, med""",
         "ratio_round": f"""WITH {ICU_CLEAN}{ICU_MEDIAN},
-              mf AS (SELECT RecordID, coalesce(Height, mh) AS Height, coalesce(Weight, mw) AS Weight
+              mf AS (SELECT RecordID, coalesce(CAST(Height AS DOUBLE), mh) AS Height, coalesce(Weight, mw) AS Weight
                      FROM clean, med)
             SELECT RecordID, {BMI} AS bmi FROM mf""",
         "edge_bin": f"""WITH {ICU_CLEAN}{ICU_MEDIAN},
-              mf AS (SELECT RecordID, coalesce(Height, mh) AS Height, coalesce(Weight, mw) AS Weight
+              mf AS (SELECT RecordID, coalesce(CAST(Height AS DOUBLE), mh) AS Height, coalesce(Weight, mw) AS Weight
                      FROM clean, med),
               bm AS (SELECT RecordID, {BMI} AS bmi FROM mf)
             SELECT RecordID, bmi, {BMI_GROUP} AS bmi_group
             FROM bm, (SELECT min(bmi) AS lo, max(bmi) AS hi FROM bm) st""",
         "impute_group_mean": _impute_group_mean_sql(),
         "impute_group_mode": _impute_group_mode_sql(),
-        "union_by_name": f"WITH {ICU_CLEAN} SELECT * FROM clean WHERE in_hospital_death IN (0, 1)",
+        "union_by_name": f"""WITH {ICU_CLEAN}
+            SELECT * RENAME (in_hospital_death AS "In-hospital_death") FROM clean WHERE in_hospital_death IN (0, 1)""",
         "seeded_shuffle_rank": """
             SELECT o.o_orderkey AS RecordID,
                    CAST(row_number() OVER (ORDER BY ('0x' || substr(md5('42:' || CAST(o.o_orderkey AS VARCHAR)),
@@ -376,17 +451,21 @@ def _more_sql() -> dict[str, str]:
                      AS shuffle_rank
             FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
         "feature_table_impute": f"""WITH {_icu_imputed()}
-            SELECT RecordID, in_hospital_death,
+            SELECT RecordID, in_hospital_death AS "In-hospital_death",
                    list_transform({_double_list(icu_feats)}, lambda x: round(x, 6)) AS features FROM fi""",
+        "feature_table_original": f"""WITH {_icu_imputed()}
+            SELECT RecordID, in_hospital_death AS "In-hospital_death",
+                   list_transform({_double_list(original)}, lambda x: round(x, 6)) AS features FROM fi""",
         # waveform
         "vector_index_cardinality": """
-            SELECT CAST(dim AS INTEGER) AS dim, CAST(least(count(DISTINCT v), 101) AS BIGINT) AS n_values,
+            SELECT CAST(dim AS INTEGER) AS dim,
+                   CASE WHEN count(DISTINCT v) <= 100 THEN CAST(count(DISTINCT v) AS BIGINT) END AS n_values,
                    count(DISTINCT v) <= 100 AS is_categorical
             FROM (SELECT unnest(embedding) AS v, unnest(range(len(embedding))) AS dim FROM embeddings)
             GROUP BY dim""",
         "split_70_30": f"""
-            SELECT vec_id, CASE WHEN {_hash_bucket('vec_id')} < 7000 THEN 'train' ELSE 'test' END AS part
-            FROM embeddings""",
+            SELECT *, CASE WHEN {_hash_bucket('key')} < 7000 THEN 'train' ELSE 'test' END AS part
+            FROM (SELECT vec_id, CASE WHEN vec_id % 30 <> 0 THEN vec_id END AS key FROM embeddings)""",
         # metrics
         "confusion_matrix": f"WITH {PREDS} SELECT label, prediction, count(*) AS n FROM p GROUP BY label, prediction",
         "classification_metrics": f"""WITH {CLASS_STATS}
@@ -412,6 +491,7 @@ def _more_sql() -> dict[str, str]:
                    round(min(auc.auc), 4) AS roc_auc FROM st, auc""",
         "misclassified_rows": f"""WITH {PREDS}
             SELECT o_orderkey, prediction, label, probability FROM p WHERE prediction <> label""",
+        **_model_sql(),
         "argmax_array": """
             SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax
             FROM embeddings""",

@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
         "code_join_numeric": cohort.q_code_join_numeric,
         "code_join_exact": cohort.q_code_join_exact,
         "text_match_count": cohort.q_text_match_count,
+        "title_match_count": cohort.q_title_match_count,
         # size-graded scans
         "filter_item_threshold_count": scans.q_filter_item_threshold_count,
         "row_count": scans.q_row_count,
@@ -31,6 +32,9 @@ def queries() -> dict[str, Query]:
         # size profiling
         "table_size": profile.q_table_size,
         "profile_tables": profile.q_profile_tables,
+        "joined_sizes": cohort.q_joined_sizes,
+        "assembled_size": stroke.q_assembled_size,
+        "scored_size": waveform.q_scored_size,
         # stroke recipe
         "tolerant_int_cast": stroke.q_tolerant_int_cast,
         "constant_fill": stroke.q_constant_fill,
@@ -51,6 +55,7 @@ def queries() -> dict[str, Query]:
         "union_by_name": icu.q_union_by_name,
         "seeded_shuffle_rank": icu.q_seeded_shuffle_rank,
         "feature_table_impute": icu.q_feature_table_impute,
+        "feature_table_original": icu.q_feature_table_original,
         # waveform
         "vector_index_cardinality": waveform.q_vector_index_cardinality,
         "split_70_30": waveform.q_split_70_30,
@@ -62,15 +67,19 @@ def queries() -> dict[str, Query]:
         "binary_scorecard": evaluation.q_binary_scorecard,
         "misclassified_rows": evaluation.q_misclassified_rows,
         "argmax_array": evaluation.q_argmax_array,
-        # models (rows-only checks: fitted models are not SQL-expressible)
+        # models (SQL checks what must hold of every scored row; metric rows are held against Spark's evaluators)
         "logistic_predictions": stroke.q_logistic_predictions,
         "forest_predictions": stroke.q_forest_predictions,
         "tuning_leaderboard": stroke.q_tuning_leaderboard,
+        "forest_leaderboard": stroke.q_forest_leaderboard,
         "stroke_scorecard": stroke.q_stroke_scorecard,
+        "forest_scorecard": stroke.q_forest_scorecard,
+        "icu_predictions": icu.q_icu_predictions,
         "icu_scorecard": icu.q_icu_scorecard,
         "tree_predictions": waveform.q_tree_predictions,
         "multinomial_predictions": waveform.q_multinomial_predictions,
         "waveform_metrics": waveform.q_waveform_metrics,
+        "tree_metrics": waveform.q_tree_metrics,
         "tree_misclassified": waveform.q_tree_misclassified,
         "mlp_predictions": image.q_mlp_predictions,
         "mlp_report": image.q_mlp_report,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinlake.operators.relate import count_where, group_count, preview, row_count
-from clinlake.session import derived_path
+from clinlake.session import kept_path
 from clinlake.sources import read_delimited, read_label_matrix, write_delimited, write_label_matrix
 from clinlake.plans.standins import table
 
@@ -44,8 +44,8 @@ def q_preview_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Write ``orders`` as CSV into the shared folder (the delimited source under test)."""
-    return write_delimited(table(spark, sf_dir, "orders"), derived_path(spark, "orders-csv"))
+    """``orders`` as CSV in the shared folder (the delimited source under test), written once per application."""
+    return kept_path(spark, ("orders-csv", sf_dir), lambda path: write_delimited(table(spark, sf_dir, "orders"), path))
 
 
 def q_csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,8 +58,8 @@ def q_csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_label_matrix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write ``embeddings`` as label-first text, scan it back, summarise per label."""
-    emb = table(spark, sf_dir, "embeddings")
-    path = write_label_matrix(emb, "label", "embedding", derived_path(spark, "label-matrix"))
+    path = kept_path(spark, ("label-matrix", sf_dir), lambda path: write_label_matrix(
+        table(spark, sf_dir, "embeddings"), "label", "embedding", path))
     m = read_label_matrix(spark, path)
     return (m.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"),

@@ -52,10 +52,10 @@ def diagnosis_codes(part: DataFrame) -> DataFrame:
 
 
 def procedure_codes(part: DataFrame, as_text: bool) -> DataFrame:
-    """Dictionary of distinct sizes <= 30, typed as int (inferred-style) or 4-digit text."""
+    """Dictionary of distinct sizes with two titles, typed as int (inferred-style) or 4-digit text."""
     size = F.col("p_size")
     code = F.lpad(size.cast("string"), 4, "0") if as_text else size
-    return part.where(size <= 30).select(code.alias("proc_code")).distinct()
+    return part.groupBy(code.alias("proc_code")).agg(F.min("p_type").alias("short_title"), F.max("p_name").alias("long_title"))
 
 
 # --- stroke table (customer + urgent-order counts) ---------------------------
@@ -92,12 +92,14 @@ def stroke_table(customer: DataFrame, orders: DataFrame) -> DataFrame:
 
 # --- ICU table (orders x customer) -------------------------------------------
 
-ICU_NUMERIC = ["Age", "Gender", "ICUType", "Height", "Weight", "HR"]
-ICU_LABEL = "in_hospital_death"
+# Label and id column of the ICU file.
+ICU_LABEL = "In-hospital_death"
+ICU_ID = "RecordID"
 
 
 def icu_table(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """ICU-style rows with -1 / +inf sentinels, NULLs and zero heights."""
+    """ICU-style rows with -1 / +inf sentinels, NULLs, zero heights, and one
+    whole-number column with gaps (Height)."""
     ok = F.col("o_orderkey")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
     return joined.select(
@@ -106,8 +108,8 @@ def icu_table(orders: DataFrame, customer: DataFrame) -> DataFrame:
         .otherwise((F.lit(16) + F.col("c_custkey") % 75).cast("double")).alias("Age"),
         (F.col("c_nationkey") % 2).cast("double").alias("Gender"),
         (F.lit(1) + F.col("c_nationkey") % 4).cast("double").alias("ICUType"),
-        F.when(ok % 11 == 0, F.lit(None).cast("double")).when(ok % 97 == 0, F.lit(0.0))
-        .otherwise((F.lit(150) + F.col("o_custkey") % 50).cast("double")).alias("Height"),
+        F.when(ok % 11 == 0, F.lit(None)).when(ok % 97 == 0, 0)
+        .otherwise(F.lit(150) + F.col("o_custkey") % 50).cast("int").alias("Height"),
         F.when(ok % 11 == 1, F.lit(-1.0))
         .otherwise((F.lit(40) + ok % 80).cast("double")).alias("Weight"),
         F.when(ok % 7 == 3, F.lit(None).cast("double"))

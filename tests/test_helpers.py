@@ -1,12 +1,10 @@
 """Public helpers not exercised by the registered queries."""
 
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
+import os
 
-from clinlake.operators.evaluate import positive_score, probability_array
+from clinlake import session
 from clinlake.operators.features import index_categories
 from clinlake.operators.impute import medians
-from clinlake.operators.relate import conditional_counts, long_counts
 
 
 def test_keep_nominal_keeps_double_codes_with_metadata(spark):
@@ -18,20 +16,25 @@ def test_keep_nominal_keeps_double_codes_with_metadata(spark):
     assert dict(cast.dtypes)["v_label"] == "int" and not cast.schema["v_label"].metadata
 
 
-def test_positive_score_and_probability_array(spark):
-    df = spark.createDataFrame([(Vectors.dense([0.25, 0.75]),)], ["probability"])
-    assert df.select(positive_score()).first().score == 0.75
-    assert df.select(probability_array(df).alias("p")).first().p == [0.25, 0.75]
-
-
-def test_long_counts(spark):
-    df = spark.range(10)
-    wide = conditional_counts(df, {"small": F.col("id") < 3, "even": F.col("id") % 2 == 0})
-    got = {r.name: r.n for r in long_counts(wide, ["small", "even"]).collect()}
-    assert got == {"small": 3, "even": 5}
-
-
 def test_approximate_median_option(spark):
     df = spark.createDataFrame([(float(v),) for v in range(101)], "x double")
     assert medians(df, ["x"], approx=True) == {"x": 50.0}
     assert medians(df, ["x"]) == {"x": 50.0}
+
+
+def test_derived_folders_are_shared_and_removed(spark, monkeypatch):
+    monkeypatch.setattr(session, "_OWN", {})
+    monkeypatch.setattr(session, "_KEPT", {})
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(3)
+
+    first, second = (session.kept(spark, ("numbers", "dir"), build) for _ in range(2))
+    assert first.count() == second.count() == 3 and built == [1]
+    folder = first.inputFiles()[0].rsplit("/", 1)[0].split(":", 1)[-1].replace("//", "/")
+    assert os.path.isdir(folder)
+    assert session.cleanup(spark) == 1 and not os.path.exists(folder)
+    assert session.kept(spark, ("numbers", "dir"), build).count() == 3 and built == [1, 1]
+    session.cleanup(spark)

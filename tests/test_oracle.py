@@ -23,7 +23,8 @@ def test_every_sql_key_is_a_query():
     assert set(SQL) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+# The 162-setting forest search takes minutes at sf0.01; it is checked on the smallest tables by scripts/check_oracle.py.
+@pytest.mark.parametrize("name", sorted(n for n in SQL if not n.startswith("forest_")))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF01)
     rows = [tuple(r) for r in df.collect()]

@@ -16,15 +16,14 @@ keys = st.one_of(st.none(), st.integers(0, 5))
 @SETTINGS
 @given(fact=st.lists(st.tuples(keys, st.sampled_from(["a", "b", "c"])), min_size=1, max_size=40),
        dim=st.lists(st.tuples(keys, st.one_of(st.none(), st.sampled_from(["M", "F", "X"]))), min_size=1,
-                    max_size=15),
-       limit=st.sampled_from([None, -1]))
-def test_cohort_counts_equals_join_then_count(spark, fact, dim, limit):
+                    max_size=15))
+def test_cohort_counts_equals_join_then_count(spark, fact, dim):
     f = spark.createDataFrame(fact, "k int, ev string")
     d = spark.createDataFrame(dim, "k int, g string")
     cohorts = {"M": F.col("g") == "M", "other": ~F.col("g").isin("M", "F")}
     events = {"a": F.col("ev") == "a", "bc": F.col("ev").isin("b", "c")}
     got = {(r.cohort, r.event): r.n
-           for r in cohort_counts(f, d, "k", cohorts, events, broadcast_bytes=limit).collect()}
+           for r in cohort_counts(f, d, "k", cohorts, events).collect()}
     fp, dp = pd.DataFrame(fact, columns=["k", "ev"]), pd.DataFrame(dim, columns=["k", "g"])
     j = fp.dropna(subset=["k"]).merge(dp.dropna(subset=["k"]), on="k")
     coh = {"M": j.g == "M", "other": j.g.notna() & ~j.g.isin(["M", "F"])}

@@ -21,10 +21,8 @@ def test_cohort_counts_exact_under_a_hot_key(spark):
     brute = conditional_counts(joined, {f"{c}|{e}": cp & ep for c, cp in cohorts.items()
                                         for e, ep in events.items()}).first().asDict()
     expect = {tuple(k.split("|")): v for k, v in brute.items()}
-    for limit in (None, -1):  # broadcast plan and eager-aggregation plan
-        got = {(r.cohort, r.event): r.n
-               for r in cohort_counts(orders, customer, on, cohorts, events, broadcast_bytes=limit).collect()}
-        assert got == expect
+    got = {(r.cohort, r.event): r.n for r in cohort_counts(orders, customer, on, cohorts, events).collect()}
+    assert got == expect
 
 
 def test_group_count_hot_key_combined_map_side(spark):
