@@ -174,8 +174,8 @@ def train(texts: list[bytes], labels: list[str], dim: int = 16, buckets: int = 1
         p = _softmax(logits / model.temperature)
         right = p.argmax(axis=1) == truth
         top = np.sort(p.max(axis=1)[right])
-        # Never above one half: a text that has one likely language is not rejected.
-        model.threshold = float(min(0.5, top[int(reject_share * len(top))])) if len(top) else 0.0
+        # Never above 0.4: a text torn between two languages is not rejected.
+        model.threshold = float(min(0.4, top[int(reject_share * len(top))])) if len(top) else 0.0
     return model
 
 
