@@ -1,33 +1,36 @@
 """Stage tables of the operators: written to the shared folder and read back.
 
 A finished stage is a parquet table below ``spark.checkpoint.dir``; losing an
-executor afterwards costs nothing.  Shuffle files of a finished stage are
-released by Spark when the driver's garbage collector finds them unused, so
-``store`` asks for a collection once the table stands.
+executor afterwards costs nothing, and the shuffle files that led to it are
+no longer needed.  `write` lets Spark drop them when the write ends.
 """
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 
 from clinlake.session import derived_path, shared_dir
 
+# Spark's own setting: drop a statement's shuffle files when the statement ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-def store(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and return a scan of it."""
-    spark = df.sparkSession
-    path = derived_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    release(spark)
-    return spark.read.schema(df.schema).parquet(path)
 
+def write(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Write ``df`` as a parquet table and drop the shuffle files behind it."""
+    conf = df.sparkSession.conf
+    before = conf.get(DROP_SHUFFLES, None)
+    conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        conf.unset(DROP_SHUFFLES) if before is None else conf.set(DROP_SHUFFLES, before)
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished stages."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+
+def store(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and return a scan of it."""
+    path = derived_path(df.sparkSession, name)
+    write(df, path, *partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remove(df: DataFrame) -> None:

@@ -193,7 +193,6 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
 
     parts = max(stages.tasks(spark), min(8192, stages.text_bytes(docs, text_col) // (32 << 20)))
     order = [F.col("id").asc_nulls_last(), F.col("tkey")]
-    (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "text")
-     .mapInArrow(encode, _BLOCKS).write.parquet(f"{folder}/blocks"))
-    stages.release(spark)
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "text")
+    stages.write(dealt.mapInArrow(encode, _BLOCKS), f"{folder}/blocks")
     return TokenFiles(folder, spark)

@@ -145,11 +145,10 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         F.when(small | first, "response").otherwise("revisit").alias("kind"),
         record_uuid(F.col("page_id"), F.col("url"), key, F.col("nth")).alias("record_id"),
         record_uuid(F.col("lead.page_id"), F.col("lead.url"), key, F.col("lead.rows")).alias("response_id"))
-    records.select("payload_key", "kind", F.encode(header_block(date), "utf-8").alias("header")).write.parquet(f"{folder}/headers")
+    stages.write(records.select("payload_key", "kind", F.encode(header_block(date), "utf-8").alias("header")), f"{folder}/headers")
 
     stored = rows.select("payload_key", "payload").dropDuplicates(["payload_key"])
     verified = F.when(F.unhex(F.sha2("payload", 256)) == F.col("payload_key"), F.col("payload")).otherwise(
         F.raise_error(F.lit("a payload does not match its key")).cast("binary"))
-    stored.select("payload_key", verified.alias("payload")).write.parquet(f"{folder}/payloads")
-    stages.release(spark)
+    stages.write(stored.select("payload_key", verified.alias("payload")), f"{folder}/payloads")
     return Archive(folder, spark)
