@@ -19,7 +19,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinlake.session import materialize
+from clinlake.session import derived_path, discard, materialize
 
 # Rows that one bucket's window should hold.
 ROWS_PER_BUCKET = 250_000
@@ -43,17 +43,22 @@ def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequenc
     Rows equal on all order columns are ordered arbitrarily, and share a
     bucket.  ``total_prefix`` also appends ``<total_prefix><w>``, the group's
     grand total, taken from the same small per-bucket table.  The input is
-    stored once, already in buckets.  ``n_buckets`` defaults to a count that
+    stored in buckets (a copy that only served to count it goes again).  ``n_buckets`` defaults to a count that
     follows the size (``bucket_count``).
     """
     order_cols, weight_cols, partition_cols = list(order_cols), list(weight_cols), list(partition_cols)
     columns = df.columns
+    spark, first = df.sparkSession, None
     if n_buckets is None:
-        df = materialize(df, "rank-input")
+        first = derived_path(spark, "rank-input")
+        df.write.parquet(first)
+        df = spark.read.parquet(first)
         n_buckets = bucket_count(df)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     ranged = df.repartitionByRange(n_buckets, *[F.col(c).asc_nulls_first() for c in partition_cols], *order)
     b = materialize(ranged.withColumn("__b", F.spark_partition_id()), "rank-buckets")
+    if first:
+        discard(spark, first)
 
     totals = b.groupBy(*partition_cols, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weight_cols])
     before = Window.partitionBy(*partition_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)

@@ -103,8 +103,17 @@ def cleanup(spark: SparkSession) -> int:
     paths = _OWN.pop(app, [])
     for where in [k for k in _KEPT if k[0] == app]:
         del _KEPT[where]
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(hadoop).delete(path, True)
+        _delete(spark, p)
     return len(paths)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one derived folder of this application whose readers are done."""
+    _OWN[spark.sparkContext.applicationId].remove(path)
+    _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
