@@ -95,7 +95,7 @@ def _signer(n: int, trees: int, depth: int):
         return out, np.diff(begin)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in text.pieces(batches):
             texts = text.utf8(b.column("text"))
             for lo, hi in text.slices(texts, text.PIECE):
                 nodes, count = bands(texts[lo:hi])
@@ -113,7 +113,7 @@ def _signer(n: int, trees: int, depth: int):
 def _setter(n: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The distinct shingle hashes of each text, sorted."""
-        for b in batches:
+        for b in text.pieces(batches):
             texts = text.utf8(b.column("text"))
             for lo, hi in text.slices(texts):
                 grams, begin = shingles(texts[lo:hi], n)
@@ -204,7 +204,7 @@ def _linker(threshold: float):
             yield every[k][0], int(count[k]), every[root[k]][0]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(*[b.column(c).to_pylist() for c in
+        rows = (r for b in text.pieces(batches, 256) for r in zip(*[b.column(c).to_pylist() for c in
                                                   ("node", "first", "second", "tree", "key", "grams", "bands", "copies", "block")]))
         out = []
         for (_, first, second, tree), members in groupby(rows, key=lambda r: r[:4]):

@@ -221,9 +221,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in text.pieces(batches):
             known = b.column("text").is_valid().to_numpy(zero_copy_only=False)
             p = model.scores(text.utf8(b.column("text")))
             best = np.where(known, p.argmax(axis=1), len(names) - 1)

@@ -17,8 +17,8 @@ import numpy as np
 
 from clinlake.llm import text
 
-SLICE_BYTES = 2 << 20
-CAPACITY = 1_000_000
+SLICE_BYTES = 1 << 20
+CAPACITY = 500_000
 _JOIN = 64
 
 U64 = np.uint64
@@ -79,7 +79,7 @@ class SegmentEncoder:
                  sizes: np.ndarray | None = None,
                  check: Callable[[list[str], list[list[int]]], list[bool]] | None = None, capacity: int = CAPACITY):
         self._encode, self.marks, self._sizes, self._check, self._capacity = encode, marks, sizes, check, capacity
-        self._bits = int(np.ceil(np.log2(capacity))) + 2
+        self._bits = int(np.ceil(np.log2(capacity))) + 1
         self._clear()
 
     def _clear(self) -> None:

@@ -19,7 +19,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -144,7 +144,6 @@ class Codec:
             data = f.read()
         self.model = parse_model(data)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.tokenizer = build(self.model)
         parts = [bytes([int(p[3:-1], 16)]) if k == BYTE else b"" if k == CONTROL else p.replace(MARK, " ").encode()
                  for p, _, k in self.model.pieces]
         self._size = np.array([len(p) for p in parts], dtype=np.int64)
@@ -157,6 +156,11 @@ class Codec:
                 lambda strings: [e.ids for e in bare.encode_batch_fast(strings, add_special_tokens=False)], before_space,
                 check=lambda strings, ids: self._agree(bare, strings, ids))
 
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """The whole-text pipeline."""
+        return build(self.model)
+
     def _agree(self, bare: Tokenizer, strings: list[str], ids: list[list[int]]) -> list[bool]:
         """Whether sentencepiece has the same ids, and the library decodes them to the string."""
         prefix = self.model.dummy_prefix
@@ -212,7 +216,7 @@ def encode_decode(docs: DataFrame, model: str, text_col: str = "text") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
-        for b in batches:
+        for b in text.pieces(batches):
             texts = text.utf8(b.column("text"))
             for lo, hi, ids, begins, parity in c.encode(texts):
                 back = c.decode(ids, begins)

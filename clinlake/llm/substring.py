@@ -104,12 +104,11 @@ def _dealt(docs: DataFrame, replies: DataFrame | None, parts: int) -> DataFrame:
 
 def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Consecutive rows of equal ``key``, cut where Arrow batches end."""
-    for b in batches:
-        if b.num_rows:
-            k = b.column(key).to_numpy(zero_copy_only=False)
-            edges = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), b.num_rows]
-            for lo, hi in zip(edges[:-1], edges[1:]):
-                yield int(k[lo]), b.slice(lo, hi - lo)
+    for b in text.pieces(batches):
+        k = b.column(key).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            yield int(k[lo]), b.slice(lo, hi - lo)
 
 
 def _split(part: pa.RecordBatch) -> tuple[list[bytes], pa.RecordBatch]:

@@ -135,6 +135,14 @@ def word_spans(texts: list[bytes], separator: np.ndarray, fold: bool = False):
     return buf, starts, ends, np.searchsorted(starts, begins)
 
 
+def pieces(batches: Iterator, rows: int = 2048) -> Iterator:
+    """Arrow batches in slices of at most ``rows`` rows (no copies), so that what
+    is made of a slice stays small beside the batch."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def utf8(column) -> list[bytes]:
     """The texts of an Arrow string column as bytes; null counts as empty."""
     import pyarrow as pa

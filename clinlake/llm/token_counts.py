@@ -84,7 +84,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", chunk:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, sizes = bpe.encoder(tokenizer), bpe.token_bytes(tokenizer)
-        for b in batches:
+        for b in text.pieces(batches):
             texts = text.utf8(b.column("text"))
             tokens = np.zeros(len(texts), dtype=np.int64)
             short = [i for i, t in enumerate(texts) if len(t) <= chunk]

@@ -177,7 +177,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([len(docs_in)], pa.int64()),
                  pa.array([size], pa.int64()), pa.array([block], pa.binary())], ["part", "seq", "n_docs", "n_tokens", "block"])
 
-        for b in batches:
+        for b in text.pieces(batches):
             names = b.column("id").to_pylist()
             for lo, hi, flat, begin, _ in encoder(text.utf8(b.column("text"))):
                 for i in range(hi - lo):
