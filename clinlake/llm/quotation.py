@@ -5,14 +5,15 @@ them, each with at most one space behind it.  Consecutive lines of a level
 above zero form a quoted passage (a passage ends where the level changes).
 A passage is normalised (quote marks and attribution lines off, words
 lower-cased and joined by one space) and hashed.  Own lines are split into
-paragraphs at blank lines and at quoted lines; every run of ``1`` to
-``max_paragraphs`` consecutive paragraphs of a message is hashed in the same
-way, and a passage is linked to the messages of the same conversation that
-hold a run of its hash.  Of several, the nearest earlier turn is the original.
-
-The hashes meet in one join on (conversation, hash); a passage or paragraph
-that many messages share is reduced to its turns per conversation first, so a
-very common line costs rows in proportion to the messages that hold it.
+paragraphs at blank lines and at quoted lines.  A passage is linked to the
+messages of the same conversation that hold its words as one or more
+consecutive whole own lines, however many, and however the quote is wrapped.
+Of several, the nearest earlier turn is the original.  A part of a line is no
+original of a passage.
+
+Runs of lines are hashed only at lengths that their conversation quotes, and
+quotes and runs of one hash are sorted by turn together, so a very common line
+costs rows in proportion to the messages that hold or quote it.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ def _key(text: Column) -> Column:
 
 
 def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                text_col: str = "text", max_paragraphs: int = 4) -> DataFrame:
+                text_col: str = "text") -> DataFrame:
     """One row per row of ``messages``: ``conv_id``, ``turn``, ``role``,
     ``own_text`` (without quotes and attribution lines), ``n_quotes``,
     ``max_level``, ``n_linked``, ``parent_turn``, ``depth``.
@@ -96,17 +97,8 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
               .select("row_key", "conv_id", "turn", "at", F.col("run.level").alias("level"), normalised(F.col("run.text")).alias("norm"))
               .where("norm <> '' and conv_id is not null and turn is not null").withColumn("hash", _key(F.col("norm"))))
 
-    # Runs of paragraphs that could be quoted, as (conversation, hash) -> turns.
-    n = F.size("paragraphs")
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(max_paragraphs)), lambda w: F.when(
-        n >= w, F.transform(F.sequence(F.lit(1), n - w + 1), lambda i: F.slice("paragraphs", i, w))).otherwise(
-        F.array().cast("array<array<string>>"))))
-    quoting = quotes.select("conv_id").distinct()
-    sources = (parsed.where("conv_id is not null and turn is not null").join(quoting, "conv_id", "left_semi")
-               .select("conv_id", "turn", F.explode(spans).alias("span"))
-               .select("conv_id", F.col("turn").alias("source"), _key(normalised(F.array_join("span", " "))).alias("hash")).distinct())
-    originals = (quotes.join(sources, ["conv_id", "hash"]).where("source < turn")
-                 .groupBy("row_key", "at", "level").agg(F.max("source").alias("source")))
+    originals = _nearest(quotes.select("conv_id", "hash", "turn").distinct(), _whole_lines(parsed, quotes))
+    originals = quotes.join(originals, ["conv_id", "hash", "turn"])
     per_message = originals.groupBy("row_key").agg(
         F.count(F.lit(1)).alias("n_linked"), F.min(F.struct("level", (-F.col("at")).alias("last"), "source")).alias("best"))
     placed = parsed.join(_turns(parsed), ["conv_id", "turn"], "left").join(per_message, "row_key", "left")
@@ -118,6 +110,43 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
                     F.coalesce("best.source", "previous").alias("parent_turn"), "depth"))
 
 
+def _whole_lines(parsed: DataFrame, quotes: DataFrame) -> DataFrame:
+    """``(conv_id, hash, source)``: the runs of whole own lines of each turn that
+    are as long, normalised, as some passage of their conversation.
+
+    Of every run between two line ends only those of a length that is quoted are
+    hashed, so a run may be of any length and none is listed for nothing.
+    """
+    quoted = quotes.groupBy("conv_id").agg(F.collect_set(F.length("norm")).alias("lengths"))
+    norms = F.filter(F.transform(F.split(F.array_join("paragraphs", "\n"), "\n"), normalised), lambda x: x != "")
+    none = F.struct(F.array().cast("array<int>").alias("ends"), F.lit(-1).alias("at"))
+    ends = F.aggregate("norms", none, lambda acc, x: F.struct(
+        F.concat(acc["ends"], F.array(acc["at"] + 1 + F.length(x))).alias("ends"), (acc["at"] + 1 + F.length(x)).alias("at")), lambda acc: acc["ends"])
+    own = (parsed.where("conv_id is not null and turn is not null").select("conv_id", "turn", norms.alias("norms"))
+           .join(quoted, "conv_id").select("conv_id", "turn", "lengths", F.array_join("norms", " ").alias("whole"), ends.alias("ends"))
+           .withColumn("starts", F.concat(F.array(F.lit(0)), F.transform("ends", lambda e: e + 1))))
+    runs = own.select("conv_id", "turn", "whole", "starts", "ends", F.explode("lengths").alias("n")).where(F.length("whole") >= F.col("n"))
+    found = runs.select("conv_id", "turn", "whole", "n", F.explode(F.array_intersect(
+        F.transform("starts", lambda s: s + F.col("n")), "ends")).alias("end"))
+    return found.select("conv_id", _key(F.substr("whole", F.col("end") - F.col("n") + 1, F.col("n"))).alias("hash"),
+                        F.col("turn").alias("source")).distinct()
+
+
+def _nearest(quotes: DataFrame, sources: DataFrame, span: int = 4096) -> DataFrame:
+    """``quotes`` (conv_id, hash, turn) with ``source``, the nearest earlier turn of
+    ``sources`` of that hash; those without one are left out.  Both sides are
+    sorted by turn together, in spans, so no pairs are made."""
+    events = (quotes.withColumn("source", F.lit(None).cast("long")).unionByName(sources.withColumn("turn", F.col("source")))
+              .withColumn("span", F.floor(F.col("turn") / span)))
+    by_span = Window.partitionBy("conv_id", "hash").orderBy("span")
+    spans = events.groupBy("conv_id", "hash", "span").agg(F.max("source").alias("last")).select(
+        "conv_id", "hash", "span", F.max("last").over(by_span.rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    by_turn = Window.partitionBy("conv_id", "hash", "span").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    near = events.withColumn("near", F.max("source").over(by_turn)).where("source is null")
+    return near.join(spans, ["conv_id", "hash", "span"]).select(
+        "conv_id", "hash", "turn", F.coalesce("near", "before").alias("source")).where("source is not null")
+
+
 def _turns(parsed: DataFrame, span: int = 4096) -> DataFrame:
     """``(conv_id, turn, previous, depth)``: the turn before, and the messages of
     all turns before.  Turns are summed in spans first, so a conversation of any

@@ -97,3 +97,19 @@ def test_long_conversations_are_summed_in_spans(spark):
     chat = spark.range(9000).select(F.lit(1).alias("conv_id"), (F.col("id") * 3).alias("turn"), F.lit("user").alias("role"), F.lit("t").alias("text"))
     got = {r.turn: (r.parent_turn, r.depth) for r in quotation.link_quotes(chat).collect()}
     assert all(got[3 * i] == (3 * i - 3 if i else None, i) for i in range(9000))
+
+
+def test_quotes_of_any_length_and_of_single_lines(spark):
+    paragraphs = [f"Paragraph {i} starts here\nand goes on, é {i}." for i in range(9)]
+    whole = "\n\n".join(paragraphs)
+    wrapped = "\n".join("> " + w for w in whole.replace("\n\n", "\n").replace("goes", "goes\n").split("\n"))
+    chat = spark.createDataFrame([
+        (1, 0, "u", whole), (1, 1, "u", "Nothing of it."),
+        (1, 2, "u", "\n".join("> " + x for x in whole.split("\n")) + "\nAll nine."),
+        (1, 3, "u", "> and goes on, é 4.\nOne line."), (1, 5000, "u", wrapped + "\nWrapped."),
+        (1, 5001, "u", "> and goes on, é 4.\n>\n> Paragraph 5 starts here\nAcross a gap."),
+        (1, 5002, "u", "> Paragraph 2 starts here\n> and goes on, é 3.\nNot consecutive."), (1, 5003, "u", "> goes on\nPart of a line."),
+        (2, 0, "u", "Nothing of it."), (2, 1, "u", "and goes on, é 4.")], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.n_linked, r.parent_turn) for r in quotation.link_quotes(chat).collect()}
+    assert got == {(1, 0): (0, None), (1, 1): (0, 0), (1, 2): (1, 0), (1, 3): (1, 0), (1, 5000): (1, 0), (1, 5001): (1, 0),
+                   (1, 5002): (0, 5001), (1, 5003): (0, 5002), (2, 0): (0, None), (2, 1): (0, 0)}
