@@ -2,7 +2,8 @@
 
 A message's lines carry a quote level: the number of ``>`` marks in front of
 them, each with at most one space behind it.  Consecutive lines of a level
-above zero form a quoted passage (a passage ends where the level changes).
+above zero form a quoted passage (a passage ends where the level changes and
+at an attribution line of any level).
 A passage is normalised (quote marks and attribution lines off, words
 lower-cased and joined by one space) and hashed.  Own lines are split into
 paragraphs at blank lines and at quoted lines.  A passage is linked to the
@@ -35,10 +36,9 @@ def lines(messages: DataFrame) -> DataFrame:
     """``messages`` (row_key, text, ...) with ``parts``: the text's lines in
     order as (level, body, attribution), the marks taken off."""
     split = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), "\r\n?", "\n"), "\n")
+    body = lambda s: F.when(quote_level(s) > 0, F.regexp_replace(s, MARKS, "")).otherwise(s)
     return messages.withColumn("parts", F.transform(split, lambda s: F.struct(
-        quote_level(s).alias("level"),
-        F.when(quote_level(s) > 0, F.regexp_replace(s, MARKS, "")).otherwise(s).alias("body"),
-        ((quote_level(s) == 0) & s.rlike(ATTRIBUTION)).alias("attribution"))))
+        quote_level(s).alias("level"), body(s).alias("body"), body(s).rlike(ATTRIBUTION).alias("attribution"))))
 
 
 def normalised(body: Column) -> Column:
@@ -47,12 +47,13 @@ def normalised(body: Column) -> Column:
 
 def _runs(parts: Column) -> Column:
     """Lines merged to runs: consecutive lines of one level; blank own lines and
-    attribution lines end a run and are not part of any.  Each run is (level, text)."""
+    attribution lines end a run and are not part of any, and quoted lines that are
+    all blank are none.  Each run is (level, text)."""
     empty = F.struct(F.array().cast("array<struct<level:int,text:string>>").alias("done"),
                      F.lit(-1).alias("level"), F.lit("").alias("text"))
 
     def push(acc):
-        return F.when(acc["level"] >= 0, F.concat(acc["done"], F.array(F.struct(acc["level"].alias("level"), acc["text"].alias("text"))))
+        return F.when((acc["level"] >= 0) & acc["text"].rlike(r"\S"), F.concat(acc["done"], F.array(F.struct(acc["level"].alias("level"), acc["text"].alias("text"))))
                       ).otherwise(acc["done"])
 
     def step(acc, part):

@@ -113,3 +113,13 @@ def test_quotes_of_any_length_and_of_single_lines(spark):
     got = {(r.conv_id, r.turn): (r.n_linked, r.parent_turn) for r in quotation.link_quotes(chat).collect()}
     assert got == {(1, 0): (0, None), (1, 1): (0, 0), (1, 2): (1, 0), (1, 3): (1, 0), (1, 5000): (1, 0), (1, 5001): (1, 0),
                    (1, 5002): (0, 5001), (1, 5003): (0, 5002), (2, 0): (0, None), (2, 1): (0, 0)}
+
+
+def test_attribution_inside_a_quote(spark):
+    chat = spark.createDataFrame([
+        (1, 0, "A", "First words of A."), (1, 1, "B", "Answer of B.\n\nOn Mon A wrote:\n> First words of A."), (1, 2, "C", "Aside."),
+        (1, 3, "A", "Top answer.\n\nOn Tue B wrote:\n> Answer of B.\n>\n> On Mon A wrote:\n>\n>> First words of A."),
+        (1, 4, "B", "> > On Mon A wrote:\n> > First words of A.\nOnly attribution above.")], "conv_id long, turn long, role string, text string")
+    got = {r.turn: (r.own_text, r.n_quotes, r.n_linked, r.parent_turn) for r in quotation.link_quotes(chat).collect()}
+    assert got == {0: ("First words of A.", 0, 0, None), 1: ("Answer of B.", 1, 1, 0), 2: ("Aside.", 0, 0, 1),
+                   3: ("Top answer.", 2, 2, 1), 4: ("Only attribution above.", 1, 1, 0)}
