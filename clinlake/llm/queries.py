@@ -33,7 +33,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotation.link_quotes(_table(spark, sf_dir, "conversations"))
+    return quotation.reply_order(quotation.link_quotes(_table(spark, sf_dir, "conversations")))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

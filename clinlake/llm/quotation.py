@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clinlake.llm import stages
+
 MARKS = r"^\s{0,3}((?:>\s?)+)"
 ATTRIBUTION = r"(?i)^\s*(?:on .{0,200} wrote|.{0,120} (?:writes|schrieb|escribió|a écrit))\s*:\s*$"
 
@@ -78,8 +80,8 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
     ``parent_turn`` is the original of the message's last linked passage of
     the lowest level it quotes; without one it is the turn before (null for
-    the first).  ``depth`` is the number of messages before it in its
-    conversation.  A null text has no lines and an empty ``own_text``.  Rows
+    the first).  ``depth`` is the number of messages of earlier turns in its
+    conversation; `reply_order` adds its place in the reply tree.  A null text has no lines and an empty ``own_text``.  Rows
     with a null conversation or turn are kept and linked to nothing; rows of
     equal conversation and turn are each a message, and quotes link to the
     turn.  Repeated rows give repeated results, an empty table none.  Other
@@ -149,30 +151,116 @@ def _nearest(quotes: DataFrame, sources: DataFrame, span: int = 4096) -> DataFra
 
 
 def _turns(parsed: DataFrame, span: int = 4096) -> DataFrame:
-    """``(conv_id, turn, previous, depth)``: the turn before, and the messages of
-    all turns before.  Turns are summed in spans first, so a conversation of any
-    length is a few rows per window."""
+    """``(conv_id, turn, previous, depth, nth)``: the turn before, and the messages
+    and turns of all turns before.  Turns are summed in spans first, so a
+    conversation of any length is a few rows per window."""
     turns = (parsed.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(F.sum("rows").alias("n"))
              .withColumn("span", F.floor(F.col("turn") / span)))
     by_span = Window.partitionBy("conv_id").orderBy("span")
-    spans = turns.groupBy("conv_id", "span").agg(F.sum("n").alias("total"), F.max("turn").alias("last")).select(
-        "conv_id", "span", F.coalesce(F.sum("total").over(by_span.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
-        F.lag("last").over(by_span).alias("last_before"))
+    earlier = by_span.rowsBetween(Window.unboundedPreceding, -1)
+    spans = turns.groupBy("conv_id", "span").agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("turns"), F.max("turn").alias("last")).select(
+        "conv_id", "span", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("start"),
+        F.coalesce(F.sum("turns").over(earlier), F.lit(0)).alias("first"), F.lag("last").over(by_span).alias("last_before"))
     by_turn = Window.partitionBy("conv_id", "span").orderBy("turn")
     within = turns.select("conv_id", "turn", "span", F.lag("turn").over(by_turn).alias("near"), F.coalesce(
-        F.sum("n").over(by_turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("inside"))
+        F.sum("n").over(by_turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("inside"),
+        (F.row_number().over(by_turn) - 1).alias("at"))
     return within.join(spans, ["conv_id", "span"]).select(
-        "conv_id", "turn", F.coalesce("near", "last_before").alias("previous"), (F.col("start") + F.col("inside")).alias("depth"))
+        "conv_id", "turn", F.coalesce("near", "last_before").alias("previous"), (F.col("start") + F.col("inside")).alias("depth"),
+        (F.col("first") + F.col("at")).alias("nth"))
+
+
+def reply_order(linked: DataFrame) -> DataFrame:
+    """``linked`` (of `link_quotes`) with ``reply_depth`` and ``position``, one row per message.
+
+    ``reply_depth`` is the number of turns above the message in the reply tree
+    that ``parent_turn`` spans, and ``position`` its place, from 0, in the
+    conversation read in reply order: a message stands before all that answer
+    it, directly or not, these before any later answer to the same message,
+    and answers to one message are in order of turn.  Messages of one turn
+    share a depth and stand together; the turn answers the latest turn that
+    one of them quotes.  Both are null without a conversation or a turn.
+    """
+    key = ["conv_id", "turn"]
+    turns = linked.where("conv_id is not null and turn is not null").groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.when(F.col("n_linked") > 0, F.col("parent_turn"))), F.max("parent_turn")).alias("parent"))
+    turns = stages.store(turns, "reply-turns")
+    nodes = stages.store(_pieces(turns.join(_turns(turns), key).withColumnRenamed("depth", "before")), "reply-nodes")
+    stages.remove(turns)
+    if nodes.where("turn = head and parent is not null").limit(1).count():
+        placed = nodes.join(_placed_pieces(nodes), ["conv_id", "head"], "left").select(
+            *key, (F.coalesce("head_depth", F.lit(0)) + F.col("nth") - F.col("head_nth")).alias("reply_depth"),
+            (F.coalesce("head_position", F.lit(0)) + F.col("before") - F.col("head_before")).alias("start"))
+    else:
+        placed = nodes.select(*key, F.col("nth").alias("reply_depth"), F.col("before").alias("start"))
+    order = F.xxhash64(*linked.columns)
+    alike = Window.partitionBy(*key, F.when(F.col("start").isNull(), order)).orderBy(order)
+    out = linked.join(placed, key, "left").withColumn("position", F.col("start") + F.row_number().over(alike) - 1)
+    return out.select(*linked.columns, "reply_depth", "position")
+
+
+def _pieces(nodes: DataFrame, span: int = 4096) -> DataFrame:
+    """``nodes`` (a row per turn) cut into pieces of turns that each answer the one
+    before: with the piece's first turn ``head``, its ``head_before`` and ``head_nth``.
+
+    In reply order a piece stays whole, because the turn after is the first answer."""
+    head = F.when(F.col("previous").isNull() | (F.col("parent") != F.col("previous")), F.struct("turn", "before", "nth"))
+    nodes = nodes.withColumn("start", head).withColumn("span", F.floor(F.col("turn") / span))
+    by_span = Window.partitionBy("conv_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = nodes.groupBy("conv_id", "span").agg(F.max("start").alias("last")).select("conv_id", "span", F.max("last").over(by_span).alias("far"))
+    by_turn = Window.partitionBy("conv_id", "span").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    found = nodes.withColumn("near", F.max("start").over(by_turn)).join(spans, ["conv_id", "span"]).withColumn("start", F.coalesce("near", "far"))
+    return found.select("conv_id", "turn", "rows", "parent", "before", "nth", F.col("start.turn").alias("head"),
+                        F.col("start.before").alias("head_before"), F.col("start.nth").alias("head_nth"))
+
+
+def _placed_pieces(nodes: DataFrame) -> DataFrame:
+    """``(conv_id, head, head_depth, head_position)`` for the pieces of
+    conversations that have several.
+
+    The walk round the tree of pieces enters and leaves each once; every event
+    knows the one before.  Sums along the walk come by pointer jumping over
+    stored rounds, twice as far each time.
+    """
+    sizes = nodes.groupBy("conv_id", "head").agg(F.sum("rows").alias("n"))
+    forks = nodes.where("turn = head and parent is not null").select("conv_id", "head", F.col("parent").alias("turn"))
+    above = forks.join(nodes.select("conv_id", "turn", F.col("head").alias("up"), (F.col("nth") - F.col("head_nth")).alias("off")), ["conv_id", "turn"])
+    pieces = (sizes.join(forks.select("conv_id").distinct(), "conv_id", "left_semi")
+              .join(above.drop("turn"), ["conv_id", "head"], "left"))
+    # Answers to a later turn of a piece come before those to an earlier one.
+    siblings = Window.partitionBy("conv_id", "up").orderBy(F.desc("off"), "head")
+    pieces = stages.store(pieces.withColumn("sibling", F.when(F.col("up").isNotNull(), F.lag("head").over(siblings)))
+                          .withColumn("deep", F.coalesce(F.col("off") + 1, F.lit(0))), "reply-pieces")
+    last = pieces.where("up is not null").groupBy("conv_id", F.col("up").alias("head")).agg(
+        F.max(F.struct((-F.col("off")).alias("off"), "head")).alias("last"))
+    enter = pieces.select("conv_id", "head", F.lit(0).alias("side"), F.coalesce("sibling", "up").alias("to"),
+                          F.col("sibling").isNotNull().cast("int").alias("to_side"), F.col("n").alias("messages"), "deep")
+    leave = pieces.join(last, ["conv_id", "head"], "left").select(
+        "conv_id", "head", F.lit(1).alias("side"), F.coalesce("last.head", "head").alias("to"), F.col("last").isNotNull().cast("int").alias("to_side"),
+        F.lit(0).cast("long").alias("messages"), (-F.col("deep")).alias("deep"))
+    walk = stages.store(enter.unionByName(leave), "reply-walk")
+    while walk.where("to is not null").limit(1).count():
+        far = walk.select("conv_id", F.col("head").alias("to"), F.col("side").alias("to_side"), F.col("to").alias("next"),
+                          F.col("to_side").alias("next_side"), F.col("messages").alias("more"), F.col("deep").alias("deeper"))
+        moved = walk.where("to is not null").join(far, ["conv_id", "to", "to_side"]).select(
+            "conv_id", "head", "side", F.col("next").alias("to"), F.col("next_side").alias("to_side"),
+            (F.col("messages") + F.col("more")).alias("messages"), (F.col("deep") + F.col("deeper")).alias("deep"))
+        after = stages.store(walk.where("to is null").unionByName(moved), "reply-walk")
+        stages.remove(walk)
+        walk = after
+    placed = walk.where("side = 0").join(pieces.select("conv_id", "head", "n"), ["conv_id", "head"])
+    return placed.select("conv_id", "head", F.col("deep").alias("head_depth"), (F.col("messages") - F.col("n")).alias("head_position"))
 
 
 def conversations(linked: DataFrame) -> DataFrame:
     """``(conv_id, n_messages, chat)`` in reply order: each line of ``chat`` is
-    ``<|role|>`` and the message's own text, ordered by turn.
+    ``<|role|>`` and the message's own text, ordered by ``position``.
 
-    A conversation is one row by nature; messages beyond ordinary memory per
-    conversation are not expected of a chat format.
+    A conversation is one row by nature; where it is beyond ordinary memory,
+    read the rows of `reply_order` by position instead.
     """
-    entry = F.struct("turn", "depth", F.coalesce("role", F.lit("unknown")).alias("role"), "own_text")
-    grouped = linked.where("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list(entry)).alias("turns"))
+    entry = F.struct("position", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), "own_text")
+    grouped = reply_order(linked).where("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list(entry)).alias("turns"))
     return grouped.select("conv_id", F.size("turns").cast("long").alias("n_messages"), F.array_join(
         F.transform("turns", lambda t: F.concat(F.lit("<|"), t["role"], F.lit("|>\n"), t["own_text"])), "\n").alias("chat"))

@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +124,30 @@ def test_attribution_inside_a_quote(spark):
     got = {r.turn: (r.own_text, r.n_quotes, r.n_linked, r.parent_turn) for r in quotation.link_quotes(chat).collect()}
     assert got == {0: ("First words of A.", 0, 0, None), 1: ("Answer of B.", 1, 1, 0), 2: ("Aside.", 0, 0, 1),
                    3: ("Top answer.", 2, 2, 1), 4: ("Only attribution above.", 1, 1, 0)}
+
+
+def test_reply_order(spark):
+    # Message i quotes message `up`; one without a quote answers the turn before.
+    rng = random.Random(5)
+    rows, parent = [], {}
+    for conv, n in ((1, 60), (2, 7), (3, 1)):
+        for i in range(n):
+            up = rng.randrange(i) if conv == 1 and i > 2 and rng.random() < 0.5 else i - 1
+            quote = f"> own {up}.\n" if up != i - 1 else ""
+            rows += [(conv, i * 300, "u", f"{quote}own {i}.")] * (2 if i % 10 == 4 else 1)
+            parent[conv, i] = up
+    rows += [(None, 5, "u", "x"), (None, 5, "u", "x"), (4, None, "u", "y")]
+    want = []
+    for conv in (1, 2, 3):
+        at, stack = 0, [(0, 0)]
+        while stack:
+            i, depth = stack.pop()
+            for _ in range(2 if i % 10 == 4 else 1):
+                want.append((conv, i * 300, f"own {i}.", depth, at))
+                at += 1
+            stack += [(j, depth + 1) for (c, j), up in sorted(parent.items(), reverse=True) if c == conv and up == i]
+    want += [(None, 5, "x", None, None)] * 2 + [(4, None, "y", None, None)]
+    chat = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = [(r.conv_id, r.turn, r.own_text, r.reply_depth, r.position) for r in quotation.reply_order(quotation.link_quotes(chat)).collect()]
+    assert collections.Counter(got) == collections.Counter(want)
+    assert [w[1] for w in want if w[0] == 1] != sorted(w[1] for w in want if w[0] == 1)
