@@ -60,23 +60,19 @@ def _array_col(df: DataFrame, col: str) -> F.Column:
     return vector_to_array(col)
 
 
-def vector_cardinality(df: DataFrame, col: str, max_categories: int = 100, margin: int = 4) -> DataFrame:
-    """Per dimension: ``is_categorical`` = at most ``max_categories`` distinct
-    values (the ``VectorIndexer`` rule), and ``n_values`` = their exact number
-    (NULL for the other dimensions).
-
-    One HLL sketch per dimension (partial aggregation ships only sketches)
-    sets aside the dimensions far above the limit (estimate over ``margin``
-    times it, many times the sketch's 5 % error); the rest are counted
-    exactly, where map-side de-duplication keeps few values per dimension and
-    task.  Estimates and counts stay DataFrames and are joined.
+def vector_cardinality(df: DataFrame, col: str, max_categories: int = 100) -> DataFrame:
+    """Per dimension: ``n_distinct`` = its exact number of distinct values,
+    ``is_categorical`` = at most ``max_categories`` of them (the
+    ``VectorIndexer`` rule), and ``n_values`` = their number where it is
+    categorical (NULL for the other dimensions).
+
+    Values are de-duplicated per (dimension, value), within each task first,
+    and then counted per dimension.
     """
     cells = df.select(F.posexplode(_array_col(df, col)).alias("dim", "value"))
-    near = cells.groupBy("dim").agg((F.approx_count_distinct("value", 0.05) <= margin * (max_categories + 1)).alias("near"))
-    exact = (cells.join(near.where("near").select("dim"), "dim", "left_semi").groupBy("dim", "value").agg(F.lit(1).alias("__one"))
-             .groupBy("dim").agg(F.count_if(F.col("value").isNotNull()).alias("n")))
-    few = F.coalesce(F.col("n") <= max_categories, F.lit(False))
-    return near.join(exact, "dim", "left").select("dim", F.when(few, F.col("n")).alias("n_values"), few.alias("is_categorical"))
+    exact = cells.groupBy("dim", "value").agg(F.lit(1).alias("__one")).groupBy("dim").agg(F.count_if(F.col("value").isNotNull()).alias("n_distinct"))
+    few = F.col("n_distinct") <= max_categories
+    return exact.select("dim", F.when(few, F.col("n_distinct")).alias("n_values"), few.alias("is_categorical"), "n_distinct")
 
 
 def narrow(train: DataFrame, features: str, label: str, width: int, max_width: int = 1024, out: str = "narrowed"):

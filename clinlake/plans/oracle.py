@@ -463,6 +463,10 @@ def _more_sql() -> dict[str, str]:
                    count(DISTINCT v) <= 100 AS is_categorical
             FROM (SELECT unnest(embedding) AS v, unnest(range(len(embedding))) AS dim FROM embeddings)
             GROUP BY dim""",
+        "vector_distinct_count": """
+            SELECT CAST(dim AS INTEGER) AS dim, CAST(count(DISTINCT v) AS BIGINT) AS n_distinct
+            FROM (SELECT unnest(embedding) AS v, unnest(range(len(embedding))) AS dim FROM embeddings)
+            GROUP BY dim""",
         "split_70_30": f"""
             SELECT *, CASE WHEN {_hash_bucket('key')} < 7000 THEN 'train' ELSE 'test' END AS part
             FROM (SELECT vec_id, CASE WHEN vec_id % 30 <> 0 THEN vec_id END AS key FROM embeddings)""",

@@ -58,6 +58,7 @@ def queries() -> dict[str, Query]:
         "feature_table_original": icu.q_feature_table_original,
         # waveform
         "vector_index_cardinality": waveform.q_vector_index_cardinality,
+        "vector_distinct_count": waveform.q_vector_distinct_count,
         "split_70_30": waveform.q_split_70_30,
         # metrics
         "confusion_matrix": evaluation.q_confusion_matrix,

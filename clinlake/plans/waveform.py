@@ -55,7 +55,12 @@ def _waveform_predictions(spark: SparkSession, sf_dir: str, model: str) -> DataF
 
 
 def q_vector_index_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vector_cardinality(table(spark, sf_dir, "embeddings"), "embedding", MAX_CATEGORIES)
+    return vector_cardinality(table(spark, sf_dir, "embeddings"), "embedding", MAX_CATEGORIES).drop("n_distinct")
+
+
+def q_vector_distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact number of distinct values of every dimension."""
+    return vector_cardinality(table(spark, sf_dir, "embeddings"), "embedding", MAX_CATEGORIES).select("dim", "n_distinct")
 
 
 def q_split_70_30(spark: SparkSession, sf_dir: str) -> DataFrame:

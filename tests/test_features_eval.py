@@ -27,6 +27,13 @@ def test_vector_cardinality_agrees_with_vector_indexer(spark):
     assert set(model.categoryMaps) == {0, 1} and max_bins == 50
 
 
+def test_vector_cardinality_counts_every_dimension(spark):
+    rows = [([float(i % 50), float(i) * 1.5, None if i % 2 else float(i % 202), None],) for i in range(900)]
+    card = {r.dim: (r.n_distinct, r.n_values, r.is_categorical)
+            for r in vector_cardinality(spark.createDataFrame(rows, "f array<double>"), "f", 100).collect()}
+    assert card == {0: (50, 50, True), 1: (900, None, False), 2: (101, None, False), 3: (0, 0, True)}
+
+
 def _preds(spark):
     rng = np.random.default_rng(11)
     rows = []
