@@ -79,11 +79,10 @@ class SegmentEncoder:
                  sizes: np.ndarray | None = None,
                  check: Callable[[list[str], list[list[int]]], list[bool]] | None = None, capacity: int = CAPACITY):
         self._encode, self.marks, self._sizes, self._check, self._capacity = encode, marks, sizes, check, capacity
-        self._bits = int(np.ceil(np.log2(capacity))) + 1
         self._clear()
 
     def _clear(self) -> None:
-        self._slots = np.full(1 << self._bits, -1, np.int32)
+        self._room(self._capacity)
         self._key = np.empty(0, U64)
         self._at = np.empty(0, np.int64)
         self._size = np.empty(0, np.int64)
@@ -116,6 +115,11 @@ class SegmentEncoder:
         bad = np.append(0, np.cumsum(~self._good[place]))
         return ids, upto[edge], bad[edge[1:]] == bad[edge[:-1]]
 
+    def _room(self, entries: int) -> None:
+        """An empty slot table with at least two slots an entry."""
+        self._bits = int(np.ceil(np.log2(max(2, entries)))) + 1
+        self._slots = np.full(1 << self._bits, -1, np.int32)
+
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Entry of each key, or -1."""
         out = np.full(len(keys), -1, np.int32)
@@ -132,8 +136,13 @@ class SegmentEncoder:
         return out
 
     def _insert(self, keys: np.ndarray) -> None:
+        """New keys become entries.  One slice may bring more than the capacity
+        (a long text of many distinct segments): the slots then double."""
         entry = np.arange(len(self._key), len(self._key) + len(keys), dtype=np.int32)
         self._key = np.append(self._key, keys)
+        if 2 * len(self._key) > len(self._slots):
+            self._room(2 * len(self._key))
+            entry, keys = np.arange(len(self._key), dtype=np.int32), self._key
         slot = (keys >> U64(64 - self._bits)).astype(np.int64)
         while len(entry):
             free = self._slots[slot] < 0

@@ -168,6 +168,15 @@ def test_segment_cache_starts_anew_when_full():
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_segment_cache_holds_a_text_of_more_segments_than_its_capacity():
+    whole = Tokenizer.from_file(BYTE_BPE)
+    small = segments.SegmentEncoder(lambda s: [e.ids for e in whole.encode_batch_fast(s, add_special_tokens=False)], segments.byte_level,
+                                    bpe.token_bytes(BYTE_BPE), capacity=1000)
+    for text in [" ".join(f"q{i * 7919}" for i in range(20000)), "short one", " ".join(f"z{i}" for i in range(5000))]:
+        (_, _, ids, _, _), = small([text.encode()])
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("chunk, overlap", [(64, 8), (500, 16), (5000, 100)])
 def test_splices(chunk, overlap):
     whole = Tokenizer.from_file(BYTE_BPE)
