@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.llm import (bm25, decontaminate, jaccard_forest, langid, quotation, sentencepiece_backend, substring, token_counts,
-                          token_store, warc)
+from clinlake.llm import (bm25, decontaminate, importance, jaccard_forest, langid, quotation, sentencepiece_backend, spelling, substring,
+                          token_counts, token_store, toxicity, warc)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -73,10 +73,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", F.coalesce(langid.fold(F.col("row.doc_id")) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    in_fold = toxicity.fold(F.col("doc_id")) != 0
+    scored = toxicity.score(docs, toxicity.fit(docs.where(in_fold), labels.where(in_fold)))
+    return scored.select("row.doc_id", F.coalesce(toxicity.fold(F.col("row.doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_sentencepiece, op3_quotation_linking, op4_benchmark_decontamination, op5_substring_dedup,
-        op6_warc_archive, op7_token_id_output, op8_token_counts, op9_exact_topk_search, op10_language_id)}
+        op6_warc_archive, op7_token_id_output, op8_token_counts, op9_exact_topk_search, op10_language_id, op11_spelling_variants,
+        op12_importance_resampling, op13_toxicity)}
 
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -137,5 +155,57 @@ FROM x
 """
 
 
+# crc32 of a text (from its hex form): the table of one byte's steps, then byte by byte.
+_CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(b, range(0, 8)), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY b) AS tab
+        FROM (SELECT CAST(unnest(range(0, 256)) AS BIGINT) AS b))"""
+
+
+def _crc32(hexed: str) -> str:
+    byte = f"CAST('0x' || substr({hexed}, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, length({hexed}) // 2), lambda i: {byte})),"
+            " lambda c, b: xor(c >> 8, tab[CAST((xor(c, b) & 255) + 1 AS BIGINT)])), 4294967295)")
+
+
+OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+t AS (SELECT doc_id, unnest(regexp_extract_all({_FOLD}, '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
+k AS (SELECT w, n, hex(concat(CAST(doc_id AS VARCHAR), ':', w)) AS x FROM (SELECT doc_id, w, count(*) AS n FROM t WHERE length(w) >= 7 GROUP BY ALL)),
+h AS (SELECT w, n, {_crc32("x")} AS h FROM k, crc),
+v AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+c AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM v WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+p AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM c)),
+e AS (SELECT a.word, b.word AS other, b.n AS other_n FROM p a JOIN p b ON a.i = b.i AND a.less = b.less AND length(a.word) = length(b.word) AND a.word <> b.word
+      UNION SELECT p.word, c.word, c.n FROM p JOIN c ON p.less = c.word
+      UNION SELECT c.word, p.word, p.n FROM p JOIN c ON p.less = c.word),
+b AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM e GROUP BY word),
+f AS MATERIALIZED (SELECT c.word, c.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * c.n THEN other END AS form,
+             CASE WHEN other_n >= 10 * c.n THEN other_n END AS form_n FROM c LEFT JOIN b USING (word)),
+r(word, place) AS (SELECT word, word FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.place WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.place AS root, f.n, f.n_near, f.form_n
+FROM f JOIN r USING (word) JOIN f g ON g.word = r.place AND g.form IS NULL
+"""
+
+OP12 = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, unnest({_WORDS}) AS w FROM documents),
+i AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
+v AS (SELECT w, {_crc32("x")} % 10000 AS k FROM (SELECT w, hex(w) AS x FROM (SELECT w FROM d UNION SELECT w FROM i)), crc),
+s AS (SELECT k, count(*) AS s FROM d JOIN v USING (w) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM i JOIN v USING (w) GROUP BY k),
+z AS (SELECT (SELECT count(*) FROM d) AS sa, (SELECT count(*) FROM i) AS ta),
+g AS (SELECT k, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (sa + 10000) AS DOUBLE) / CAST((coalesce(s, 0) + 1) * (ta + 10000) AS DOUBLE))) AS BIGINT) AS g
+      FROM (SELECT DISTINCT k FROM v) LEFT JOIN s USING (k) LEFT JOIN t USING (k), z),
+f AS (SELECT doc_id, count(*) AS n_features, CAST(sum(g) AS BIGINT) AS weight FROM d JOIN v USING (w) JOIN g USING (k) GROUP BY doc_id),
+o AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM documents LEFT JOIN f USING (doc_id)),
+k AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM o WHERE n_features >= 20)
+SELECT o.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * (SELECT count(*) FROM k) // 100 THEN rank END AS rank
+FROM o LEFT JOIN k USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": OP1, "op4_benchmark_decontamination": OP4, "op5_substring_dedup": OP5, "op6_warc_archive": OP6}
+    return {"op1_ngram_jaccard_join": OP1, "op4_benchmark_decontamination": OP4, "op5_substring_dedup": OP5, "op6_warc_archive": OP6,
+            "op11_spelling_variants": OP11, "op12_importance_resampling": OP12}
