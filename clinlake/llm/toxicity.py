@@ -5,7 +5,7 @@ with one between them, each hashed to one of ``BUCKETS`` coordinates.  The
 model is learned from a bounded sample of labelled rows: their coordinates are
 worked out by all tasks and stored, and each pass of the learner is one task
 that streams over that table, row by row, with a learning rate of its own for
-every coordinate.  L1 keeps every coordinate at exactly zero whose evidence
+every coordinate, and stores its state for the next pass.  L1 keeps every coordinate at exactly zero whose evidence
 stays small, so the finished weights are a short list: it travels to the
 tasks that score whole texts.
 """
@@ -26,6 +26,8 @@ from clinlake.llm import runs, stages, text
 U64 = np.uint64
 BITS = 20
 BUCKETS = 1 << BITS
+#: Coordinates of a stored state in one row.
+PIECE = 1 << 16
 _SALT = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9))
 
 
@@ -154,40 +156,68 @@ def sample(docs: DataFrame, labels: DataFrame, limit: int, id_col: str, text_col
     return rows.mapInArrow(hashed, "label int, share double, place long, id long, data binary")
 
 
+_STATE = "at binary, z binary, n binary"
+
+
+def _pieces(ftrl: Ftrl) -> Iterator[pa.RecordBatch]:
+    """The used coordinates of a state, ``PIECE`` at a time."""
+    used = np.flatnonzero(ftrl.n)
+    for lo in range(0, len(used), PIECE):
+        at = used[lo:lo + PIECE]
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.uint32), ftrl.z[at], ftrl.n[at])], ["at", "z", "n"])
+
+
+def _restore(ftrl: Ftrl, at: bytes, z: bytes, n: bytes) -> None:
+    place = np.frombuffer(at, np.uint32)
+    ftrl.z[place], ftrl.n[place] = np.frombuffer(z), np.frombuffer(n)
+
+
 def fit(docs: DataFrame, labels: DataFrame, limit: int = 40_000, passes: int = 3, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", **options) -> Model:
     """Learn from at most ``limit`` labelled rows in ``passes`` passes over
     them (see `sample`); ``options`` are those of `Ftrl`.
 
     Every pass is one task over the stored sample in an order given by a hash,
-    so a lost task repeats to the same state; between passes the state's used
-    coordinates go through the driver (at most ``BUCKETS``).  Without labelled
-    rows the model scores everything 0.5.
+    so a lost task repeats to the same state.  Between passes the state is a
+    table; the driver gets the finished weights alone.  Without labelled rows
+    the model scores everything 0.5.
     """
+    def empty() -> Ftrl:
+        return Ftrl(np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1), **options)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ftrl = empty()
+        for b in text.pieces(batches, 256):
+            for y, heft, data, at, z, n in zip(*[b.column(c).to_pylist() for c in ("label", "share", "data", "at", "z", "n")]):
+                if at is not None:  # the state, in front of all rows
+                    _restore(ftrl, at, z, n)
+                else:
+                    ftrl.learn(np.frombuffer(data, np.uint32).astype(np.int64), y, heft)
+        yield from _pieces(ftrl)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ftrl = empty()
+        for b in batches:
+            for r in b.to_pylist():
+                _restore(ftrl, r["at"], r["z"], r["n"])
+        w = ftrl.weights()
+        at = np.flatnonzero(w)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["at", "weight"])
+
     rows = stages.store(sample(docs, labels, limit, id_col, text_col, label_col), "toxicity-sample")
-    z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
+    state = docs.sparkSession.createDataFrame([], _STATE)
     for turn in range(passes):
-        used = np.flatnonzero(n)
-        start = used.astype(np.uint32).tobytes(), z[used].tobytes(), n[used].tobytes()
-
-        def learn(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            ftrl, at = Ftrl(np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1), **options), np.frombuffer(start[0], np.uint32)
-            ftrl.z[at], ftrl.n[at] = np.frombuffer(start[1]), np.frombuffer(start[2])
-            for b in batches:
-                for y, heft, data in zip(*[b.column(c).to_pylist() for c in ("label", "share", "data")]):
-                    ftrl.learn(np.frombuffer(data, np.uint32).astype(np.int64), y, heft)
-            at = np.flatnonzero(ftrl.n)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.uint32), ftrl.z[at], ftrl.n[at])], ["at", "z", "n"])
-
-        order = F.xxhash64("place", F.lit(turn))
-        state = rows.withColumn("o", order).repartition(1).sortWithinPartitions("o", "id").mapInArrow(learn, "at binary, z binary, n binary").collect()
-        for r in state:  # one row
-            at = np.frombuffer(r["at"], np.uint32)
-            z[at], n[at] = np.frombuffer(r["z"]), np.frombuffer(r["n"])
+        every = (state.withColumn("kind", F.lit(0)).unionByName(rows.withColumn("kind", F.lit(1)).withColumn(
+            "o", F.xxhash64("place", F.lit(turn))), allowMissingColumns=True))
+        before, state = state, stages.store(every.repartition(1).sortWithinPartitions("kind", "o", "id").mapInArrow(learn, _STATE), "toxicity-state")
+        if turn:
+            stages.remove(before)
+    found = state.repartition(1).mapInArrow(weigh, "at long, weight double").collect()  # bounded: weights that are not zero
     stages.remove(rows)
-    w = Ftrl(z, n, **options).weights()
-    at = np.flatnonzero(w[:BUCKETS])
-    return Model(at, w[at], float(w[BUCKETS]))
+    stages.remove(state)
+    bias = sum(r["weight"] for r in found if r["at"] == BUCKETS)
+    known = sorted((r["at"], r["weight"]) for r in found if r["at"] < BUCKETS)
+    return Model(np.array([at for at, _ in known], np.int64), np.array([w for _, w in known], float), float(bias))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
