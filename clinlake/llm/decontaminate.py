@@ -23,6 +23,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 MAX_BROADCAST_BYTES = 32 << 20
+# Repeated rows made at once.
+_COPIES = 1 << 16
 
 
 def normal_words(text: Column) -> Column:
@@ -70,13 +72,14 @@ def covered(ranges: Column) -> Column:
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", size: int = WINDOW,
-                  max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Per distinct (id, text): ``id``, ``text_key``, ``n_words``, ``n_hit``, ``items``, ``ranges``.
+                  max_broadcast_bytes: int = MAX_BROADCAST_BYTES, each_row: bool = True) -> DataFrame:
+    """Per row of ``docs``: ``id``, ``text_key``, ``n_words``, ``n_hit``, ``items``, ``ranges``.
 
     ``items`` are the benchmark ids (as text, sorted) with a window in the
     document, ``ranges`` the hit word ranges.  A null or empty text has no
-    words and no hits; a null id is a value of its own; rows equal in id and
-    text count once.  An empty benchmark hits nothing, an empty ``docs``
+    words and no hits; a null id is a value of its own.  Repeated rows give
+    repeated results (one row per distinct id and text with
+    ``each_row=False``).  An empty benchmark hits nothing, an empty ``docs``
     gives no rows.  Columns other than those named are not read.
     """
     windows = benchmark_windows(items, item_col, item_text_col, size)
@@ -114,25 +117,31 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     least = F.greatest(F.lit(0), F.when(F.col("step") > 1, at + block - size).otherwise(at))
     most = F.least(at, F.size("words") - F.col("window"))
     near = near.withColumn("start", F.explode_outer(F.when((F.col("slot") > 0) & (least <= most), F.sequence(least, most))))
-    near = near.select("id", "text_key", F.size("words").alias("n_words"), "start", F.col("window").alias("length"),
+    near = near.select("id", "text_key", "slot", F.size("words").alias("n_words"), "start", F.col("window").alias("length"),
                        F.when(F.col("start").isNotNull(), F.slice("words", F.col("start") + 1, F.col("window"))).alias("found"))
     near = near.withColumn("found_hash", F.when(F.col("start").isNotNull(), F.xxhash64("found")))
     known = windows.select("hash", "gram", "items", F.col("length").alias("gram_length"))
     hits = near.join(F.broadcast(known) if small else known,
                      (F.col("found_hash") == F.col("hash")) & (F.col("length") == F.col("gram_length")), "left")
     verified = F.col("found") == F.col("gram")
-    rows = hits.select("id", "text_key", "n_words", F.when(verified, F.struct("start", "length")).alias("range"),
+    rows = hits.select("id", "text_key", "n_words", (F.col("slot") == 0).alias("self"), F.when(verified, F.struct("start", "length")).alias("range"),
                        F.when(verified, F.col("items")).alias("items"))
     per_doc = rows.groupBy("id", "text_key").agg(
         F.max("n_words").cast("long").alias("n_words"),
+        (F.count_if("self") / len(shapes)).cast("long").alias("copies"),  # slot 0 comes once per shape and row
         F.array_sort(F.collect_set("range")).alias("ranges"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    if each_row:
+        # In two steps, so that no array is as long as a large group of copies.
+        run = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(_COPIES).cast("long"))
+        per_doc = per_doc.withColumn("copy", F.explode(run)).withColumn(
+            "copy", F.explode(F.sequence(F.col("copy"), F.least(F.col("copy") + _COPIES, F.col("copies")) - 1)))
     return per_doc.select("id", "text_key", "n_words", covered(F.col("ranges")).cast("long").alias("n_hit"), "items", "ranges")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window; other rows and all columns stay as they are."""
-    hit = contamination(docs, items, id_col, text_col, **options).where("n_hit > 0").select(
+    hit = contamination(docs, items, id_col, text_col, each_row=False, **options).where("n_hit > 0").select(
         F.col("id").alias("__hit_id"), F.col("text_key").alias("__hit_key"))
     key = F.xxhash64(F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")))
     return docs.join(hit, docs[f"`{id_col}`"].eqNullSafe(F.col("__hit_id")) & (key == F.col("__hit_key")), "left_anti")

@@ -4,9 +4,12 @@ A text is the average of the embeddings of its subwords: every run of one to
 four bytes inside a word (words are case-folded A-Z and framed by a space),
 hashed to ``buckets`` rows.  The embeddings and a linear softmax on top are
 trained together by stochastic gradient descent in numpy on a bounded sample
-of labelled rows; a temperature fitted on a part of the sample that the
-descent never saw calibrates the scores, and the rejection threshold is the
-score that all but ``reject_share`` of that part's right answers reach.
+of labelled rows, as many of every language: tasks count the subwords of the
+sampled texts (whole texts, every subword), and one task learns from these
+counts.  A temperature fitted on a part of the sample that the descent never
+saw calibrates the scores.  The rejection threshold is the score that all but
+``reject_share`` of that part's right answers reach, each text of it both by
+itself and with passages of another one.
 
 The trained model is a table of ``buckets x languages`` numbers (embeddings
 times softmax weights), which is all that scoring needs; its size is fixed by
@@ -24,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +35,10 @@ from clinlake.llm import text
 
 LENGTHS = (1, 2, 3, 4)
 UNDETERMINED = "und"
+#: Largest part of another text that a training text may quote.
+QUOTED = 0.8 / 1.8
+#: More languages than this are refused: the model's size follows them.
+LANGUAGES = 1000
 
 # Bytes that are part of a word: ASCII letters and all bytes of other characters.
 _LETTERS = text.byte_table((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -114,18 +121,32 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _bags(texts: list[bytes], buckets: int) -> list[np.ndarray]:
-    """All subword buckets of each text."""
-    bags = []
-    for t in texts:
-        found = [b[i] for b, i in subwords(np.frombuffer(t + b" ", dtype=np.uint8), buckets)]
-        bags.append(np.concatenate(found) if found else np.empty(0, np.int64))
-    return bags
+def bag(body: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct subword buckets of a whole text, and the share of each in all its subwords."""
+    count = np.zeros(buckets, np.int64)
+    for piece in [body] if len(body) <= text.PIECE else _pieces(body):
+        for at, inside in subwords(np.frombuffer(piece + b" ", dtype=np.uint8), buckets):
+            count += np.bincount(at[inside], minlength=buckets)
+    at = np.flatnonzero(count)
+    return at.astype(np.uint32), (count[at] / max(1, count.sum())).astype(np.float32)
 
 
-def train(texts: list[bytes], labels: list[str], dim: int = 16, buckets: int = 1 << 15, epochs: int = 4,
-          rate: float = 4.0, reject_share: float = 0.001, seed: int = 7) -> Model:
-    """Fit embeddings, softmax, temperature and threshold on labelled texts.
+Bag = tuple[np.ndarray, np.ndarray]
+
+
+def _mixed(own: Bag, other: Bag, part: float) -> Bag:
+    """A text that quotes another one: ``part`` of its subwords are the other's."""
+    return np.append(own[0], other[0]), np.append((1 - part) * own[1], part * other[1])
+
+
+def train(texts: list[bytes], labels: list[str], buckets: int = 1 << 15, **options) -> Model:
+    """``learn`` from whole texts at hand."""
+    return learn([bag(t, buckets) for t in texts], labels, buckets, **options)
+
+
+def learn(bags: list[Bag], labels: list[str], buckets: int = 1 << 15, dim: int = 16, epochs: int = 4, rate: float = 4.0,
+          reject_share: float = 0.0005, seed: int = 7) -> Model:
+    """Fit embeddings, softmax, temperature and threshold on labelled texts' subwords.
 
     Every fifth text (in the given order) is kept for calibration.  Without
     labelled texts the model knows no language and rejects everything.
@@ -138,8 +159,7 @@ def train(texts: list[bytes], labels: list[str], dim: int = 16, buckets: int = 1
     if not languages:
         return Model([UNDETERMINED], np.zeros((buckets, 1), np.float32), bias, 1.0, 2.0)
     y = np.searchsorted(languages, labels)
-    bags = _bags(texts, buckets)
-    use = [i for i in range(len(bags)) if len(bags[i])]
+    use = [i for i in range(len(bags)) if len(bags[i][0])]
     held = [i for k, i in enumerate(use) if k % 5 == 4]
     fit = [i for k, i in enumerate(use) if k % 5 != 4]
     # Classes weigh alike, so a language with few texts is learned as well as the others.
@@ -148,56 +168,93 @@ def train(texts: list[bytes], labels: list[str], dim: int = 16, buckets: int = 1
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for i in rng.permutation(fit):
-            bag = bags[i] if len(bags[i]) <= 512 else rng.choice(bags[i], 512)
+            parts, back = [bags[i]], 1.0
             if rng.random() < 0.5:
                 # A text that quotes another one (any language) keeps its own label.
-                other = bags[fit[rng.integers(len(fit))]]
-                quoted = int(len(bag) * rng.uniform(0, 0.8))
-                bag = np.append(bag, rng.choice(other, quoted))
-            mean = embed[bag].mean(axis=0)
+                quoted = rng.uniform(0, QUOTED)
+                parts, back = [bags[i], bags[fit[rng.integers(len(fit))]]], 1 - quoted
+            mean = sum(f * (s @ embed[at]) for f, (at, s) in zip((back, 1 - back), parts))
             p = mean @ weight + bias
             p = np.exp(p - p.max())
             p /= p.sum()
             p[y[i]] -= 1
             p *= balance[y[i]]
-            back = weight @ p
+            down = step * (weight @ p)
             weight -= (step * 0.1) * np.outer(mean, p)
             bias -= (step * 0.002) * p
-            np.subtract.at(embed, bag, (step / len(bag)) * back)
+            for f, (at, s) in zip((back, 1 - back), parts):
+                embed[at] -= f * s[:, None] * down
     model = Model(languages, embed @ weight, bias, 1.0, 0.0)
     if held:
-        logits = np.concatenate([model._logits([texts[i]]) for i in held])
-        truth = y[held]
+        def logits(some: list[Bag]) -> np.ndarray:
+            return np.stack([s @ model.table[at] for at, s in some]) + bias
+
+        truth, alone = y[held], logits([bags[i] for i in held])
         candidates = np.geomspace(0.05, 20, 60)
-        loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(held)), truth], 1e-12)).mean() for t in candidates]
+        loss = [-np.log(np.maximum(_softmax(alone / t)[np.arange(len(held)), truth], 1e-12)).mean() for t in candidates]
         model.temperature = float(candidates[int(np.argmin(loss))])
-        p = _softmax(logits / model.temperature)
-        right = p.argmax(axis=1) == truth
-        top = np.sort(p.max(axis=1)[right])
-        # Never above 0.4: a text torn between two languages is not rejected.
-        model.threshold = float(min(0.4, top[int(reject_share * len(top))])) if len(top) else 0.0
+        # Texts torn between two languages are part of what must not be rejected.
+        torn = logits([_mixed(bags[i], bags[held[rng.integers(len(held))]], rng.uniform(0, QUOTED)) for i in held])
+        p, truth = _softmax(np.concatenate([alone, torn]) / model.temperature), np.append(truth, truth)
+        top = np.sort(p.max(axis=1)[p.argmax(axis=1) == truth])
+        model.threshold = float(top[int(reject_share * len(top))]) if len(top) else 0.0
     return model
 
 
-def sample(labelled: DataFrame, text_col: str, label_col: str, order: Column, limit: int, max_bytes: int) -> tuple[list[bytes], list[str]]:
-    """At most ``limit`` labelled texts, cut to ``max_bytes`` characters for training, the same in every run.
+def sample(labelled: DataFrame, text_col: str, label_col: str, order: Column, limit: int, buckets: int) -> DataFrame:
+    """``(label, place, at, share)``: the subwords of at most ``limit`` labelled
+    texts, the same in every run: as many of each language, those first by
+    ``order`` (a hash), and at least eight of a rare one."""
+    rows = labelled.select(F.col(f"`{label_col}`").cast("string").alias("label"), F.col(f"`{text_col}`").cast("string").alias("text"), order.alias("place"))
+    rows = rows.where(F.col("label").isNotNull() & has_letter(F.col("text")))
+    known = {r["label"]: r["count"] for r in rows.groupBy("label").count().limit(LANGUAGES + 1).collect()}  # bounded: one row a language
+    if len(known) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    each = max(8, limit // max(1, len(known)))
+    size = F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])[F.col("label")] if known else F.lit(1)
+    # Rows outside a share of about twice the number wanted are left out before any are ranked.
+    near = rows.where(F.pmod(F.col("place"), size.cast("long")) < 2 * each)
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("place", F.xxhash64("text"))))
+    chosen = ranked.where(F.col("rank") <= each).select("label", "place", "text")
 
-    ``order`` is a hash; rows outside a share of about ``2 limit`` of all are
-    left out before they are ordered, so few rows leave the tasks.
-    """
-    n = max(1, labelled.where(F.col(f"`{label_col}`").isNotNull()).count())
-    rows = (labelled.where(F.pmod(order, F.lit(n)) < 2 * limit).where(F.col(f"`{label_col}`").isNotNull() & has_letter(F.col(f"`{text_col}`")))
-            .select(F.substring(F.col(f"`{text_col}`"), 1, max_bytes).alias("t"), F.col(f"`{label_col}`").alias("l"),
-                            order.alias("o")).orderBy("o", "t").limit(limit).collect())  # bounded: the sample
-    return [r["t"].encode() for r in rows], [r["l"] for r in rows]
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text.pieces(batches, 256):
+            found = [bag(t, buckets) for t in text.utf8(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([b.column("label"), b.column("place"), *[pa.array([x[k].tobytes() for x in found], pa.binary()) for k in (0, 1)]],
+                                             ["label", "place", "at", "share"])
+
+    return chosen.mapInArrow(count, "label string, place long, at binary, share binary")
 
 
 def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", order: Column | None = None,
-        limit: int = 4000, max_bytes: int = 2000, **options) -> Model:
+        limit: int = 4000, buckets: int = 1 << 15, **options) -> Model:
     """Train on a bounded sample of ``docs``: rows with a label and a letter,
-    the ``limit`` first by ``order`` (by default a hash of the text)."""
+    ``limit`` of them, shared evenly among the languages (see `sample`;
+    ``order`` is by default a hash of the text).  Their texts are used whole.
+
+    One task learns from the sample; the driver gets the model, whose size is
+    ``buckets`` times the languages.
+    """
     order = F.xxhash64(F.col(f"`{text_col}`")) if order is None else order
-    return train(*sample(docs, text_col, label_col, order, limit, max_bytes), **options)
+
+    def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, bags = [], []
+        for b in batches:
+            labels += b.column("label").to_pylist()
+            bags += [(np.frombuffer(at, np.uint32), np.frombuffer(s, np.float32))
+                     for at, s in zip(b.column("at").to_pylist(), b.column("share").to_pylist())]
+        m = learn(bags, labels, buckets, **options)
+        yield pa.RecordBatch.from_arrays([pa.array([m.languages]), pa.array([m.table.astype(np.float32).tobytes()], pa.binary()),
+                                          pa.array([m.bias.tolist()], pa.list_(pa.float64())), pa.array([m.temperature]), pa.array([m.threshold])],
+                                         ["languages", "data", "bias", "temperature", "threshold"])
+
+    rows = sample(docs, text_col, label_col, order, limit, buckets).repartition(1).sortWithinPartitions("place", "label", "at")
+    found = rows.mapInArrow(teach, "languages array<string>, data binary, bias array<double>, temperature double, threshold double").collect()  # bounded: one model
+    if not found:
+        return learn([], [], buckets, **options)
+    r = found[0]
+    table = np.frombuffer(r["data"], np.float32).reshape(buckets, -1)
+    return Model(list(r["languages"]), table, np.array(r["bias"], np.float32), r["temperature"], r["threshold"])
 
 
 def has_letter(t: Column) -> Column:

@@ -70,7 +70,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(langid.fold(F.col("doc_id")) != 0), order=F.xxhash64("doc_id"))
     return langid.identify(docs, model).select(
-        "row.doc_id", F.coalesce(langid.fold(F.col("row.doc_id")) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+        "row.doc_id", F.coalesce(langid.fold(F.col("row.doc_id")) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,8 +48,9 @@ _EXTEND = "kind string, bucket int, batch long, data binary"
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
     """One row per row of ``docs``: ``row`` (all its columns as a struct),
-    ``kept`` (the words that stay, joined by one space), ``n_words`` and
-    ``n_removed``.
+    ``kept`` (the words that stay, joined by one space), ``n_words``,
+    ``n_removed``, and ``rest``: the text as it was but for the removed words
+    and the white space behind them (null where nothing is removed).
 
     Words are maximal runs of bytes other than space and 0x09-0x0D.  ``id_col``
     is an integer column.  A null or empty text has no words and gives an
@@ -84,7 +85,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stages.remove(extended)
 
     schema = T.StructType([keyed.schema["row"], T.StructField("kept", T.StringType()),
-                           T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+                           T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+                           T.StructField("rest", T.StringType())])
     whole = _dealt(keyed.select("batch", "id", "tkey", "text", "row"), cuts, parts)
     return whole.mapInArrow(_cutter, schema)
 
@@ -367,15 +369,28 @@ def _later(window: int):
 
 # ---- cut ---------------------------------------------------------------------------------------
 
-def _kept(body: bytes, cuts: list[tuple[int, int]]) -> tuple[str, int, int]:
+def _kept(body: bytes, cuts: list[tuple[int, int]]) -> tuple[str, int, int, str | None]:
     words = body.split()
     gone = np.zeros(len(words), dtype=bool)
     for lo, hi in cuts:
         gone[lo:hi] = True
     removed = int(gone.sum())
+    rest = None
     if removed:
         words = [words[i] for i in np.flatnonzero(~gone)]
-    return b" ".join(words).decode(), len(gone), removed
+        rest = _without(body, gone).decode()
+    return b" ".join(words).decode(), len(gone), removed, rest
+
+
+def _without(body: bytes, gone: np.ndarray) -> bytes:
+    """The text without its ``gone`` words and the white space behind each run of them."""
+    starts, ends = text.spans(np.frombuffer(body, np.uint8), text.WHITE_SPACE)
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
+    parts, at = [], 0
+    for lo, hi in edge.reshape(-1, 2).tolist():
+        parts.append(body[at:starts[lo]])
+        at = starts[hi] if hi < len(starts) else ends[-1]
+    return b"".join([*parts, body[at:]])
 
 
 def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +411,7 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mine = cuts[:, lo[i]:hi[i]]
                 mine = mine[:, mine[1] == tkeys[i]]
                 out.append(_kept(body, mine[2:].T.tolist()))
-            kept, words, removed = zip(*out)
+            kept, words, removed, rest = zip(*out)
             yield pa.RecordBatch.from_arrays(
-                [part.column("row"), pa.array(kept, pa.string()), pa.array(words, pa.int64()), pa.array(removed, pa.int64())],
-                ["row", "kept", "n_words", "n_removed"])
+                [part.column("row"), pa.array(kept, pa.string()), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(rest, pa.string())],
+                ["row", "kept", "n_words", "n_removed", "rest"])

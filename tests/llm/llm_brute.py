@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+import zlib
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOLD = str.maketrans(UPPER, LOWER)
@@ -97,3 +98,50 @@ def bm25(docs, queries, k=10, k1=1.2, b=0.75):
                 scored.append((-round(s, 6), i))
         out[q] = [(i, -s) for s, i in sorted(scored)[:k]]
     return out
+
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def near(words):
+    """Words one edit apart."""
+    out, less = collections.defaultdict(set), collections.defaultdict(set)
+    known = set(words)
+    for w in known:
+        for i in range(len(w)):
+            less[i, w[:i] + "?" + w[i + 1:]].add(w)
+            short = w[:i] + w[i + 1:]
+            if short in known:
+                out[w].add(short)
+                out[short].add(w)
+    for group in less.values():
+        for w in group:
+            out[w] |= group - {w}
+    return out
+
+
+def variants(docs, ratio=10):
+    n = collections.Counter()
+    for doc, text in docs:
+        for run in RUN.findall(text or ""):
+            run = run.translate(FOLD)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 7:
+                n[run] += 1
+    n = {w: c for w, c in n.items() if c >= 2}
+    close = near(n)
+    form = {}
+    for w in n:
+        if close[w]:
+            best = min(close[w], key=lambda v: (-n[v], v))
+            if n[best] >= ratio * n[w]:
+                form[w] = best
+    root = {}
+    for w in n:
+        at = w
+        while at in form:
+            at = form[at]
+        root[w] = at
+    return [(w, form.get(w), root[w], n[w], len(close[w]), n[form[w]] if w in form else None) for w in n]

@@ -90,6 +90,14 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
 
 # ---- decontamination
 
+def test_many_repeated_rows_come_back(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "_COPIES", 7)
+    docs = spark.range(50).select(F.lit(1).cast("long").alias("doc_id"), F.lit("one").alias("text"))
+    items = spark.createDataFrame([(5, "one")], "item_id long, text string")
+    got = decontaminate.contamination(docs, items).collect()
+    assert len(got) == 50 and {(r.id, r.n_words, r.n_hit, *r["items"]) for r in got} == {(1, 1, 1, "5")}
+
+
 ITEMS = [(1, "w3 w4 W5 w6 w7 w8 w9 w10 w11 w12 w13"), (2, None), (3, "..."), (None, "one"), (12, "other TEXT"), (11, "text of")]
 
 
@@ -103,10 +111,12 @@ def test_contamination(spark, docs, pairs, odd, none, limit):
     own = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = brute.contamination([x for x in ODD], ITEMS)
     got = decontaminate.contamination(odd, own, max_broadcast_bytes=limit).collect()
-    # A null text and an empty one of the same id would be one row; here their ids differ, but for the null id.
-    assert sorted((r.id is None, r.id, r.n_words, r.n_hit, r["items"]) for r in got if r.id is not None) == sorted(
-        (False, i, *v) for (i, _), v in want.items() if i is not None)
-    assert sorted((r.n_words, r.n_hit) for r in got if r.id is None) == sorted(v[:2] for (i, _), v in want.items() if i is None)
+    # One row per row: those that come twice are there twice, null and empty texts of one id as well.
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted((key((r.id, r.n_words, r.n_hit, r["items"])) for r in got)) == sorted(key((i, *want[i, t])) for i, t in ODD)
+    assert decontaminate.contamination(odd, own, max_broadcast_bytes=limit, each_row=False).count() == len({(i, t or "") for i, t in ODD})
+    twice = own.sparkSession.createDataFrame([(1, None), (1, ""), (1, ""), (2, "one"), (2, "one")], "doc_id long, text string")
+    assert decontaminate.contamination(twice, own, max_broadcast_bytes=limit).count() == 5
     clean = decontaminate.drop_contaminated(odd, own, max_broadcast_bytes=limit)
     assert clean.columns == odd.columns
     assert sorted(r.doc_id or -1 for r in clean.collect()) == sorted(i or -1 for i, t in ODD if not want[i, t][1])
@@ -282,6 +292,24 @@ def test_top_k(spark, docs, pairs):
         assert all(abs(a[1] - b[1]) < 2e-6 for a, b in zip(got[q], want[q]))
 
 
+def test_blocks_below_the_threshold_are_skipped():
+    """Short documents of a rare word, among many long ones: their block alone is looked into, and the answer is exact."""
+    rare = [b"needle " + b" ".join(f"w{i * 3 + j}".encode() for j in range(3)) for i in range(30)]
+    common = [b" ".join([b"needle", *[f"c{(i * 7 + j) % 900}".encode() for j in range(300)]]) for i in range(3000)]
+    texts, ids = rare + common, np.arange(3030)
+    _, found, _, length = bm25.term_counts(texts)
+    terms, df = np.unique(found, return_counts=True)
+    index = bm25.Index(terms, df, len(texts), length.mean(), 1.2, 0.75)
+    for lo in range(0, len(texts), 500):
+        index.add(ids[lo:lo + 500], texts[lo:lo + 500])
+    index.seal()
+    _, asked, _, _ = bm25.term_counts([b"needle"])
+    top, scores, seen = index.search(asked, 10)
+    assert top.tolist() == list(range(10)) and len(set(scores.tolist())) == 1  # ties go to the smaller ids
+    assert seen == bm25.FIRST_BLOCKS and index.n_blocks == 48
+    assert index.search(np.array([1, 2], np.uint64), 10)[0].tolist() == []
+
+
 def test_top_k_over_shards_is_the_same(docs, monkeypatch):
     queries_ = docs.where(bm25.every_nth(F.col("doc_id"), 50))
     one = sorted(bm25.search(docs, queries_, k=3).collect())
@@ -324,3 +352,50 @@ def test_whole_texts_are_scored():
     long = b"der und die das " * 40_000
     assert model.scores([long, b"the and of"]).argmax(axis=1).tolist() == [0, 1]
     assert np.allclose(model.scores([long])[0], model.scores([b"der und die das " * 1000])[0], atol=1e-3)
+
+
+def test_training_reads_whole_texts_and_every_subword():
+    at, share = langid.bag(b"noise " * 3000 + b"der und die", 1 << 15)
+    head, _ = langid.bag(b"noise " * 3000, 1 << 15)
+    assert set(at.tolist()) > set(head.tolist()) and abs(share.sum() - 1) < 1e-5
+    long = (LONG * 2).encode()
+    assert len(long) > 2 * langid.text.PIECE
+    whole = np.zeros(1 << 15)
+    for found, inside in langid.subwords(np.frombuffer(long + b" ", np.uint8), 1 << 15):
+        whole += np.bincount(found[inside], minlength=1 << 15)
+    at, share = langid.bag(long, 1 << 15)
+    dense = np.zeros(1 << 15)
+    dense[at] = share
+    assert np.abs(dense - whole / whole.sum()).max() < 1e-4  # pieces are cut at spaces; only runs over a cut differ
+
+
+def test_a_rare_language_is_learned(spark):
+    rng = np.random.default_rng(5)
+
+    def prose(words, n):
+        return " ".join(rng.choice(words.split(), n))
+
+    rows = [(i, prose("the and of that with this for from", 60), "en") for i in range(3000)]
+    rows += [(5000 + i, prose("der und die das ein nicht mit von", 60), "de") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, limit=200)
+    assert model.languages == ["de", "en"]
+    assert model.scores([b"und das ist nicht von mir", b"this is from that"]).argmax(axis=1).tolist() == [0, 1]
+    assert np.array_equal(model.table, langid.fit(docs, limit=200).table)  # the same in every run
+    found = langid.sample(docs, "text", "lang", F.xxhash64("doc_id"), 200, 1 << 15).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in found} == {"en": 100, "de": 10}
+
+
+def test_texts_of_no_known_language_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.fit(docs.where(langid.fold(F.col("doc_id")) != 0), order=F.xxhash64("doc_id"))
+    junk = ["xqzj kvwp zzqx wvkq jjxq", "Привет мир это простой текст", "日本語のテキストです"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(junk)], "doc_id long, text string")
+    assert [r.rejected for r in langid.identify(table, model).collect()] == [True] * 3
+    held = docs.where(langid.fold(F.col("doc_id")) == 0).where("lang is not null and n_chars > 200")
+    assert langid.identify(held, model).where("rejected").count() <= 0.005 * held.count()
+    # Half of one language and half of another: one of both, and kept.
+    both = {l: held.where(F.col("lang") == l).where("n_chars between 1500 and 4000").orderBy("doc_id").limit(15).collect() for l in ("en", "fr")}
+    mixed = [(i, a.text[:900] + " " + b.text[:700]) for i, (a, b) in enumerate(zip(both["en"], both["fr"]))]
+    kept = langid.identify(spark.createDataFrame(mixed, "doc_id long, text string"), model).where("not rejected").count()
+    assert kept >= 13

@@ -39,7 +39,11 @@ def test_stages_against_brute_force(spark):
     want = brute.repeats(sorted((i, rows[i].text) for i in kept))
     got = {r.doc_id: (r.text, r.n_chars, r.lang, r.source) for r in cut.collect()}
     assert cut.columns == docs.columns
-    assert got == {i: (want[i][0], len(want[i][0]), rows[i].lang, rows[i].source) for i in kept}
+    assert {i: (" ".join(brute.TOKEN.findall(g[0])), *g[2:]) for i, g in got.items()} == {i: (want[i][0], rows[i].lang, rows[i].source) for i in kept}
+    whole = [i for i in kept if not want[i][2]]
+    assert whole and any("\n" in rows[i].text for i in whole)
+    assert all(got[i][:2] == (rows[i].text, rows[i].n_chars) for i in whole)  # untouched, line breaks and all
+    assert all(g[1] == len(g[0]) for i, g in got.items() if want[i][2])
 
     clean = steps["benchmark_decontamination"](spark, cut, SMALL)
     pool = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
