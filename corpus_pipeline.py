@@ -30,10 +30,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words in passages of twenty words that occurred earlier go; ``text`` and ``n_chars`` follow."""
+    """Words in passages of twenty words that occurred earlier go, with the
+    white space behind them; what else a text holds, and texts without such a
+    passage, stay as they are.  ``n_chars`` follows."""
     cut = substring.remove_repeats(docs)
-    text = F.when(F.col("row.text").isNotNull(), F.col("kept"))
-    new = {"text": text, "n_chars": F.when(F.col("row.text").isNotNull(), F.length("kept").cast("long")).otherwise(F.col("row.n_chars"))}
+    new = {"text": F.coalesce("rest", "row.text"), "n_chars": F.coalesce(F.length("rest").cast("long"), "row.n_chars")}
     return cut.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
