@@ -14,18 +14,24 @@ from pyspark.sql import functions as F
 
 
 def read_label_matrix(spark: SparkSession, path: str, sep: str = ",", as_vector: bool = False,
-                      label_col: str = "label", features_col: str = "features") -> DataFrame:
+                      label_col: str = "label", features_col: str = "features", place: bool = False) -> DataFrame:
     """Parse label-first rows into ``(label int, features array<double>)``.
 
     The whole line is split once; ``slice`` drops the label and ``transform``
     casts every remaining field, all inside the JVM.  ``sep`` is taken
-    literally.  Blank lines are skipped.
+    literally.  Blank lines are skipped.  ``place`` adds ``file``, ``split``
+    and ``line``, which in this order sort the rows as they stand in the files
+    (``operators.batches.number_rows`` numbers them); ``line`` ascends within a
+    split and is no count.
     """
     text = spark.read.text(path)
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+             F.monotonically_increasing_id().alias("line")] if place else []
+    text = text.select("value", *where)
     fields = F.split(F.trim(F.col("value")), re.escape(sep))
     parsed = (text.where(F.length(F.trim(F.col("value"))) > 0)
-              .select(fields.alias("f"))
-              .select(F.element_at("f", 1).cast("int").alias(label_col),
+              .select(fields.alias("f"), *(["file", "split", "line"] if place else []))
+              .select(*(["file", "split", "line"] if place else []), F.element_at("f", 1).cast("int").alias(label_col),
                       F.transform(F.slice("f", 2, F.size("f")), lambda x: x.cast("double"))
                       .alias(features_col)))
     if as_vector:
