@@ -16,6 +16,7 @@ from clinlake.operators.features import index_vector, vector_cardinality
 from clinlake.operators.models import MULTINOMIAL_PARAMS, fit_pipeline, logistic, score, tree
 from clinlake.operators.profile import table_size
 from clinlake.operators.split import hash_split, split_label, union_slices
+from clinlake.operators.vector_sets import category_flags, category_maps
 from clinlake.plans.standins import table
 from clinlake.session import kept
 
@@ -63,6 +64,22 @@ def q_vector_distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_cardinality(table(spark, sf_dir, "embeddings"), "embedding", MAX_CATEGORIES).select("dim", "n_distinct")
 
 
+def mixed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings whose even dimensions hold few values (tenths, cut off) and whose odd ones hold many."""
+    x = F.transform(F.col("embedding").cast("array<double>"), lambda v, i: F.when(i % 2 == 0, F.floor(v * 10).cast("double")).otherwise(v))
+    return table(spark, sf_dir, "embeddings").select("vec_id", x.alias("x"))
+
+
+def q_vector_category_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which dimensions are categories, from sets that stop at 101 values."""
+    return category_flags(mixed_vectors(spark, sf_dir), "x", MAX_CATEGORIES)
+
+
+def q_vector_category_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every value of the categorical dimensions."""
+    return category_maps(mixed_vectors(spark, sf_dir), "x", MAX_CATEGORIES)
+
+
 def q_split_70_30(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One key in thirty is NULL: the parts must still cover the table.
     emb = table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 30 != 0, F.col("vec_id")).alias("key"))
