@@ -9,10 +9,11 @@ not estimates of the result.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from typing import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clinlake.functions import row_width
@@ -41,3 +42,20 @@ def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
                    F.coalesce(F.sum(_null_cells(df)), F.lit(0)).cast("long").alias("n_nulls"))
             for name, df in tables.items()]
     return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+def observe_size(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` with a size probe on it: the job that reads the returned frame
+    to its end also measures it, so the probe costs no job of its own.  The
+    figures are those of ``table_size``.  Every column counts, so all of them
+    are read, whether the job needs them or not."""
+    probe = Observation(f"{name}-{uuid.uuid4().hex}")
+    bytes_ = F.coalesce(F.sum(row_width(df.schema)), F.lit(0)).cast("long")
+    return df.observe(probe, F.count(F.lit(1)).alias("n_rows"), bytes_.alias("n_bytes")), probe
+
+
+def observed_sizes(spark, probes: Mapping[str, Observation]) -> DataFrame:
+    """``(step, n_rows, n_bytes)`` of probes whose jobs have run, one row a step
+    (``Observation.get`` waits for a job that has not)."""
+    rows = [(step, probe.get["n_rows"], probe.get["n_bytes"]) for step, probe in probes.items()]
+    return spark.createDataFrame(rows, "step string, n_rows long, n_bytes long")

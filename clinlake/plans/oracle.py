@@ -24,6 +24,15 @@ CODE_JOIN = f"""
   cj AS (SELECT d.p_partkey, d.diag_code, CAST(r.p_size AS VARCHAR) AS proc_code, r.short_title, r.long_title
          FROM d JOIN r ON TRY_CAST(d.diag_code AS BIGINT) = CAST(r.p_size AS BIGINT))"""
 
+_MIXED = """WITH m AS (SELECT dim, CASE WHEN dim % 2 = 0 THEN floor(v * 10) ELSE v END AS v
+              FROM (SELECT CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(len(embedding))) AS dim FROM embeddings))"""
+
+_CATEGORIES = """WITH o AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE 'c' || (o_orderkey // 4) END AS category FROM orders),
+              k AS (SELECT "column", value, CAST(count(*) AS BIGINT) AS n,
+                           row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, value) - 1 AS code
+                    FROM (SELECT 'category' AS "column", category AS value FROM o UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM o)
+                    GROUP BY "column", value)"""
+
 _COHORT = {
     "BUILDING": "seg = 'BUILDING'",
     "MACHINERY": "seg = 'MACHINERY'",
@@ -55,6 +64,17 @@ def oracle_sql() -> dict[str, str]:
                               max(p_name) AS long_title FROM part GROUP BY p_size)
             SELECT d.p_partkey, d.diag_code, r.proc_code, r.short_title, r.long_title
             FROM d JOIN r ON d.diag_code = r.proc_code""",
+        "csv_scan_profiled": f"""WITH {STROKE_SRC}
+            SELECT id, lpad(CAST(id AS VARCHAR), 7, '0') AS code, age, TRY_CAST(bmi AS DOUBLE) AS bmi, work_type, CAST(stroke AS BIGINT) AS stroke FROM s""",
+        "checked_scan_good": """
+            SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
+            WHERE o_orderkey % 60 <> 3 AND o_orderkey % 50 <> 1 AND o_orderkey % 70 <> 2""",
+        "checked_scan_bad": """
+            SELECT CASE WHEN o_orderkey % 60 = 3 THEN 'fields' WHEN o_orderkey % 70 = 2 THEN 'o_orderkey is missing' ELSE 'o_totalprice is no double' END AS reason,
+                   CASE WHEN o_orderkey % 60 = 3 THEN o_orderkey || ',' || o_custkey
+                        ELSE (CASE WHEN o_orderkey % 70 = 2 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END) || ',' || o_custkey || ','
+                             || (CASE WHEN o_orderkey % 50 = 1 THEN '12.5 EUR' ELSE CAST(o_totalprice AS VARCHAR) END) || ',' || o_orderpriority END AS text
+            FROM orders WHERE o_orderkey % 60 = 3 OR o_orderkey % 50 = 1 OR o_orderkey % 70 = 2""",
         "title_match_count": f"""WITH {CODE_JOIN}
             SELECT CAST(count(*) AS BIGINT) AS n FROM cj
             WHERE contains(short_title, 'al') OR contains(long_title, 'al')""",
@@ -351,6 +371,17 @@ def _model_sql() -> dict[str, str]:
             SELECT CAST(label AS DOUBLE) AS label, CAST(count(*) AS BIGINT) AS n, 10 AS n_classes, 0.0::DOUBLE AS probability_gap,
                    true AS prediction_is_argmax
             FROM embeddings WHERE {_hash_bucket('vec_id')} >= 8000 GROUP BY label""",
+        "network_predictions": f"""
+            SELECT CAST(label AS DOUBLE) AS label, CAST(count(*) AS BIGINT) AS n, 10 AS n_classes, 0.0::DOUBLE AS probability_gap,
+                   true AS prediction_is_argmax
+            FROM embeddings WHERE {_hash_bucket('vec_id')} >= 8000 GROUP BY label""",
+        # 32 rows a step, three epochs, each going on where the one before stopped
+        "cyclic_batches": """
+            WITH r AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS row, count(*) OVER () AS n FROM embeddings),
+            s AS (SELECT greatest(1, count(*) // 32) AS steps FROM embeddings),
+            g AS (SELECT unnest(range(0, 3 * steps * 32)) AS g, steps FROM s)
+            SELECT CAST(g // (steps * 32) AS BIGINT) AS epoch, CAST((g // 32) % steps AS BIGINT) AS step, CAST(g % 32 AS BIGINT) AS place, vec_id
+            FROM g JOIN r ON r.row = g.g % r.n""",
         "tuning_leaderboard": _grid_sql({"regParam": [0.01, 0.1], "maxIter": [5, 10], "tol": ["0.0001", "1e-05"],
                                          "elasticNetParam": [0.25, 0.75]}),
         "forest_leaderboard": _grid_sql({"maxDepth": [5, 10, 20], "maxBins": [20, 32, 50], "numTrees": [20, 40, 60],
@@ -393,6 +424,14 @@ def _more_sql() -> dict[str, str]:
             SELECT CAST(count(*) AS BIGINT) AS n_rows,
                    CAST(coalesce(sum({_width(_TABLE_COLS['orders'])}), 0) AS BIGINT) AS n_bytes FROM orders""",
         "profile_tables": _profile_sql(),
+        # o_orderkey, price, balance and status joined; key, label and two features assembled; key, label, prediction, two probabilities and score
+        "observed_sizes": f"""
+            WITH j AS (SELECT o_orderstatus FROM orders JOIN customer ON o_custkey = c_custkey)
+            SELECT 'orders' AS step, CAST(count(*) AS BIGINT) AS n_rows, CAST(coalesce(sum({_width(_TABLE_COLS['orders'])}), 0) AS BIGINT) AS n_bytes FROM orders
+            UNION ALL SELECT 'customer', CAST(count(*) AS BIGINT), CAST(coalesce(sum({_width(_TABLE_COLS['customer'])}), 0) AS BIGINT) FROM customer
+            UNION ALL SELECT 'joined', CAST(count(*) AS BIGINT), CAST(sum(24 + strlen(o_orderstatus)) AS BIGINT) FROM j
+            UNION ALL SELECT 'assembled', CAST(count(*) AS BIGINT), CAST(count(*) * 32 AS BIGINT) FROM j
+            UNION ALL SELECT 'scored', CAST(count(*) AS BIGINT), CAST(count(*) * 48 AS BIGINT) FROM j""",
         "joined_sizes": f"""WITH {CODE_JOIN},
               oj AS (SELECT o.o_orderkey, o.o_custkey, c.c_mktsegment, o.o_orderpriority, o.o_orderstatus
                      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
@@ -467,6 +506,18 @@ def _more_sql() -> dict[str, str]:
             SELECT CAST(dim AS INTEGER) AS dim, CAST(count(DISTINCT v) AS BIGINT) AS n_distinct
             FROM (SELECT unnest(embedding) AS v, unnest(range(len(embedding))) AS dim FROM embeddings)
             GROUP BY dim""",
+        "vector_category_flags": f"""{_MIXED}
+            SELECT CAST(dim AS INTEGER) AS dim, CASE WHEN count(DISTINCT v) <= 100 THEN CAST(count(DISTINCT v) AS BIGINT) END AS n_values,
+                   count(DISTINCT v) <= 100 AS is_categorical
+            FROM m GROUP BY dim""",
+        "vector_category_maps": f"""{_MIXED}
+            SELECT CAST(dim AS INTEGER) AS dim, v AS value,
+                   CAST(row_number() OVER (PARTITION BY dim ORDER BY v <> 0, v) - 1 AS INTEGER) AS code
+            FROM (SELECT DISTINCT dim, v FROM m) WHERE dim IN (SELECT dim FROM m GROUP BY dim HAVING count(DISTINCT v) <= 100)""",
+        "category_dictionary": f"""{_CATEGORIES} SELECT "column", value, n, code FROM k""",
+        "category_codes": f"""{_CATEGORIES}
+            SELECT o_orderkey, CAST(a.code AS INTEGER) AS category_label, CAST(b.code AS INTEGER) AS o_orderpriority_label
+            FROM o JOIN k a ON a."column" = 'category' AND a.value = category JOIN k b ON b."column" = 'o_orderpriority' AND b.value = o_orderpriority""",
         "split_70_30": f"""
             SELECT *, CASE WHEN {_hash_bucket('key')} < 7000 THEN 'train' ELSE 'test' END AS part
             FROM (SELECT vec_id, CASE WHEN vec_id % 30 <> 0 THEN vec_id END AS key FROM embeddings)""",

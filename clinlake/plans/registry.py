@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinlake.plans import cohort, evaluation, icu, image, profile, scans, stroke, waveform
+from clinlake.plans import cohort, dictionary, evaluation, icu, image, profile, scans, stroke, waveform
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,9 +29,13 @@ def queries() -> dict[str, Query]:
         "csv_scan_typed": scans.q_csv_scan_typed,
         "csv_scan_inferred": scans.q_csv_scan_inferred,
         "label_matrix_scan": scans.q_label_matrix_scan,
+        "csv_scan_profiled": scans.q_csv_scan_profiled,
+        "checked_scan_good": scans.q_checked_scan_good,
+        "checked_scan_bad": scans.q_checked_scan_bad,
         # size profiling
         "table_size": profile.q_table_size,
         "profile_tables": profile.q_profile_tables,
+        "observed_sizes": profile.q_observed_sizes,
         "joined_sizes": cohort.q_joined_sizes,
         "assembled_size": stroke.q_assembled_size,
         "scored_size": waveform.q_scored_size,
@@ -59,7 +63,12 @@ def queries() -> dict[str, Query]:
         # waveform
         "vector_index_cardinality": waveform.q_vector_index_cardinality,
         "vector_distinct_count": waveform.q_vector_distinct_count,
+        "vector_category_flags": waveform.q_vector_category_flags,
+        "vector_category_maps": waveform.q_vector_category_maps,
         "split_70_30": waveform.q_split_70_30,
+        # category dictionaries
+        "category_dictionary": dictionary.q_category_dictionary,
+        "category_codes": dictionary.q_category_codes,
         # metrics
         "confusion_matrix": evaluation.q_confusion_matrix,
         "classification_metrics": evaluation.q_classification_metrics,
@@ -84,4 +93,9 @@ def queries() -> dict[str, Query]:
         "tree_misclassified": waveform.q_tree_misclassified,
         "mlp_predictions": image.q_mlp_predictions,
         "mlp_report": image.q_mlp_report,
+        # image features, mini-batch descent with momentum
+        "cyclic_batches": image.q_cyclic_batches,
+        "network_history": image.q_network_history,
+        "network_predictions": image.q_network_predictions,
+        "network_report": image.q_network_report,
     }
