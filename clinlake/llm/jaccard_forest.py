@@ -258,8 +258,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per row of ``docs``: ``doc_id``, ``text_key`` (md5 of the text),
     ``n_shingles`` (with repeats), ``copies`` (rows of equal text, this one
     included), ``copy_of`` (their least id), ``n_links`` (other rows at or
-    above the threshold, copies included) and ``class_id`` (least id of all
-    rows that links reach).
+    above the threshold, copies included), ``class_id`` (least id of all
+    rows that links reach) and ``leads``: whether the row is the first of its
+    class, by id (null last) and then by ``text_key``.
 
     With the defaults a pair exactly at the threshold is found with
     probability 0.9999996, a closer one with more; links that are found are
@@ -313,22 +314,23 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     labels = _components(found)
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     ids = labels.join(reps.select("key", "copy_of"), "key")
-    least = ids.groupBy("label").agg(F.min("copy_of").alias("least"))
-    classes = labels.join(least, "label").select("key", "least")
+    least = ids.groupBy("label").agg(F.min(F.struct(F.col("copy_of").isNull().alias("none"), "copy_of", "key")).alias("l"))
+    classes = labels.join(least, "label").select("key", F.col("l.copy_of").alias("least"), F.col("l.key").alias("first"))
     known = (reps.join(links, "key", "left").join(classes, "key", "left")
              .select("key", "copy_of", "copies",
                      (F.coalesce("links", F.lit(0)) + F.when(F.col("n_shingles") > 0, F.col("copies") - 1).otherwise(0)).alias("n_links"),
-                     F.coalesce("least", "copy_of").alias("class_id")))
+                     F.coalesce("least", "copy_of").alias("class_id"), F.coalesce("first", "key").alias("first")))
     return signed.select("doc_id", "key", "n_shingles").join(known, "key").select(
-        "doc_id", F.lower(F.hex("key")).alias("text_key"), "n_shingles", "copies", "copy_of", "n_links", "class_id")
+        "doc_id", F.lower(F.hex("key")).alias("text_key"), "n_shingles", "copies", "copy_of", "n_links", "class_id",
+        ((F.col("key") == F.col("first")) & F.col("doc_id").eqNullSafe(F.col("copy_of"))).alias("leads"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each class: that of the least id.  Of rows equal
-    in id and text one stays.  Classes whose ids are all null, and texts
-    without words, keep a row for each id and text."""
-    found = jaccard_join(docs, id_col, text_col, **options).where("n_shingles > 0 and class_id is not null")
-    drop = found.where("doc_id is null or doc_id <> class_id").select("doc_id", "text_key").distinct()
+    """``docs`` with one row of each class: that of the least id (null last),
+    of equal ids that of the least md5.  Of rows equal in id and text one
+    stays.  Texts without words keep a row for each id and text."""
+    found = jaccard_join(docs, id_col, text_col, **options).where("n_shingles > 0")
+    drop = found.where("not leads").select("doc_id", "text_key").distinct()
     drop = drop.withColumnsRenamed({"doc_id": "__drop_id", "text_key": "__drop_key"})
     body = F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit(""))
     kept = docs.join(drop, docs[f"`{id_col}`"].eqNullSafe(F.col("__drop_id")) & (F.md5(body) == F.col("__drop_key")), "left_anti")

@@ -78,6 +78,15 @@ def test_keep_one(odd):
     assert len(kept) == len(set(kept))
 
 
+def test_keep_one_of_near_copies_of_one_id(spark):
+    near = PASSAGE + " end"
+    rows = [(2, PASSAGE), (2, near), (2, "quite another text of the same id"), (None, PASSAGE + " tail"), (None, "null words alone here"),
+            (None, "null words alone here"), (None, "null words alone here too and more of them"), (5, "null words alone")]
+    kept = sorted((r.doc_id or 0, r.text) for r in jaccard_forest.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    first = min((PASSAGE, near), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert kept == sorted([(2, first), (2, rows[2][1]), (0, rows[4][1]), (0, rows[6][1]), (5, "null words alone")])
+
+
 def test_a_large_group_of_near_copies(spark, monkeypatch):
     """Blocks of a node meet each other once, and each link counts once."""
     monkeypatch.setattr(jaccard_forest, "BLOCK_DOCS", 7)
