@@ -183,6 +183,7 @@ def reply_order(linked: DataFrame) -> DataFrame:
     one of them quotes.  Both are null without a conversation or a turn.
     """
     key = ["conv_id", "turn"]
+    linked = stages.store(linked, "linked-messages")  # read twice: for the tree, and for the rows
     turns = linked.where("conv_id is not null and turn is not null").groupBy(key).agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.when(F.col("n_linked") > 0, F.col("parent_turn"))), F.max("parent_turn")).alias("parent"))
     turns = stages.store(turns, "reply-turns")
