@@ -19,53 +19,80 @@ costs rows in proportion to the messages that hold or quote it.
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinlake.llm import stages
+from clinlake.llm.text import pieces as text_pieces
 
-MARKS = r"^\s{0,3}((?:>\s?)+)"
-ATTRIBUTION = r"(?i)^\s*(?:on .{0,200} wrote|.{0,120} (?:writes|schrieb|escribió|a écrit))\s*:\s*$"
-
-
-def quote_level(line: Column) -> Column:
-    """How many quote marks stand in front of a line."""
-    marks = F.regexp_extract(line, MARKS, 1)
-    return F.length(marks) - F.length(F.replace(marks, F.lit(">"), F.lit("")))
-
-
-def lines(messages: DataFrame) -> DataFrame:
-    """``messages`` (row_key, text, ...) with ``parts``: the text's lines in
-    order as (level, body, attribution), the marks taken off."""
-    split = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), "\r\n?", "\n"), "\n")
-    body = lambda s: F.when(quote_level(s) > 0, F.regexp_replace(s, MARKS, "")).otherwise(s)
-    return messages.withColumn("parts", F.transform(split, lambda s: F.struct(
-        quote_level(s).alias("level"), body(s).alias("body"), body(s).rlike(ATTRIBUTION).alias("attribution"))))
+# ASCII classes, and a dot that stops at every line end.
+MARKS = re.compile(r"^\s{0,3}((?:>\s?)+)", re.ASCII)
+ATTRIBUTION = re.compile(r"^\s*(?:on .{0,200} wrote|.{0,120} (?:writes|schrieb|escribió|a écrit))\s*:\s*$".replace(
+    ".{", r"[^\n\r\x85\u2028\u2029]{"), re.ASCII | re.IGNORECASE)
+_VISIBLE = re.compile(r"\S", re.ASCII)
+_LINE_END = re.compile(r"\r\n?")
+_NO_WORD = regex.compile(r"[^\p{L}\p{N}]+")
 
 
-def normalised(body: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(body), r"[^\p{L}\p{N}]+", " "))
+def normalised(text: str) -> str:
+    return _NO_WORD.sub(" ", text.lower()).strip(" ")
 
 
-def _runs(parts: Column) -> Column:
-    """Lines merged to runs: consecutive lines of one level; blank own lines and
-    attribution lines end a run and are not part of any, and quoted lines that are
-    all blank are none.  Each run is (level, text)."""
-    empty = F.struct(F.array().cast("array<struct<level:int,text:string>>").alias("done"),
-                     F.lit(-1).alias("level"), F.lit("").alias("text"))
+def passages(text: str) -> tuple[int, list[tuple[int, str]], str]:
+    """The highest quote level of a text's lines, its quoted passages as
+    (level, normalised words), and its own paragraphs, joined by blank lines.
 
-    def push(acc):
-        return F.when((acc["level"] >= 0) & acc["text"].rlike(r"\S"), F.concat(acc["done"], F.array(F.struct(acc["level"].alias("level"), acc["text"].alias("text"))))
-                      ).otherwise(acc["done"])
-
-    def step(acc, part):
-        gap = part["attribution"] | ((part["level"] == 0) & (F.trim(part["body"]) == ""))
-        same = acc["level"] == part["level"]
-        return F.when(gap, F.struct(push(acc).alias("done"), F.lit(-1).alias("level"), F.lit("").alias("text"))).when(
-            same, F.struct(acc["done"].alias("done"), acc["level"].alias("level"), F.concat_ws("\n", acc["text"], part["body"]).alias("text"))
-        ).otherwise(F.struct(push(acc).alias("done"), part["level"].alias("level"), part["body"].alias("text")))
-
-    return F.aggregate(parts, empty, step, push)
+    Consecutive lines of one level are a run; blank own lines and attribution
+    lines end a run and are part of none, and runs of blank lines are none.
+    """
+    highest, level, held = 0, -1, []
+    quotes, own = [], []
+
+    def push() -> None:
+        whole = "\n".join(held)
+        if level >= 0 and _VISIBLE.search(whole):
+            own.append(whole) if level == 0 else quotes.append((level, normalised(whole)))
+
+    for line in _LINE_END.sub("\n", text).split("\n"):
+        marks = MARKS.match(line)
+        at = marks.group(1).count(">") if marks else 0
+        body = line[marks.end():] if marks else line
+        highest = max(highest, at)
+        if ATTRIBUTION.match(body) or (at == 0 and not body.strip(" ")):
+            push()
+            level, held = -1, []
+        elif at == level:
+            held.append(body)
+        else:
+            push()
+            level, held = at, [body]
+    push()
+    return highest, quotes, "\n\n".join(own)
+
+
+def _parsed(messages: DataFrame) -> DataFrame:
+    """``messages`` with the parts of their text (see `passages`) in its place."""
+    kept = [f for f in messages.schema.fields if f.name != "text"]
+    schema = T.StructType([*kept, T.StructField("max_level", T.LongType()), T.StructField("own_text", T.StringType()), T.StructField(
+        "quotes", T.ArrayType(T.StructType([T.StructField("level", T.IntegerType()), T.StructField("norm", T.StringType())])))])
+    quote = pa.list_(pa.struct([("level", pa.int32()), ("norm", pa.string())]))
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_pieces(batches):
+            highest, quotes, own = zip(*[passages(t or "") for t in b.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(f.name) for f in kept], pa.array(highest, pa.int64()), pa.array(own, pa.string()),
+                 pa.array([[{"level": n, "norm": x} for n, x in q] for q in quotes], quote)], schema.fieldNames())
+
+    return messages.mapInArrow(parse, schema)
 
 
 def _key(text: Column) -> Column:
@@ -92,12 +119,9 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     # Equal rows are one message until the end, told apart by what they hold.
     base = base.withColumn("row_key", _key(F.concat_ws("\x1f", F.to_json(F.struct("conv_id", "turn", "role", "text")))))
     counted = base.groupBy("row_key").agg(*[F.first(c).alias(c) for c in ("conv_id", "turn", "role", "text")], F.count(F.lit(1)).alias("rows"))
-    parsed = lines(counted).withColumn("runs", _runs(F.col("parts")))
-    own = F.filter("runs", lambda r: r["level"] == 0)
-    parsed = parsed.withColumn("paragraphs", F.transform(own, lambda r: r["text"]))
-    parsed = parsed.withColumn("own_text", F.array_join("paragraphs", "\n\n"))
-    quotes = (parsed.select("row_key", "conv_id", "turn", F.posexplode("runs").alias("at", "run")).where("run.level > 0")
-              .select("row_key", "conv_id", "turn", "at", F.col("run.level").alias("level"), normalised(F.col("run.text")).alias("norm"))
+    parsed = stages.store(_parsed(counted), "chat-parts")
+    quotes = (parsed.select("row_key", "conv_id", "turn", F.posexplode("quotes").alias("at", "q"))
+              .select("row_key", "conv_id", "turn", "at", "q.level", "q.norm")
               .where("norm <> '' and conv_id is not null and turn is not null").withColumn("hash", _key(F.col("norm"))))
 
     originals = _nearest(quotes.select("conv_id", "hash", "turn").distinct(), _whole_lines(parsed, quotes))
@@ -107,12 +131,22 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     placed = parsed.join(_turns(parsed), ["conv_id", "turn"], "left").join(per_message, "row_key", "left")
     return (placed.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
             .select("conv_id", "turn", "role", "own_text",
-                    F.size(F.filter("runs", lambda r: r["level"] > 0)).cast("long").alias("n_quotes"),
-                    F.coalesce(F.array_max(F.transform("parts", lambda p: p["level"])), F.lit(0)).cast("long").alias("max_level"),
+                    F.size("quotes").cast("long").alias("n_quotes"), "max_level",
                     F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
                     F.coalesce("best.source", "previous").alias("parent_turn"), "depth"))
 
 
+def line_runs(own_text: str, lengths: np.ndarray) -> list[bytes]:
+    """The md5 of every run of whole lines that is, normalised, as long as one of ``lengths``."""
+    lines = [x for x in map(normalised, own_text.split("\n")) if x]
+    whole, ends = " ".join(lines), np.cumsum([len(x) + 1 for x in lines]) - 1
+    starts = np.append(0, ends[:-1] + 1) if lines else ends
+    found = set()
+    for n in lengths[lengths <= len(whole)].tolist():
+        found.update(whole[end - n:end] for end in np.intersect1d(starts + n, ends, assume_unique=True).tolist())
+    return [hashlib.md5(x.encode()).digest() for x in found]
+
+
 def _whole_lines(parsed: DataFrame, quotes: DataFrame) -> DataFrame:
     """``(conv_id, hash, source)``: the runs of whole own lines of each turn that
     are as long, normalised, as some passage of their conversation.
@@ -121,18 +155,18 @@ def _whole_lines(parsed: DataFrame, quotes: DataFrame) -> DataFrame:
     hashed, so a run may be of any length and none is listed for nothing.
     """
     quoted = quotes.groupBy("conv_id").agg(F.collect_set(F.length("norm")).alias("lengths"))
-    norms = F.filter(F.transform(F.split(F.array_join("paragraphs", "\n"), "\n"), normalised), lambda x: x != "")
-    none = F.struct(F.array().cast("array<int>").alias("ends"), F.lit(-1).alias("at"))
-    ends = F.aggregate("norms", none, lambda acc, x: F.struct(
-        F.concat(acc["ends"], F.array(acc["at"] + 1 + F.length(x))).alias("ends"), (acc["at"] + 1 + F.length(x)).alias("at")), lambda acc: acc["ends"])
-    own = (parsed.where("conv_id is not null and turn is not null").select("conv_id", "turn", norms.alias("norms"))
-           .join(quoted, "conv_id").select("conv_id", "turn", "lengths", F.array_join("norms", " ").alias("whole"), ends.alias("ends"))
-           .withColumn("starts", F.concat(F.array(F.lit(0)), F.transform("ends", lambda e: e + 1))))
-    runs = own.select("conv_id", "turn", "whole", "starts", "ends", F.explode("lengths").alias("n")).where(F.length("whole") >= F.col("n"))
-    found = runs.select("conv_id", "turn", "whole", "n", F.explode(F.array_intersect(
-        F.transform("starts", lambda s: s + F.col("n")), "ends")).alias("end"))
-    return found.select("conv_id", _key(F.substr("whole", F.col("end") - F.col("n") + 1, F.col("n"))).alias("hash"),
-                        F.col("turn").alias("source")).distinct()
+    own = (parsed.where("conv_id is not null and turn is not null and own_text <> ''").select("conv_id", "turn", "own_text")
+           .join(quoted, "conv_id"))
+    schema = T.StructType([own.schema["conv_id"], T.StructField("hash", T.BinaryType()), T.StructField("source", T.LongType())])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_pieces(batches, 256):
+            found = [line_runs(t, np.array(n)) for t, n in zip(b.column("own_text").to_pylist(), b.column("lengths").to_pylist())]
+            of = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            yield pa.RecordBatch.from_arrays([b.column("conv_id").take(of), pa.array([h for x in found for h in x], pa.binary()), b.column("turn").take(of)],
+                                             schema.fieldNames())
+
+    return own.mapInArrow(hashed, schema).distinct()
 
 
 def _nearest(quotes: DataFrame, sources: DataFrame, span: int = 4096) -> DataFrame:

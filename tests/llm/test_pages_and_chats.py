@@ -151,3 +151,28 @@ def test_reply_order(spark):
     got = [(r.conv_id, r.turn, r.own_text, r.reply_depth, r.position) for r in quotation.reply_order(quotation.link_quotes(chat)).collect()]
     assert collections.Counter(got) == collections.Counter(want)
     assert [w[1] for w in want if w[0] == 1] != sorted(w[1] for w in want if w[0] == 1)
+
+
+def test_long_messages_are_parsed_in_proportion_to_their_lines(spark):
+    """A message of very many paragraphs and its reply, which quotes two neighbouring ones."""
+    import time
+    long = "\n\n".join(f"paragraph number {i}" for i in range(60_000))
+    reply = "> paragraph number 41234\n> paragraph number 41235\n\nYes.\n\n" + "\n\n".join(f"> nothing {i}\n\nno {i}" for i in range(5_000))
+    chat = spark.createDataFrame([(1, 0, "user", long), (1, 1, "user", "between"), (1, 2, "assistant", reply)],
+                                 "conv_id long, turn int, role string, text string")
+    began = time.time()
+    got = {r.turn: (r.n_quotes, r.n_linked, r.parent_turn) for r in quotation.link_quotes(chat).collect()}
+    assert got == {0: (0, 0, None), 1: (0, 0, 0), 2: (5001, 1, 0)}
+    assert time.time() - began < 60
+
+
+def test_runs_of_lines_of_the_wanted_lengths():
+    import hashlib
+    text = "One two\n\nthree, FOUR\nfive\n\n!!!\nsix"
+    lines = ["one two", "three four", "five", "six"]
+    runs = {" ".join(lines[i:j]) for i in range(4) for j in range(i + 1, 5)}
+    import numpy as np
+    for n in range(30):
+        want = {hashlib.md5(x.encode()).digest() for x in runs if len(x) == n}
+        assert set(quotation.line_runs(text, np.array([n]))) == want
+    assert len(quotation.line_runs(text, np.arange(40))) == len(runs) and quotation.line_runs("", np.array([3])) == []
