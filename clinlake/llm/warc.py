@@ -70,7 +70,7 @@ class Archive:
 
     def records(self) -> DataFrame:
         """``(record)``: the bytes of every WARC record.  A response without a stored payload would be missing its bytes and fails."""
-        responses = (self.headers().where("kind = 'response'").hint("shuffle_hash")
+        responses = (self.headers().where("kind = 'response'")
                      .join(self.payloads().withColumnRenamed("payload_key", "key"), F.col("payload_key") == F.col("key"), "left")
                      .select(F.concat("header", F.when(F.col("payload").isNotNull(), F.col("payload")).otherwise(
                          F.raise_error(F.lit("a stored payload is missing")).cast("binary")), F.encode(F.lit(END), "utf-8")).alias("record")))
