@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.functions import argmax_array
-from clinlake.operators.ranking import running_total
+from clinlake.operators.ranking import in_buckets, running_total, totals_within
 from clinlake.session import materialize
 
 
@@ -108,15 +108,50 @@ def auc_roc(df: DataFrame, score: str, label: str, positive=1.0, n_buckets: int
     ``auc = sum(pos * (neg_below + neg/2)) / (P * N)``.  Equals
     ``BinaryClassificationMetrics`` with no binning.
     """
-    y = F.col(label).cast("double") == F.lit(float(positive))
     w = F.col(weight) if weight else F.lit(1).cast("long")
-    g = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-         .groupBy(F.col(score).cast("double").alias("__s"))
-         .agg(F.sum(F.when(y, w).otherwise(0)).alias("__pos"), F.sum(F.when(y, 0).otherwise(w)).alias("__neg")))
-    r = running_total(g, ["__s"], ["__neg"], n_buckets=n_buckets, prefix="__cum")
+    g = _steps(df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(score).cast("double").alias("__s"), F.col(label).alias("__y"), w.alias("__n")), positive)
+    return _area(running_total(g, ["__s"], ["__neg"], n_buckets=n_buckets, prefix="__cum"))
+
+
+def _steps(rows: DataFrame, positive=1.0, *by: str) -> DataFrame:
+    """Positives and negatives of each score (and of each of ``by``)."""
+    y = F.col("__y").cast("double") == F.lit(float(positive))
+    return rows.groupBy(*by, "__s").agg(F.sum(F.when(y, F.col("__n")).otherwise(0)).alias("__pos"),
+                                        F.sum(F.when(y, 0).otherwise(F.col("__n"))).alias("__neg"))
+
+
+def _area(ranked: DataFrame) -> DataFrame:
     below = (F.col("__cum__neg") - F.col("__neg")).cast("double")
     area = F.sum(F.col("__pos").cast("double") * (below + F.col("__neg").cast("double") / 2))
-    return r.agg(F.try_divide(area, F.sum("__pos").cast("double") * F.sum("__neg").cast("double")).alias("auc"))
+    return ranked.agg(F.try_divide(area, F.sum("__pos").cast("double") * F.sum("__neg").cast("double")).alias("auc"))
+
+
+def roc_curve(df: DataFrame, score: str, label: str, positive=1.0, drop_collinear: bool = True) -> DataFrame:
+    """``(threshold, fpr, tpr)``: the points of the ROC curve, one per distinct
+    score (rows at or above it count as positive), and the origin, whose
+    threshold is infinity.
+
+    ``drop_collinear`` leaves out points on a straight line between their
+    neighbours; the area does not change.  Counts up to each score are running
+    totals, and each point meets the next one by its rank, so no task sees the
+    whole curve.  Rows without a score or label are left out; rates without
+    any row of their class are NULL.
+    """
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(score).cast("double").alias("__s"), F.col(label).alias("__y"), F.lit(1).cast("long").alias("__n"))
+    steps = _steps(rows, positive).withColumn("__down", -F.col("__s")).withColumn("__one", F.lit(1).cast("long"))
+    r = running_total(steps, ["__down"], ["__one", "__pos", "__neg"], prefix="upto", total_prefix="all")
+    if drop_collinear:
+        r = materialize(r, "roc-steps")
+        after = r.select((F.col("upto__one") - 1).alias("__at"), F.col("__pos").alias("__next_pos"), F.col("__neg").alias("__next_neg"))
+        r = r.join(after, r["upto__one"] == after["__at"], "left")
+        turns = F.col("__pos") * F.col("__next_neg") != F.col("__neg") * F.col("__next_pos")
+        r = r.where(F.col("__at").isNull() | turns)
+    rate = lambda n: F.try_divide(F.col(f"upto__{n}").cast("double"), F.col(f"all__{n}").cast("double"))
+    points = r.select(F.col("__s").alias("threshold"), rate("neg").alias("fpr"), rate("pos").alias("tpr"))
+    origin = df.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return origin.unionByName(points)
 
 
 def binary_scorecard(df: DataFrame, label: str, prediction: str, score: str, digits: int = 4) -> DataFrame:
@@ -124,12 +159,15 @@ def binary_scorecard(df: DataFrame, label: str, prediction: str, score: str, dig
     (precision is support-weighted).
 
     The predictions are read once: they are counted per (label, prediction,
-    score), that table is stored, and all three figures come from it.
+    score), and these counts are stored once, in buckets of the score; all
+    three figures come from there.
     """
-    cells = materialize(df.groupBy(F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction"),
-                                   F.col(score).cast("double").alias("score")).agg(F.count(F.lit(1)).alias("n")), "score-cells")
+    cells = in_buckets(df.groupBy(F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction"),
+                                  F.col(score).cast("double").alias("__s")).agg(F.count(F.lit(1)).alias("n")), ["__s"])
     m = classification_metrics(cells, "label", "prediction", "n")
-    auc = auc_roc(cells, "score", "label", weight="n").first().auc  # bounded: one row
+    known = cells.where("__s is not null and label is not null").select("__b", "__s", F.col("label").alias("__y"), F.col("n").alias("__n"))
+    ranked = totals_within(_steps(known, 1.0, "__b"), ["__s"], ["__neg"], prefix="__cum")
+    auc = _area(ranked).first().auc  # bounded: one row
     return m.select(F.round("accuracy", digits).alias("accuracy"),
                     F.round("weighted_precision", digits).alias("precision"),
                     F.round(F.lit(auc).cast("double"), digits).alias("roc_auc"))

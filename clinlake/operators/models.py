@@ -111,12 +111,36 @@ def leaderboard(spark, model: TrainValidationSplitModel) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+class _Lean:
+    """An estimator whose models leave their training summary behind.  The
+    summary holds the session, and Spark cannot send a session that has
+    observed metrics (``profile.observe_size``) to the scoring tasks."""
+
+    def _fit(self, dataset):
+        model = super()._fit(dataset)
+        if model.hasSummary:
+            model._java_obj.setSummary(dataset.sparkSession.sparkContext._jvm.scala.Option.empty())
+        return model
+
+
+class _Logistic(_Lean, LogisticRegression):
+    pass
+
+
+class _Forest(_Lean, RandomForestClassifier):
+    pass
+
+
+class _Perceptron(_Lean, MultilayerPerceptronClassifier):
+    pass
+
+
 def logistic(**params) -> LogisticRegression:
-    return LogisticRegression(**params)
+    return _Logistic(**params)
 
 
 def forest(seed: int = 42, **params) -> RandomForestClassifier:
-    return RandomForestClassifier(seed=seed, **params)
+    return _Forest(seed=seed, **params)
 
 
 def tree(max_bins: int = 32, seed: int = 42, **params) -> DecisionTreeClassifier:
@@ -126,12 +150,10 @@ def tree(max_bins: int = 32, seed: int = 42, **params) -> DecisionTreeClassifier
 def perceptron(layers: Sequence[int], max_iter: int = 100, seed: int = 42, **params) -> MultilayerPerceptronClassifier:
     """Feed-forward classifier (sigmoid hidden layers, softmax output, L-BFGS).
 
-    The weights (and L-BFGS state) live on the driver, so very wide inputs are
-    first narrowed with a distributed per-feature selection
-    (``features.narrow``; PCA would need a width x width covariance matrix on
-    the driver).
+    The weights (and L-BFGS state) live on the driver.  For very wide inputs
+    use ``operators.network``, or ask for ``features.narrow`` first.
     """
-    return MultilayerPerceptronClassifier(layers=list(layers), maxIter=max_iter, seed=seed, **params)
+    return _Perceptron(layers=list(layers), maxIter=max_iter, seed=seed, **params)
 
 
 def stable(train: DataFrame, name: str = "train-input") -> DataFrame:

@@ -48,7 +48,12 @@ def observe_size(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """``df`` with a size probe on it: the job that reads the returned frame
     to its end also measures it, so the probe costs no job of its own.  The
     figures are those of ``table_size``.  Every column counts, so all of them
-    are read, whether the job needs them or not."""
+    are read, whether the job needs them or not.
+
+    Spark keeps observed metrics in the session, which its models with a
+    training summary hold and then cannot send to tasks.  The estimators of
+    ``operators.models`` drop the summary; drop it from others before scoring
+    in a session that observes."""
     probe = Observation(f"{name}-{uuid.uuid4().hex}")
     bytes_ = F.coalesce(F.sum(row_width(df.schema)), F.lit(0)).cast("long")
     return df.observe(probe, F.count(F.lit(1)).alias("n_rows"), bytes_.alias("n_bytes")), probe

@@ -6,10 +6,10 @@ rows are range-partitioned by (group, order columns) into buckets and stored
 once in the shared folder with their bucket number; one small aggregate gives
 each bucket's total, a window over the bucket totals gives each bucket's
 offset, and the per-row running total is a window *within* the bucket plus
-that offset.  There is one path for every size: the number of buckets follows
-the row count, every step is distributed, and the only window over whole
-groups reads one row per bucket.  Exact medians, exact ROC area and seeded
-shuffle ranks are built on it.
+that offset.  The number of buckets follows the row count, every step is
+distributed, and the only window over whole groups reads one row per bucket.
+Exact medians and quantiles, ROC curves and their area, row numbers and
+seeded shuffle ranks are built on it.
 """
 
 from __future__ import annotations
@@ -19,18 +19,37 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinlake.session import derived_path, discard, materialize
+from clinlake.session import derived_path, discard
 
 # Rows that one bucket's window should hold.
 ROWS_PER_BUCKET = 250_000
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Buckets for the rows of ``df`` (a stored table: the count reads its
-    footers): one per ``ROWS_PER_BUCKET`` rows, and at least one per shuffle
-    partition of the session."""
-    tasks = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return max(tasks, -(-df.count() // ROWS_PER_BUCKET))
+def in_buckets(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+    """``df`` range-partitioned by ``partition_cols`` and ``order_cols`` and
+    stored once, with its bucket number as ``__b``.
+
+    ``n_buckets`` defaults to the session's shuffle partitions; only where
+    the stored buckets hold more than ``ROWS_PER_BUCKET`` rows on average (the
+    footers tell) is the copy cut into more of them.
+    Rows equal on all these columns share a bucket.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in (*partition_cols, *order_cols)]
+    spark = df.sparkSession
+
+    def store(frame: DataFrame, n: int) -> str:
+        path = derived_path(spark, "rank-buckets")
+        frame.repartitionByRange(n, *keys).withColumn("__b", F.spark_partition_id()).write.parquet(path)
+        return path
+
+    tasks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = store(df, n_buckets or tasks)
+    rows = spark.read.parquet(path).count() if n_buckets is None else 0  # reads the footers
+    if rows > tasks * ROWS_PER_BUCKET:
+        first = path
+        path = store(spark.read.parquet(first).drop("__b"), -(-rows // ROWS_PER_BUCKET))
+        discard(spark, first)
+    return spark.read.parquet(path)
 
 
 def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequence[str],
@@ -43,23 +62,18 @@ def running_total(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequenc
     Rows equal on all order columns are ordered arbitrarily, and share a
     bucket.  ``total_prefix`` also appends ``<total_prefix><w>``, the group's
     grand total, taken from the same small per-bucket table.  The input is
-    stored in buckets (a copy that only served to count it goes again).  ``n_buckets`` defaults to a count that
-    follows the size (``bucket_count``).
+    stored in buckets, once (see ``in_buckets``).
     """
+    b = in_buckets(df, order_cols, partition_cols, n_buckets)
+    return totals_within(b, order_cols, weight_cols, partition_cols, prefix, total_prefix)
+
+
+def totals_within(b: DataFrame, order_cols: Sequence[str], weight_cols: Sequence[str], partition_cols: Sequence[str] = (),
+                  prefix: str = "cum_", total_prefix: str | None = None) -> DataFrame:
+    """``running_total`` of rows that are in buckets (``__b``) of these columns already; ``__b`` goes."""
     order_cols, weight_cols, partition_cols = list(order_cols), list(weight_cols), list(partition_cols)
-    columns = df.columns
-    spark, first = df.sparkSession, None
-    if n_buckets is None:
-        first = derived_path(spark, "rank-input")
-        df.write.parquet(first)
-        df = spark.read.parquet(first)
-        n_buckets = bucket_count(df)
+    columns = [c for c in b.columns if c != "__b"]
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    ranged = df.repartitionByRange(n_buckets, *[F.col(c).asc_nulls_first() for c in partition_cols], *order)
-    b = materialize(ranged.withColumn("__b", F.spark_partition_id()), "rank-buckets")
-    if first:
-        discard(spark, first)
-
     totals = b.groupBy(*partition_cols, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weight_cols])
     before = Window.partitionBy(*partition_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*partition_cols)

@@ -8,6 +8,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinlake.functions import hash_bucket, hash_order_key
 from clinlake.operators.ranking import running_total
@@ -57,9 +58,14 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42, out: str = "shuffle_ra
     """Seeded random order as a 1-based rank column.
 
     Row order has no meaning in a DataFrame, so a shuffle is a rank by a
-    seeded hash of the key (ties broken by the key).  The rank is computed
-    with distributed running totals: no single-partition window.
+    seeded hash of the key (ties broken by the key).  Rows of equal keys are
+    told apart by a hash of their other columns, and rows without a key are
+    dealt by that hash alone, so neither crowds one bucket and every run gives
+    the same ranks (rows equal in all columns are interchangeable).  The rank
+    is computed with distributed running totals: no single-partition window.
     """
-    keyed = df.withColumn("__h", hash_order_key(key, seed)).withColumn("__one", F.lit(1).cast("long"))
-    ranked = running_total(keyed, ["__h", key], ["__one"], n_buckets=n_buckets, prefix="__rank")
-    return ranked.withColumnRenamed("__rank__one", out).drop("__h", "__one")
+    other = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)])
+    order = F.when(F.col(f"`{key}`").isNotNull(), hash_order_key(key, seed)).otherwise(F.pmod(other, F.lit(1 << 60)))
+    keyed = df.withColumns({"__h": order, "__other": other, "__one": F.lit(1).cast("long")})
+    ranked = running_total(keyed, ["__h", key, "__other"], ["__one"], n_buckets=n_buckets, prefix="__rank")
+    return ranked.withColumnRenamed("__rank__one", out).drop("__h", "__other", "__one")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clinlake.functions import argmax_array
 from clinlake.operators.evaluate import (auc_roc, binary_scorecard, classification_metrics,
-                                         classification_report, confusion_matrix, misclassified)
+                                         classification_report, confusion_matrix, misclassified, roc_curve)
 from clinlake.plans.standins import rule_predictions, table
 
 # Class names of the rule-based binary label.
@@ -48,3 +48,9 @@ def q_misclassified_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_argmax_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
     return emb.select("vec_id", argmax_array("embedding").alias("argmax"))
+
+
+def q_roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of the ROC curve, without those on straight lines."""
+    preds = rule_predictions(table(spark, sf_dir, "orders")).withColumn("score", F.floor(F.col("score") / 100))
+    return roc_curve(preds, "score", "label")

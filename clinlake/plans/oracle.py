@@ -159,8 +159,8 @@ def _stroke_indexed() -> str:
   si AS (SELECT sa.*, {codes} FROM sa {joins})""")
 
 
-def _hash_bucket(key: str, seed: int = 42) -> str:
-    return f"(('0x' || substr(md5('{seed}:' || coalesce(CAST({key} AS VARCHAR), '<null>')), 1, 8))::BIGINT % 10000)"
+def _hash_bucket(key: str, seed: int = 42, modulus: int = 10000) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || coalesce(CAST({key} AS VARCHAR), '<null>')), 1, 8))::BIGINT % {modulus})"
 
 
 def _double_list(cols: list[str]) -> str:
@@ -366,6 +366,14 @@ def _model_sql() -> dict[str, str]:
             SELECT RecordID, CAST(in_hospital_death AS DOUBLE) AS label, 2 AS n_classes, {facts}, true AS score_is_positive
             FROM clean WHERE {_hash_bucket('RecordID')} >= 8000""",
         "tree_predictions": waveform,
+        "boosted_predictions": f"""
+            SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST((SELECT max(label) + 1 FROM embeddings) AS INTEGER) AS n_classes, {facts}
+            FROM embeddings WHERE {_hash_bucket('vec_id')} >= 7000""",
+        "out_of_fold_predictions": f"""WITH {STROKE_SRC}
+            SELECT id, CAST({_hash_bucket('id', 42, 3)} AS INTEGER) AS fold, CAST(stroke AS DOUBLE) AS label, 2 AS n_classes, {facts} FROM s""",
+        "fold_split": f"""WITH {STROKE_SRC}
+            SELECT id, key, CAST({_hash_bucket('key', 42, 3)} AS INTEGER) AS fold FROM (SELECT id, CASE WHEN id % 50 <> 0 THEN id END AS key FROM s)""",
+        "fold_leaderboard": _grid_sql({"regParam": [0.01, 0.1], "maxIter": [5]}),
         "multinomial_predictions": waveform,
         "mlp_predictions": f"""
             SELECT CAST(label AS DOUBLE) AS label, CAST(count(*) AS BIGINT) AS n, 10 AS n_classes, 0.0::DOUBLE AS probability_gap,
@@ -539,6 +547,23 @@ def _more_sql() -> dict[str, str]:
                    round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
                    CAST(sum(support) AS BIGINT) FROM st""",
         "auc_roc": f"WITH {AUC} SELECT round(auc, 6) AS auc FROM auc",
+        "roc_curve": f"""WITH {PREDS},
+            g AS (SELECT floor(score / 100) AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg FROM p GROUP BY 1),
+            r AS (SELECT *, sum(pos) OVER u AS tp, sum(neg) OVER u AS fp, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg,
+                         sum(pos) OVER () AS p_all, sum(neg) OVER () AS n_all
+                  FROM g WINDOW w AS (ORDER BY s DESC), u AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING))
+            SELECT 'inf'::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+            UNION ALL SELECT CAST(s AS DOUBLE), CAST(fp AS DOUBLE) / CAST(n_all AS DOUBLE), CAST(tp AS DOUBLE) / CAST(p_all AS DOUBLE)
+            FROM r WHERE next_pos IS NULL OR pos * next_neg <> neg * next_pos""",
+        "exact_quantiles": " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS probability, CAST(quantile_disc({c}, {p}) AS DOUBLE) AS value FROM orders"
+            for c in ("o_totalprice", "o_custkey") for p in [i / 10 for i in range(11)]),
+        "quantile_bins": """
+            WITH e AS (SELECT list_distinct(quantile_disc(o_totalprice, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875])) AS a,
+                              list_distinct(quantile_disc(o_custkey, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875])) AS b FROM orders)
+            SELECT o_orderkey, CAST(len(list_filter(a, lambda x: x <= o_totalprice)) AS INTEGER) AS o_totalprice_bin,
+                   CAST(len(list_filter(b, lambda x: x <= o_custkey)) AS INTEGER) AS o_custkey_bin
+            FROM orders, e""",
         "binary_scorecard": f"""WITH {CLASS_STATS},
             {AUC.replace(PREDS + ',', '')}
             SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), 4) AS accuracy,

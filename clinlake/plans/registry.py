@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinlake.plans import cohort, dictionary, evaluation, icu, image, profile, scans, stroke, waveform
+from clinlake.plans import cohort, dictionary, evaluation, icu, image, profile, scans, selection, stroke, waveform
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,16 @@ def queries() -> dict[str, Query]:
         "binary_scorecard": evaluation.q_binary_scorecard,
         "misclassified_rows": evaluation.q_misclassified_rows,
         "argmax_array": evaluation.q_argmax_array,
+        "roc_curve": evaluation.q_roc_curve,
+        # quantiles and k-fold selection
+        "exact_quantiles": selection.q_exact_quantiles,
+        "quantile_bins": selection.q_quantile_bins,
+        "fold_split": selection.q_fold_split,
+        "fold_leaderboard": selection.q_fold_leaderboard,
+        "out_of_fold_predictions": selection.q_out_of_fold_predictions,
+        # boosting for several classes
+        "boosted_predictions": selection.q_boosted_predictions,
+        "boosted_metrics": selection.q_boosted_metrics,
         # models (SQL checks what must hold of every scored row; metric rows are held against Spark's evaluators)
         "logistic_predictions": stroke.q_logistic_predictions,
         "forest_predictions": stroke.q_forest_predictions,

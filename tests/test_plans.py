@@ -82,4 +82,18 @@ def test_long_rankings_split_into_more_buckets(spark, monkeypatch):
     df = spark.range(5000).withColumn("one", F.lit(1).cast("long"))
     out = ranking.running_total(df, ["id"], ["one"])
     assert out.where("cum_one <> id + 1").count() == 0
-    assert ranking.bucket_count(df) == 50
+    assert ranking.in_buckets(df, ["id"]).select("__b").distinct().count() == 50
+
+
+def test_a_ranking_is_stored_once(spark):
+    """One range partitioning, one table."""
+    from clinlake import session
+    from clinlake.operators import evaluate, ranking
+    own = session._OWN.setdefault(spark.sparkContext.applicationId, [])
+    before = len(own)
+    df = spark.range(5000).select("id", (F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 3 % 2).cast("double").alias("prediction"),
+                                  (F.col("id") % 97).cast("double").alias("score"), F.lit(1).cast("long").alias("one"))
+    ranking.running_total(df, ["id"], ["one"]).count()
+    assert len(own) == before + 1
+    evaluate.binary_scorecard(df, "label", "prediction", "score").collect()
+    assert len(own) == before + 2

@@ -60,3 +60,12 @@ def test_null_keys_stay(spark):
     assert sorted(p.where("k is null").count() for p in parts) == [0, 20]
     tagged = split_label(df, "k", (0.8, 0.2))
     assert tagged.where("part = 'train'").count() == parts[0].count()
+
+
+def test_equal_and_missing_keys_are_shuffled_too(spark):
+    """A third of the rows share a key, a third have none: no bucket holds them all, and ranks repeat."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), F.col("id").alias("v"))
+    runs = [{r.v: r.shuffle_rank for r in shuffle_rows(df.repartition(n), "k", seed=5).collect()} for n in (2, 9)]
+    assert runs[0] == runs[1] and sorted(runs[0].values()) == list(range(1, 3001))
+    missing = [runs[0][v] for v in range(3000) if v % 3 == 2]
+    assert 0.4 < sum(r <= 1500 for r in missing) / len(missing) < 0.6
