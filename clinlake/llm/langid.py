@@ -271,16 +271,19 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     repeated rows give repeated results and an empty table an empty one.
     """
     t = F.col(f"`{text_col}`")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.when(has_letter(t), t.cast("string")).alias("text"))
+    # A text column travels once, inside its row.
+    inside = docs.columns.index(text_col) if docs.schema[text_col].dataType == T.StringType() else None
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), has_letter(t).alias("known"),
+                       *([] if inside is not None else [t.cast("string").alias("text")]))
     schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
         for b in text.pieces(batches):
-            known = b.column("text").is_valid().to_numpy(zero_copy_only=False)
-            p = model.scores(text.utf8(b.column("text")))
+            known = b.column("known").to_numpy(zero_copy_only=False)
+            texts = text.utf8(b.column("text") if inside is None else b.column("row").field(inside))
+            p = model.scores([t if k else b"" for t, k in zip(texts, known)])
             best = np.where(known, p.argmax(axis=1), len(names) - 1)
             score = np.where(known, p.max(axis=1), 0.0)
             yield pa.RecordBatch.from_arrays(
