@@ -158,34 +158,41 @@ class SegmentEncoder:
         missing = np.flatnonzero(place < 0)
         if len(missing):
             distinct, first = np.unique(keys[missing], return_index=True)
-            bodies = [buf[starts[i]:ends[i]].tobytes() for i in missing[first].tolist()]
-            ids = self._ids(bodies)
-            good = self._check([b.decode() for b in bodies], ids) if self._check else [True] * len(ids)
-            size = np.array([len(x) for x in ids], dtype=np.int64)
-            self._at = np.append(self._at, len(self._flat) + np.cumsum(size) - size)
+            flat, begin, size, good = self._ids(buf, starts[missing[first]], ends[missing[first]])
+            self._at = np.append(self._at, len(self._flat) + begin)
             self._size = np.append(self._size, size)
-            self._good = np.append(self._good, np.array(good, dtype=bool))
-            self._flat = np.append(self._flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())))
+            self._good = np.append(self._good, good)
+            self._flat = np.append(self._flat, flat)
             self._insert(distinct)
             place[missing] = self._find(keys[missing])
         return place
 
-    def _ids(self, bodies: list[bytes]) -> list[list[int]]:
-        out: list = [None] * len(bodies)
-        joint = []
-        if self._sizes is not None:
-            # Behind a letter or stop, the space in front of the next one is a split.
-            joint = [i for i, b in enumerate(bodies) if len(b) > 1 and b[0] == 0x20 and _GRAPHIC[b[-1]] and b[1] != 0x20]
-            groups = [joint[k:k + _JOIN] for k in range(0, len(joint), _JOIN)]
-            for group, ids in zip(groups, self._encode([b"".join([bodies[i] for i in g]).decode() for g in groups])):
-                upto = np.append(0, np.cumsum(self._sizes[ids]))
-                edge = np.append(0, np.cumsum([len(bodies[i]) for i in group]))
-                cut = np.searchsorted(upto, edge).tolist()
-                if upto[cut].tolist() != edge.tolist():
-                    raise RuntimeError("a token spans a split: the split rule does not fit the tokenizer")
-                for i, lo, hi in zip(group, cut[:-1], cut[1:]):
-                    out[i] = ids[lo:hi]
-        alone = [i for i in range(len(bodies)) if out[i] is None]
-        for i, ids in zip(alone, self._encode([bodies[i].decode() for i in alone])):
-            out[i] = ids
-        return out
+    def _ids(self, buf, starts, ends) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of segments, where each one's begin among them, how many they are, and whether they stood the check."""
+        begin, size, good = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64), np.ones(len(starts), bool)
+        # Behind a letter or stop, the space in front of the next one is a split.
+        joint = np.zeros(len(starts), bool) if self._sizes is None or self._check else (
+            (ends - starts > 1) & (buf[starts] == 0x20) & _GRAPHIC[buf[ends - 1]] & (buf[starts + 1] != 0x20))
+        some = np.flatnonzero(joint)
+        edge = np.append(0, np.cumsum((ends - starts)[some]))
+        whole = buf[np.repeat(starts[some] - edge[:-1], np.diff(edge)) + np.arange(edge[-1])].tobytes()
+        groups = np.append(edge[:-1:_JOIN], edge[-1]).tolist()
+        flat = _flat(self._encode([whole[lo:hi].decode() for lo, hi in zip(groups[:-1], groups[1:])]))
+        if len(some):
+            upto = np.append(0, np.cumsum(self._sizes[flat]))
+            cut = np.searchsorted(upto, edge)
+            if upto[-1] != edge[-1] or (upto[cut] != edge).any():
+                raise RuntimeError("a token spans a split: the split rule does not fit the tokenizer")
+            begin[some], size[some] = cut[:-1], np.diff(cut)
+        alone = np.flatnonzero(~joint)
+        bodies = [buf[lo:hi].tobytes().decode() for lo, hi in zip(starts[alone].tolist(), ends[alone].tolist())]
+        ids = self._encode(bodies)
+        size[alone] = [len(x) for x in ids]
+        begin[alone] = len(flat) + np.cumsum(size[alone]) - size[alone]
+        if self._check:
+            good[alone] = self._check(bodies, ids)
+        return np.append(flat, _flat(ids)), begin, size, good
+
+
+def _flat(ids: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(ids), np.uint32, sum(map(len, ids)))
