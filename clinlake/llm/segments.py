@@ -19,6 +19,8 @@ from clinlake.llm import text
 
 SLICE_BYTES = 1 << 20
 CAPACITY = 500_000
+#: Segments that the library encodes in one call; its results are much larger than the ids kept of them.
+CALL = 4096
 _JOIN = 64
 
 U64 = np.uint64
@@ -177,21 +179,26 @@ class SegmentEncoder:
         edge = np.append(0, np.cumsum((ends - starts)[some]))
         whole = buf[np.repeat(starts[some] - edge[:-1], np.diff(edge)) + np.arange(edge[-1])].tobytes()
         groups = np.append(edge[:-1:_JOIN], edge[-1]).tolist()
-        flat = _flat(self._encode([whole[lo:hi].decode() for lo, hi in zip(groups[:-1], groups[1:])]))
+        strings = [whole[lo:hi].decode() for lo, hi in zip(groups[:-1], groups[1:])]
+        step = CALL // _JOIN
+        flat = np.concatenate([np.empty(0, np.uint32), *[_flat(self._encode(strings[i:i + step])) for i in range(0, len(strings), step)]])
         if len(some):
             upto = np.append(0, np.cumsum(self._sizes[flat]))
             cut = np.searchsorted(upto, edge)
             if upto[-1] != edge[-1] or (upto[cut] != edge).any():
                 raise RuntimeError("a token spans a split: the split rule does not fit the tokenizer")
             begin[some], size[some] = cut[:-1], np.diff(cut)
-        alone = np.flatnonzero(~joint)
-        bodies = [buf[lo:hi].tobytes().decode() for lo, hi in zip(starts[alone].tolist(), ends[alone].tolist())]
-        ids = self._encode(bodies)
-        size[alone] = [len(x) for x in ids]
+        alone, found = np.flatnonzero(~joint), [flat]
+        for i in range(0, len(alone), CALL):
+            part = alone[i:i + CALL]
+            bodies = [buf[lo:hi].tobytes().decode() for lo, hi in zip(starts[part].tolist(), ends[part].tolist())]
+            ids = self._encode(bodies)
+            size[part] = [len(x) for x in ids]
+            if self._check:
+                good[part] = self._check(bodies, ids)
+            found.append(_flat(ids))
         begin[alone] = len(flat) + np.cumsum(size[alone]) - size[alone]
-        if self._check:
-            good[alone] = self._check(bodies, ids)
-        return np.append(flat, _flat(ids)), begin, size, good
+        return np.concatenate(found), begin, size, good
 
 
 def _flat(ids: list[list[int]]) -> np.ndarray:
