@@ -74,6 +74,23 @@ def default_parallelism(train: DataFrame, n_settings: int) -> int:
     return max(1, min(n_settings, cores, MAX_CONCURRENT_FITS))
 
 
+# Driver's heap for a node of a growing forest: the node, its split and statistics, and its place in the model (an estimate).
+NODE_BYTES = 400
+
+
+def forest_bytes(n_rows: int, spec: Mapping[str, Sequence]) -> int:
+    """About what the largest forest of a grid takes on the driver, where Spark grows the trees."""
+    leaves = min(2 ** max(spec["maxDepth"]), -(-n_rows // max(1, min(spec.get("minInstancesPerNode", [1])))))
+    return max(spec["numTrees"]) * 2 * max(1, leaves) * NODE_BYTES
+
+
+def forest_parallelism(train: DataFrame, spec: Mapping[str, Sequence]) -> int:
+    """Concurrent fits of a grid of forests: ``default_parallelism``, and no more
+    than half of the driver's heap holds of the largest one."""
+    heap = train.sparkSession.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    return max(1, min(default_parallelism(train, grid_size(spec)), heap // 2 // forest_bytes(train.count(), spec)))
+
+
 def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
          features: str = "features", train_ratio: float = 0.8, parallelism: int | None = None,
          seed: int = 42, metric: str = "f1", stabilize: bool = True) -> TrainValidationSplitModel:

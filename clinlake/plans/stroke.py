@@ -9,7 +9,7 @@ from clinlake.functions import to_int
 from clinlake.operators.clean import age_bands, constant_fill, interaction_features, tolerant_int
 from clinlake.operators.evaluate import binary_scorecard, scored_facts
 from clinlake.operators.features import as_array, assemble, index_categories
-from clinlake.operators.models import LR_GRID, RF_GRID, forest, leaderboard, logistic, score, tune
+from clinlake.operators.models import LR_GRID, RF_GRID, forest, forest_parallelism, leaderboard, logistic, score, tune
 from clinlake.operators.profile import table_size
 from clinlake.operators.split import split_label
 from clinlake.plans.standins import stroke_table, table
@@ -121,7 +121,8 @@ def _tuned(spark: SparkSession, sf_dir: str, name: str, estimator, spec) -> tupl
     def search():
         if not found:
             train, test = stroke_train_test(spark, sf_dir)
-            found.extend((tune(estimator, spec, train, LABEL, seed=SEED, stabilize=False), test))
+            at_once = forest_parallelism(train, spec) if "numTrees" in spec else None
+            found.extend((tune(estimator, spec, train, LABEL, parallelism=at_once, seed=SEED, stabilize=False), test))
         return found
 
     preds = kept(spark, (f"{name}-predictions", sf_dir), lambda: score(*search(), ["id"], LABEL))
