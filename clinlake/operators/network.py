@@ -13,10 +13,15 @@ the steps of the window then run on these small matrices, exactly as plain
 descent would, and a second job moves every block of weights at once.  What
 reaches the driver is bounded by the window, the hidden widths and the
 classes, and does not grow with the rows or the features.
+
+Where all features fit in one block there is no wide side: one task holds the
+layer and takes step after step while the rows stream past it in file order,
+whole epochs a job.  The steps and results are the same.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Sequence
@@ -26,6 +31,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from clinlake.operators.batches import steps_per_epoch
 from clinlake.session import derived_path, discard, materialize
@@ -34,6 +41,10 @@ from clinlake.session import derived_path, discard, materialize
 BLOCK = 4096
 WINDOW = 1024
 CHUNK = 256
+# Uses of rows that one job streams past a layer of one block (an epoch at least),
+# and bytes of layers that are copied to score rows in several tasks.
+STREAM = 1 << 18
+COPIES = 1 << 28
 
 _STATE = "block int, w binary, v binary"
 
@@ -217,6 +228,7 @@ def fit(blocks: DataFrame, n_rows: int, plan: Plan, valid: DataFrame | None = No
     another table) after it, None without one.  The loss is the cross entropy.
     A window has at most ``window`` rows and ends with an epoch at the latest,
     but takes several epochs where the whole file has no more rows than that.
+    Where the plan has one block, rows stream past it instead (`_stream`).
     """
     if n_rows < 1:
         raise ValueError("a network needs at least one row to train on")
@@ -233,6 +245,11 @@ def fit(blocks: DataFrame, n_rows: int, plan: Plan, valid: DataFrame | None = No
                                                   pa.array([np.zeros_like(w).tobytes()], pa.binary())], ["block", "w", "v"])
 
     spark.range(0, plan.n_blocks, 1, plan.n_blocks).mapInArrow(first, _STATE).write.parquet(net.path)
+    if plan.n_blocks == 1:
+        at_once = max(1, STREAM // (steps * plan.batch))
+        for epoch in range(0, plan.epochs, at_once):
+            _stream(net, blocks, n_rows, epoch, min(plan.epochs, epoch + at_once), valid)
+        return net
     # Steps of a window: whole epochs where all rows fit in, else what fits in and stays in its epoch.
     whole = n_rows <= max(window, plan.batch)
     at, total = 0, plan.epochs * steps
@@ -270,22 +287,90 @@ def fit(blocks: DataFrame, n_rows: int, plan: Plan, valid: DataFrame | None = No
     return net
 
 
+def _stream(net: Network, blocks: DataFrame, n_rows: int, epoch: int, until: int, valid: DataFrame | None) -> None:
+    """Whole epochs of a network of one block in one job: descent is a chain of
+    steps, so one task holds the layer and the rows stream past it in the order
+    of their use.  Its memory is that of the layer and one Arrow batch."""
+    spark, plan, head = blocks.sparkSession, net.plan, net.head
+    steps = steps_per_epoch(n_rows, plan.batch)
+    begin, end = epoch * steps * plan.batch, until * steps * plan.batch
+    # Uses of row r are the positions r, r + n_rows, ... of the endless file.
+    use = F.lit(begin) + F.pmod(F.col("row") - begin, F.lit(n_rows))
+    uses = F.when(use < end, F.sequence(use, F.lit(end - 1).cast("long"), F.lit(n_rows).cast("long")))
+    every = (net.state(spark).select(F.lit(-1).cast("long").alias("at"), "w", "v")
+             .unionByName(blocks.withColumn("at", F.explode(uses)).select("at", "label", "x"), allowMissingColumns=True))
+    dealt = every.repartition(1).sortWithinPartitions("at").select("at", "label", "x", "w", "v")
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, losses, hits, w, v = epoch * steps, [], [], None, None
+        rest = np.empty((0, plan.n_features)), np.empty(0, np.int64)
+        for b in batches:
+            if w is None and len(b):  # the layer comes before the rows
+                w, v = (np.frombuffer(b.column(c)[0].as_py()).reshape(plan.n_features, -1).copy() for c in ("w", "v"))
+                b = b.slice(1)
+            if not len(b):
+                continue
+            x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1)
+            labels = b.column("label").to_numpy(zero_copy_only=False)
+            if len(rest[1]):
+                x, labels = np.concatenate([rest[0], x]), np.concatenate([rest[1], labels])
+            whole = len(x) // plan.batch * plan.batch
+            for lo in range(0, whole, plan.batch):
+                some, y, rate = x[lo:lo + plan.batch], labels[lo:lo + plan.batch], plan.rate_at(step)
+                back, p = head.step(some @ w, y, rate, plan.momentum)
+                v *= plan.momentum
+                v -= rate * (some.T @ back)
+                w += v
+                losses.append(-np.log(np.maximum(p[np.arange(plan.batch), y], 1e-300)).mean())
+                hits.append((p.argmax(axis=1) == y).mean())
+                step += 1
+                if step % steps == 0:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([step // steps - 1], pa.int32()), pa.array([float(np.mean(losses))]), pa.array([float(np.mean(hits))]),
+                         pa.array([pickle.dumps(head)], pa.binary()), pa.array([0], pa.int32()), pa.array([w.tobytes()], pa.binary()),
+                         pa.array([v.tobytes() if step == until * steps else None], pa.binary())], ["turn", "loss", "hits", "head", "block", "w", "v"])
+                    losses, hits = [], []
+            rest = x[whole:], labels[whole:]
+
+    path = derived_path(spark, "network-epochs")
+    dealt.mapInArrow(descend, "turn int, loss double, hits double, head binary, " + _STATE).write.parquet(path)
+    done = spark.read.parquet(path)
+    ends = [(r["turn"], r["loss"], r["hits"], pickle.loads(r["head"]))
+            for r in done.select("turn", "loss", "hits", "head").orderBy("turn").collect()]  # bounded: one small row an epoch
+    if [e[0] for e in ends] != [*range(epoch, until)]:
+        raise ValueError(f"the rows are not numbered from 0 to {n_rows - 1}")
+    checked = _measured(valid, done.select("block", "turn", "w"), plan, {turn: h for turn, _, _, h in ends}) if valid is not None else {}
+    net.history += [(turn, loss, hit, *checked.get(turn, (None, None))) for turn, loss, hit, _ in ends]
+    after = derived_path(spark, "network-layer")
+    done.where(F.col("turn") == until - 1).select("block", "w", "v").write.parquet(after)
+    discard(spark, net.path)
+    discard(spark, path)
+    net.path, net.head = after, ends[-1][3]
+
+
 def _sums(rows: DataFrame, layers: DataFrame, plan: Plan, heads: dict[int, Head], out: str, finish) -> DataFrame:
     """``finish`` of each chunk of rows and each layer version (``turn``): their
     products with the version's weights, summed over the feature blocks.  Rows
-    stream past the weights of their block, so any number of them is fine."""
+    stream past the weights of their block, so any number of them is fine; few
+    blocks are dealt to several tasks each, by chunk.  With one block there is
+    nothing to sum, and rows are finished where they are."""
     hidden = plan.hidden[0]
-    every = (layers.select("block", "turn", F.lit(0).alias("kind"), "w").unionByName(
-        rows.select("block", F.lit(1).alias("kind"), "row", "label", "x"), allowMissingColumns=True))
-    dealt = every.repartition(plan.n_blocks, "block").sortWithinPartitions("block", "kind", "turn", "row").select("block", "kind", "turn", "row", "label", "x", "w")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // plan.n_blocks
+    parts = max(1, min(tasks, COPIES // (len(heads) * min(plan.block, plan.n_features) * hidden * 8)))
+    here = F.col("block") * parts
+    every = (layers.select(F.explode(F.sequence(here, here + (parts - 1))).alias("deal"), "turn", F.lit(0).alias("kind"), "w").unionByName(
+        rows.select((here + F.pmod(F.floor(F.col("row") / CHUNK), F.lit(parts))).cast("int").alias("deal"), F.lit(1).alias("kind"), "row", "label", "x"),
+        allowMissingColumns=True))
+    dealt = every.repartition(plan.n_blocks * parts, "deal").sortWithinPartitions("deal", "kind", "turn", "row").select("deal", "kind", "turn", "row", "label", "x", "w")
+    ready = to_arrow_schema(T.StructType.fromDDL(out)) if plan.n_blocks == 1 else None
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, weights = None, {}
+        deal, weights = None, {}
         for b in batches:
-            kinds, of = b.column("kind").to_numpy(), b.column("block").to_numpy()
+            kinds, of = b.column("kind").to_numpy(), b.column("deal").to_numpy()
             for k in np.unique(of):  # ascending, as the rows
-                if k != block:
-                    block, weights = k, {}
+                if k != deal:
+                    deal, weights = k, {}
                 mine = of == k
                 for i in np.flatnonzero(mine & (kinds == 0)).tolist():
                     weights[b.column("turn")[i].as_py()] = np.frombuffer(b.column("w")[i].as_py()).reshape(-1, hidden)
@@ -297,6 +382,10 @@ def _sums(rows: DataFrame, layers: DataFrame, plan: Plan, heads: dict[int, Head]
                     rid, label = b.column("row").take(some).to_numpy(), b.column("label").take(some).to_numpy(zero_copy_only=False)
                     for turn, w in weights.items():
                         z = x @ w
+                        if ready:
+                            done = finish(turn, rid.tolist(), label.astype(np.int64), heads[turn].forward(z)[1])
+                            yield pa.RecordBatch.from_pandas(done, ready, preserve_index=False)
+                            continue
                         chunk = rid // CHUNK
                         for c in np.unique(chunk):
                             at = chunk == c
@@ -305,6 +394,9 @@ def _sums(rows: DataFrame, layers: DataFrame, plan: Plan, heads: dict[int, Head]
                                  pa.array([label[at].astype(np.int64).tobytes()], pa.binary()), pa.array([z[at].tobytes()], pa.binary())],
                                 ["chunk", "turn", "rows", "labels", "z"])
 
+    if ready:
+        return dealt.mapInArrow(partial, out)
+
     def whole(parts: pd.DataFrame) -> pd.DataFrame:
         head = heads[int(parts["turn"].iloc[0])]
         total: dict = {}
@@ -319,8 +411,8 @@ def _sums(rows: DataFrame, layers: DataFrame, plan: Plan, heads: dict[int, Head]
         ids = sorted(total)
         return finish(int(parts["turn"].iloc[0]), ids, np.array([labels[r] for r in ids]), head.forward(np.stack([total[r] for r in ids]))[1])
 
-    parts = dealt.mapInArrow(partial, "chunk long, turn int, rows binary, labels binary, z binary")
-    return parts.groupBy("chunk", "turn").applyInPandas(whole, out)
+    sent = dealt.mapInArrow(partial, "chunk long, turn int, rows binary, labels binary, z binary")
+    return sent.groupBy("chunk", "turn").applyInPandas(whole, out)
 
 
 def _validate(valid: DataFrame, window: DataFrame, state: DataFrame, ends: list, plan: Plan) -> dict[int, tuple[float, float]]:
@@ -333,12 +425,17 @@ def _validate(valid: DataFrame, window: DataFrame, state: DataFrame, ends: list,
         return pd.DataFrame([(int(layer["block"].iloc[0]), epoch, _after(x, layer, m)[0].tobytes()) for epoch, m in moves.items()],
                             columns=["block", "turn", "w"])
 
+    layers = window.groupBy("block").cogroup(state.groupBy("block")).applyInPandas(versions, "block int, turn int, w binary")
+    return _measured(valid, layers, plan, heads)
+
+
+def _measured(valid: DataFrame, layers: DataFrame, plan: Plan, heads: dict[int, Head]) -> dict[int, tuple[float, float]]:
+    """Loss and accuracy of all validation rows for each version of the network."""
     def measure(turn: int, ids: list, labels: np.ndarray, p: np.ndarray) -> pd.DataFrame:
         known = p[np.arange(len(labels)), labels]
         return pd.DataFrame({"turn": [turn], "n": [len(ids)], "loss": [float(-np.log(np.maximum(known, 1e-300)).sum())],
                              "hits": [int((p.argmax(axis=1) == labels).sum())]})
 
-    layers = window.groupBy("block").cogroup(state.groupBy("block")).applyInPandas(versions, "block int, turn int, w binary")
     measured = _sums(valid, layers, plan, heads, "turn int, n long, loss double, hits long", measure)
     got = measured.groupBy("turn").agg(F.sum("loss") / F.sum("n"), F.sum("hits") / F.sum("n")).collect()  # bounded: one row an epoch
     return {r[0]: (r[1], r[2]) for r in got}

@@ -65,6 +65,42 @@ def test_descent_equals_a_plain_loop(spark, n, batch, window, epochs):
     assert [(g[1], g[2]) for g in got] == list(zip(vy.astype(float).tolist(), p.argmax(axis=1).astype(float).tolist()))
 
 
+# All features in one block: rows stream past it. All epochs in one job; an epoch a job; fewer rows than a batch; one row.
+@pytest.mark.parametrize("n, batch, epochs, uses", [(70, 16, 5, 10**6), (70, 8, 4, 1), (64, 16, 3, 130), (5, 8, 3, 20), (1, 4, 2, 1)])
+def test_streamed_descent_equals_a_plain_loop(spark, monkeypatch, n, batch, epochs, uses):
+    monkeypatch.setattr(network, "STREAM", uses)
+    monkeypatch.setattr(network, "_products", lambda *a: pytest.fail("windows are for several blocks"))
+    x, y = _data(n, 23, 3)
+    vx, vy = _data(600, 23, 3, seed=9)
+    plan = network.Plan(23, 3, hidden=(12, 7), rate=0.05, batch=batch, epochs=epochs)
+    valid = network.feature_blocks(_rows(spark, vx, vy), plan)
+    net = network.fit(network.feature_blocks(_rows(spark, x, y), plan), n, plan, valid)
+    w, v, head, history = _plain(plan, x, y, (vx, vy))
+    assert np.allclose(np.array(net.history, float), np.array(history, float), atol=1e-9)
+    assert np.allclose(_layer(spark, net, "w"), w, atol=1e-9) and np.allclose(_layer(spark, net, "v"), v, atol=1e-9)
+    got = sorted((r.row, r.label, r.prediction, *r.probability) for r in network.predict(valid, net).collect())
+    p = head.forward(vx @ w)[1]
+    assert len(got) == 600 and np.allclose([g[3:] for g in got], p, atol=1e-9)
+    assert [(g[1], g[2]) for g in got] == list(zip(vy.astype(float).tolist(), p.argmax(axis=1).astype(float).tolist()))
+
+
+def test_an_epoch_is_one_job_and_scoring_is_dealt_out(spark, monkeypatch):
+    """The number of jobs follows the epochs, not the batches, and rows are scored in more tasks than one."""
+    x, y = _data(2000, 6, 2)
+    plan = network.Plan(6, 2, hidden=(8, 4), batch=8, epochs=2)
+    blocks = network.feature_blocks(_rows(spark, x, y), plan)
+    monkeypatch.setattr(network, "STREAM", 1)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("descent", "descent")
+    try:
+        net = network.fit(blocks, 2000, plan, window=64)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(tracker.getJobIdsForGroup("descent")) < 40  # 250 steps an epoch
+    scored = network.predict(blocks, net).withColumn("task", F.spark_partition_id())
+    assert scored.select("task").distinct().count() > 1 and scored.count() == 2000
+
+
 def test_the_network_learns(spark):
     x, y = _data(400, 30, 4)
     plan = network.Plan(30, 4, hidden=(32, 16), rate=0.02, epochs=25)
