@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinlake.operators import forests
 from clinlake.session import materialize
 
 # Hyper-parameter grids of the tuned workloads
@@ -103,7 +104,8 @@ def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
     recomputation); ``parallelism`` candidate fits run at once (default: see
     ``default_parallelism``).  ``stabilize=False`` is for input that is already
     a deterministic filter of a stored table.  The tuner caches its two parts
-    itself, so nothing is persisted around it.
+    itself, so nothing is persisted around it.  Forests of a table within
+    ``forests.MOST_CELLS`` are grown by `forests.search`, on the same split.
     """
     estimator = estimator.copy()
     estimator.setLabelCol(label).setFeaturesCol(features)
@@ -113,7 +115,10 @@ def tune(estimator, spec: Mapping[str, Sequence], train: DataFrame, label: str,
                                evaluator=evaluator, trainRatio=train_ratio,
                                parallelism=parallelism or default_parallelism(train, len(grid)),
                                seed=seed)
-    return tvs.fit(materialize(train, "tune-input") if stabilize else train)
+    if stabilize:
+        train = materialize(train, "tune-input")
+    found = forests.search(estimator, grid, train, F.rand(seed) >= train_ratio, metric) if isinstance(estimator, RandomForestClassifier) else None
+    return tvs._copyValues(TrainValidationSplitModel(*found)) if found else tvs.fit(train)
 
 
 def leaderboard(spark, model: TrainValidationSplitModel) -> DataFrame:
